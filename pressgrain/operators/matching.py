@@ -5,6 +5,9 @@ against the entries holding its rarest known token; that score is a lower bound
 for its best match.  As all vectors have length one, an entry sharing only
 tokens of joint weight below the bound cannot reach it, so those (the frequent
 ones, like ``news``) never make candidate pairs.  The result is exact.
+
+Names and vectors are small next to the articles and used in several steps, so
+they are stored once (:func:`pressgrain.sources.stored.stored`).
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pressgrain.functions.text import without, word_tokens
 from pressgrain.operators.tfidf import document_frequency, smooth_idf, term_counts
+from pressgrain.sources.stored import stored
 
 _EPS = 1e-9
 
@@ -27,7 +31,7 @@ def name_vectors(names: DataFrame, catalogue: DataFrame, stop_words: Iterable[st
     """Unit vectors of both sides, weighed on both sides together.
 
     ``names`` has (name, copies), ``catalogue`` (pos, entry).  Returns
-    (name, token, df, weight) and (pos, token, df, weight).
+    (name, token, df, weight) and (pos, token, df, weight).  Runs jobs.
     """
     stop = list(stop_words)
     left = term_counts(names, "name", name_tokens(F.col("name"), stop)).join(names, "name")
@@ -51,7 +55,7 @@ def name_vectors(names: DataFrame, catalogue: DataFrame, stop_words: Iterable[st
         length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
         return raw.select(key, "token", "df", (F.col("raw") / length).alias("weight"))
 
-    return unit(left.select("name", "token", "tf"), "name"), unit(right, "pos")
+    return stored(unit(left.select("name", "token", "tf"), "name")), stored(unit(right, "pos"))
 
 
 def _scores(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -106,9 +110,12 @@ def match_outlets(
     ``outlets`` has (outlet), ``catalogue`` (pos, id, name), pos being the
     listing order.  Outlets whose best match stays below the threshold give no
     row; several outlets may give the same id.  A repeated outlet counts as
-    often as it is listed, in the weights and in the result.
+    often as it is listed, in the weights and in the result.  Runs jobs.
     """
-    listed = outlets.groupBy(F.col("outlet").alias("name")).agg(F.count(F.lit(1)).alias("copies"))
+    listed = stored(
+        outlets.groupBy(F.col("outlet").alias("name")).agg(F.count(F.lit(1)).alias("copies"))
+    )
+    catalogue = stored(catalogue.select("pos", "id", "name"))
     left, right = name_vectors(listed, catalogue.select("pos", F.col("name").alias("entry")))
     best = best_matches(left, right).where(F.col("similarity") >= threshold)
     ids = best.join(catalogue.select("pos", "id"), "pos").select(
@@ -136,11 +143,11 @@ def stance_by_publisher(
     ``stances`` has (pos, entry, stance).  Token weights count every row's
     publisher.  Below the threshold ``fallback='argmax'`` still takes the most
     similar entry, and the first entry where no token is shared;
-    ``fallback='null'`` leaves the stance empty.
+    ``fallback='null'`` leaves the stance empty.  Runs jobs.
     """
     if fallback not in ("argmax", "null"):
         raise ValueError(f"unknown fallback {fallback!r}")
-    names = (
+    names = stored(
         df.where(F.col(publisher).isNotNull())
         .groupBy(F.col(publisher).alias("name"))
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -160,6 +167,10 @@ def stance_by_publisher(
 
 
 def map_stance(df: DataFrame, stances: DataFrame, *, publisher: str = "publisher", **options) -> DataFrame:
-    """Adds ``editorial_stance`` to every row; matching runs once per publisher."""
-    found = stance_by_publisher(df, stances, publisher=publisher, **options)
+    """Adds ``editorial_stance`` to every row; matching runs once per publisher.
+
+    The stored stances join the articles without a shuffle while they are small
+    enough to broadcast.
+    """
+    found = stored(stance_by_publisher(df, stances, publisher=publisher, **options))
     return df.join(found.drop("similarity"), publisher, "left")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pressgrain.functions.text import first_words, sentences, word_tokens
 from pressgrain.operators.tfidf import tfidf
+from pressgrain.sources.stored import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -83,8 +84,9 @@ def extractive_summary(
 
     A sentence scores the mean TF-IDF weight of its words, with the groups as
     documents.  Ties go to the earlier sentence.  Input is one bounded text per
-    group.
+    group; it is stored first, as it is read four times.  Runs a job.
     """
+    beginnings = stored(beginnings)
     weights = tfidf(beginnings, group, word_tokens(F.col(text_column))).select(
         group, "token", "weight"
     )
