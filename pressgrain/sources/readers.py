@@ -13,6 +13,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out when the files give fewer partitions than there are cores.
+
+    A file with one row group is read by one task.  Large tables have more
+    partitions than cores and are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_report(df: DataFrame, name: str) -> DataFrame:
     """(table_name, n_rows) of a loaded table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(

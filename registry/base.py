@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressgrain.session import tune
+from pressgrain.sources.readers import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents", *columns: str) -> DataFrame:
+    """A table for work that is heavy per row: its one file is dealt out to all cores."""
+    return spread(table(spark, sf_dir, name).select(*(columns or ("*",))))
+
+
 def r6(column) -> object:
     """Round to six places and turn -0.0 into 0.0, as both engines must agree."""
     column = F.col(column) if isinstance(column, str) else column
@@ -67,6 +73,8 @@ def labelled(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         F.when(F.col("toxic") == 0, "positive").otherwise("negative").alias("label_lex"),
     )
     joined = docs.join(labels, "doc_id")
+    if "content" in (columns or joined.columns):
+        joined = spread(joined)
     return joined.select(*columns) if columns else joined
 
 

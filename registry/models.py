@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pressgrain.functions import text as T
@@ -19,15 +18,17 @@ from pressgrain.operators import (
     topics as TO,
     trees as TR,
 )
+from pressgrain.operators.grid import grid_accuracy
 from pressgrain.session import shared_dir
 from pressgrain.sources import readers, writers
-from registry.base import LABELLED_SQL, clean_sql, labelled, query, r6, sql_in, table
+from registry.base import LABELLED_SQL, clean_sql, labelled, query, r6, sql_in, table, texts
 
 STOP = ["the", "and", "that", "for", "les", "que", "und", "der", "para", "del", "like", "said", "says"]
 
 
 def _articles(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.clean_words(F.col("text")).alias("content"))
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", T.clean_words(F.col("text")).alias("content"))
 
 
 def _labelled_articles(spark, sf):
@@ -111,7 +112,7 @@ def ml04_mllib_tfidf(spark, sf):
     """The MLlib stages give the exact formula: figures per document."""
     rows = _articles(spark, sf).withColumn("tokens", T.word_tokens(F.col("content")))
     fitted = Pipeline(stages=FE.tfidf_stages()).fit(rows)
-    weights = fitted.transform(rows).select("doc_id", vector_to_array("features").alias("v"))
+    weights = fitted.transform(rows).select("doc_id", F.unwrap_udt("features")["values"].alias("v"))
     kept = F.filter("v", lambda x: x != 0)
     return weights.select("doc_id", kept.alias("v")).where(F.size("v") > 0).select(
         "doc_id",
@@ -188,12 +189,55 @@ def ml08_naive_bayes_report(spark, sf):
     return trained.report
 
 
-@query()
+MAX_DF, NGRAMS, ALPHA, FOLDS = NB.MAX_DF, NB.NGRAMS, NB.ALPHA, 5
+FOLD_SQL = "('0x' || substr(md5(doc_id::VARCHAR), 9, 8))::BIGINT % 5"
+GRID_SQL = f"""
+    WITH art AS (SELECT doc_id, label_model AS label, {tokens_sql('content', STOP)} AS ts, {FOLD_SQL} AS home
+                 FROM ({LABELLED_SQL}) WHERE NOT ({SPLIT_SQL})),
+    tok AS (SELECT doc_id, 1 AS ngrams, unnest(ts) AS token FROM art UNION ALL
+            SELECT doc_id, 2, unnest(ts) FROM art UNION ALL
+            SELECT doc_id, 2, unnest(list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1])) FROM art),
+    tc AS (SELECT doc_id, label, home, ngrams, token, count(*) AS tf FROM tok JOIN art USING (doc_id) GROUP BY ALL),
+    fold AS (SELECT unnest(range(5)) AS fold),
+    mx AS (SELECT unnest([0.5, 0.75, 1.0]::DOUBLE[]) AS max_df),
+    al AS (SELECT unnest([0.01, 0.001, 0.0001]::DOUBLE[]) AS alpha),
+    nd AS (SELECT fold, count(*) AS n FROM fold JOIN art ON home <> fold GROUP BY fold),
+    fr AS (SELECT fold, ngrams, token, count(*) AS df FROM fold JOIN tc ON home <> fold GROUP BY ALL),
+    vo AS (SELECT max_df, fr.fold, ngrams, token, ln((n + 1) / (df + 1)) + 1 AS idf FROM fr JOIN nd USING (fold) JOIN mx ON df / n <= max_df),
+    rw AS (SELECT max_df, fold, ngrams, token, doc_id, label, home <> fold AS train, tf * idf AS raw FROM tc JOIN vo USING (ngrams, token)),
+    wt AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY max_df, fold, ngrams, doc_id)) AS w FROM rw),
+    cls AS (SELECT fold, label, ln(count(*) / any_value(n)) AS prior FROM nd JOIN art ON home <> fold GROUP BY fold, label),
+    sm AS (SELECT max_df, fold, ngrams, token, c.label, coalesce(sum(w) FILTER (wt.label = c.label), 0) AS s
+           FROM wt JOIN cls c USING (fold) WHERE train GROUP BY ALL),
+    th AS (SELECT alpha, max_df, fold, ngrams, token, label,
+                  ln(s + alpha) - ln(sum(s + alpha) OVER (PARTITION BY alpha, max_df, fold, ngrams, label)) AS lp FROM sm, al),
+    ev AS (SELECT alpha, th.max_df, th.fold, th.ngrams, doc_id, th.label, sum(w * lp) AS e
+           FROM wt JOIN th ON th.max_df = wt.max_df AND th.fold = wt.fold AND th.ngrams = wt.ngrams AND th.token = wt.token
+           WHERE NOT train GROUP BY ALL),
+    cand AS (SELECT alpha, max_df, ng.ngrams, a.doc_id, a.label AS truth, c.fold, c.label, prior
+             FROM art a JOIN cls c ON c.fold = a.home, al, mx, (SELECT unnest([1, 2]) AS ngrams) ng),
+    sc AS (SELECT c.*, round(prior + coalesce(e, 0), 9) AS score FROM cand c LEFT JOIN ev USING (alpha, max_df, fold, ngrams, doc_id, label)),
+    pr AS (SELECT *, row_number() OVER (PARTITION BY alpha, max_df, ngrams, doc_id ORDER BY score DESC, label) AS r FROM sc),
+    ac AS (SELECT max_df, ngrams, alpha, fold, avg((label = truth)::INT) AS a FROM pr WHERE r = 1 GROUP BY ALL)
+    SELECT max_df, ngrams, alpha, round(avg(a), 6) AS accuracy FROM ac GROUP BY ALL
+"""
+
+
+@query(GRID_SQL)
 def ml09_grid_search(spark, sf):
-    """Best setting of the full grid by five-fold cross-validation, and its report."""
-    trained = NB.train(
-        _labelled_articles(spark, sf), "content", "label_model", "doc_id", stop_words=STOP, parallelism=4
+    """Cross-validated accuracy of all eighteen settings."""
+    rows = NB.training_rows(_labelled_articles(spark, sf), "content", "label_model", "doc_id", stop_words=STOP)
+    accuracy = grid_accuracy(
+        rows.where(~FE.in_test("doc_id")), "doc_id", CLASSES,
+        max_df=MAX_DF, ngrams=NGRAMS, alpha=ALPHA, folds=FOLDS,
     )
+    return accuracy.withColumn("accuracy", r6("accuracy"))
+
+
+@query()
+def ml09_best_model(spark, sf):
+    """Held-out report of the best setting of the grid."""
+    trained = NB.train(_labelled_articles(spark, sf), "content", "label_model", "doc_id", stop_words=STOP)
     best = trained.best_parameters
     return trained.report.select(
         "*", *[F.lit(float(best[k])).alias(f"best_{k}") for k in ("max_df", "ngrams", "alpha")]
@@ -303,7 +347,7 @@ def ag13_top_listed_words(spark, sf):
 def tk03_most_common(spark, sf):
     from pyspark.sql import Window
 
-    docs = table(spark, sf, "documents").select("doc_id", "lang", T.clean_words(F.col("text")).alias("content"))
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text").withColumn("content", T.clean_words(F.col("text")))
     counts = TH.word_counts(docs, "content", "doc_id", groups=["lang"], stop_words=STOP)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("first_seen")))
     return counts.withColumn("r", rank).where("r <= 7").select("lang", "token", "n")
@@ -358,7 +402,7 @@ BEGIN_SQL = """
 
 @query(f"WITH {BEGIN_SQL} SELECT source, content FROM beg")
 def ag11_group_beginning(spark, sf):
-    return SU.group_beginning(table(spark, sf, "documents"), "source", "doc_id", "text")
+    return SU.group_beginning(texts(spark, sf, "documents", "source", "doc_id", "text"), "source", "doc_id", "text")
 
 
 SUMMARY_SQL = f"""
@@ -380,7 +424,7 @@ SUMMARY_SQL = f"""
 
 @query(SUMMARY_SQL)
 def ml19_extractive_summary(spark, sf):
-    beginnings = SU.group_beginning(table(spark, sf, "documents"), "source", "doc_id", "text")
+    beginnings = SU.group_beginning(texts(spark, sf, "documents", "source", "doc_id", "text"), "source", "doc_id", "text")
     return SU.extractive_summary(beginnings, "source")
 
 
@@ -391,7 +435,7 @@ def echo_generator():
 
 @query(f"WITH {BEGIN_SQL} SELECT source, 'summarize: ' || (length(content) + 11) AS summary FROM beg")
 def ml19_generated_summary(spark, sf):
-    beginnings = SU.group_beginning(table(spark, sf, "documents"), "source", "doc_id", "text")
+    beginnings = SU.group_beginning(texts(spark, sf, "documents", "source", "doc_id", "text"), "source", "doc_id", "text")
     return SU.generated_summary(beginnings, "source", echo_generator)
 
 

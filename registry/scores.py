@@ -25,6 +25,7 @@ from registry.base import (
     sql_in,
     sql_values,
     table,
+    texts,
 )
 
 REACH = [
@@ -404,13 +405,13 @@ def _flat_scores(scored):
 
 @query(f"WITH {vader_sql('SELECT doc_id AS id, text FROM documents')} {SCORED_COLUMNS}")
 def ml13_lexicon_scores(spark, sf):
-    return _flat_scores(S.score_lexicon(table(spark, sf, "documents"), "text", LEXICON, RULES))
+    return _flat_scores(S.score_lexicon(texts(spark, sf, "documents", "doc_id", "text"), "text", LEXICON, RULES))
 
 
 @query(f"WITH {vader_sql('SELECT doc_id AS id, ' + clean_sql('text') + ' AS text FROM documents')} {SCORED_COLUMNS}")
 def ml13_lexicon_scores_cleaned(spark, sf):
     """On cleaned text, with the lexicon read from a table."""
-    docs = table(spark, sf, "documents").select("doc_id", clean_words(F.col("text")).alias("content"))
+    docs = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_words(F.col("text")).alias("content"))
     lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
     return _flat_scores(S.score_lexicon(docs, "content", lexicon, RULES))
 
@@ -421,7 +422,7 @@ def ml13_lexicon_scores_cleaned(spark, sf):
     ) JOIN {LEXICON_SQL} USING (token) GROUP BY doc_id, token
 """)
 def jn06_token_valences(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", clean_words(F.col("text")).alias("content"))
+    docs = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_words(F.col("text")).alias("content"))
     lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
     found = S.token_valences(docs, "doc_id", F.col("content"), lexicon)
     return found.withColumn("n", F.col("n").cast("long"))
@@ -460,7 +461,7 @@ MODEL_SQL = f"""
 
 @query(MODEL_SQL)
 def ml14_model_scores(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     scored = I.score_model(docs, "text", letter_predictor)
     return scored.select("doc_id", r6("sentiment_score_bert").alias("sentiment_score_bert"), "sentiment_category_bert")
 
@@ -483,7 +484,7 @@ def letter_embedder():
 ) + """ FROM (SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')[1:512], ' ') AS t FROM documents))
 """)
 def ml16_embeddings(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     vectors = I.embed(docs, "text", letter_embedder)
     return vectors.select("doc_id", F.posexplode("embedding").alias("i", "x")).select(
         "doc_id", F.col("i").cast("long").alias("i"), F.round(F.col("x").cast("double"), 4).alias("x")

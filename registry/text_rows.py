@@ -18,6 +18,7 @@ from registry.base import (
     sql_in,
     sql_values,
     table,
+    texts,
 )
 
 TOPICS = ["license", ["this", "with"], "the AND thing AND from", "worthless", ["best", "and"]]
@@ -134,7 +135,7 @@ def prj02_publisher_from_title(spark, sf):
 
 @query(f"SELECT doc_id, {clean_sql('text')} AS content FROM documents")
 def prj03_clean_words(spark, sf):
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", T.clean_words(F.col("text")).alias("content")
     )
 
@@ -160,13 +161,13 @@ PARAGRAPHS_SQL = r"""
     FROM pages
 """)
 def prj04_page_fields(spark, sf):
-    return P.extract_articles(table(spark, sf, "pages"), keep=("page_id",))
+    return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",))
 
 
 @query()
 def prj04_page_fields_repeat(spark, sf):
     """Nested paragraphs counted in each paragraph that holds them."""
-    return P.extract_articles(table(spark, sf, "pages"), keep=("page_id",), nested="repeat")
+    return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",), nested="repeat")
 
 
 @query(f"SELECT page_id, {TITLE_SQL} AS title FROM pages WHERE regexp_matches(html, '(?is)<title[\\s>]')")
@@ -187,7 +188,7 @@ def prj04a_page_title(spark, sf):
 def prj04b_page_authors(spark, sf):
     """Pages with an author and with a date, per publisher."""
     return (
-        P.extract_articles(table(spark, sf, "pages"))
+        P.extract_articles(texts(spark, sf, "pages"))
         .groupBy("publisher")
         .agg(F.count(F.lit(1)).alias("n_pages"), F.count("author").alias("n_authors"),
              F.count("publish_date").alias("n_dates"))
@@ -196,7 +197,7 @@ def prj04b_page_authors(spark, sf):
 
 @query("SELECT count(*) AS pages, 0::BIGINT AS bad_status, 0::BIGINT AS not_parsed, count(*) AS kept FROM pages")
 def flt11_page_report(spark, sf):
-    return P.extract_report(table(spark, sf, "pages"))
+    return P.extract_report(texts(spark, sf, "pages"))
 
 
 @query("SELECT doc_id, 'licensing' AS theme FROM documents WHERE contains(lower(text), 'license')")
@@ -249,7 +250,7 @@ KEYWORD_ROWS_SQL = (
 def _keyword_rows(spark, sf):
     """Each document's cleaned words as a comma-joined list."""
     cleaned = T.words(T.clean_words(F.col("text")))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.array_join(cleaned, ", ").alias("keywords")
     )
 
@@ -293,7 +294,7 @@ KEYWORD_TOKENS_SQL = (
 @query(f"SELECT doc_id, array_to_string({KEYWORD_TOKENS_SQL}, ' ') AS keyword_text FROM documents")
 def prj16_keyword_words(spark, sf):
     cleaned = T.clean_words(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.array_join(T.keyword_tokens(cleaned, KEYWORD_STOP), " ").alias("keyword_text")
     )
 
@@ -309,8 +310,8 @@ def flt01_exclude_keywords(spark, sf):
 
 @query(f"SELECT doc_id, {clean_sql('text')} AS content FROM documents WHERE length(trim({clean_sql('text')})) >= 1")
 def flt02_drop_blank(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.clean_words(F.col("text")).alias("content"))
-    return R.drop_blank(docs)
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    return R.drop_blank(docs.select("doc_id", T.clean_words(F.col("text")).alias("content")))
 
 
 @query(f"SELECT doc_id, publisher, label_lex, label_model FROM ({LABELLED_SQL}) WHERE label_lex = label_model")
