@@ -88,11 +88,23 @@ def without(tokens: Column, stop_words: Iterable[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(stop)) if stop else tokens
 
 
+# Endings that a word tokenizer splits off, and marks it splits at.
+_CONTRACTION = r"(?:n't|'(?:s|m|d|ll|re|ve))$"
+_MARKS = r"?!,;:()\[\]{}<>\"“”…"
+
+
+def _bare_word(word: Column) -> Column:
+    """A word without the punctuation around it and without a contracted ending."""
+    trimmed = F.regexp_replace(word, r"(?U)^[^\w]+|[^\w]+$", "")
+    return F.when(word.rlike("^[a-z]+$"), word).otherwise(
+        F.regexp_replace(trimmed, _CONTRACTION, "")
+    )
+
+
 def keyword_tokens(text: Column, stop_words: Iterable[str] = ()) -> Column:
     """Lower-case alphabetic words longer than two letters that are no stop words."""
-    found = F.filter(
-        words(F.lower(text)), lambda w: (F.length(w) > 2) & w.rlike(r"^(?U)\p{L}+$")
-    )
+    parts = F.transform(F.split(F.lower(text), f"(?U)[{_SPACE}{_MARKS}]+"), _bare_word)
+    found = F.filter(parts, lambda w: (F.length(w) > 2) & w.rlike(r"^\p{L}+$"))
     return without(found, stop_words)
 
 

@@ -14,6 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pressgrain.functions.columns import bind
 
 
+def lookup_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A short list held by the driver as a table whose size the planner knows.
+
+    A table made from a Python list otherwise counts as unboundedly large, and
+    the large side of a join with it would be shuffled.
+    """
+    layout = spark.createDataFrame([], schema).schema
+    if not rows:
+        return spark.createDataFrame([], layout)
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, layout, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
 def topic_query(topic: str | Sequence[str]) -> str:
     return topic if isinstance(topic, str) else " AND ".join(topic)
 
@@ -25,7 +41,7 @@ def topic_terms(query: str) -> list[str]:
 def topics_table(spark: SparkSession, topics: Sequence[str | Sequence[str]]) -> DataFrame:
     """(query, term) rows of the topics."""
     rows = [(q, t) for q in map(topic_query, topics) for t in topic_terms(q)]
-    return spark.createDataFrame(rows, "query string, term string")
+    return lookup_table(spark, rows, "query string, term string")
 
 
 def matching_topics(text: Column, topics: Sequence[str | Sequence[str]]) -> Column:

@@ -17,6 +17,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pressgrain.functions.text import without, word_tokens
+from pressgrain.operators.lookups import lookup_table
 from pressgrain.operators.tfidf import document_frequency, smooth_idf, term_counts
 from pressgrain.sources.stored import stored
 
@@ -126,7 +127,7 @@ def match_outlets(
 
 def stance_table(spark: SparkSession, stances: Mapping[str, str]) -> DataFrame:
     rows = [(i, k, v) for i, (k, v) in enumerate(stances.items())]
-    return spark.createDataFrame(rows, "pos int, entry string, stance string")
+    return lookup_table(spark, rows, "pos int, entry string, stance string")
 
 
 def stance_by_publisher(

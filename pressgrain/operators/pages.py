@@ -224,10 +224,3 @@ def page_title(html: Column) -> Column:
     """Title by pattern alone: the JVM-side form when only the title is needed."""
     raw = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
     return F.when(html.rlike(r"(?is)<title[\s>]"), raw)
-
-
-def paragraph_texts(html: Column) -> Column:
-    """array<string> of paragraph bodies by pattern, tags removed: a native check form."""
-    plain = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", "")
-    bodies = F.regexp_extract_all(plain, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</?p[\s>])"), F.lit(1))
-    return F.transform(bodies, lambda b: F.regexp_replace(b, r"(?s)<!--.*?-->|<[^>]*>", ""))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from pressgrain.operators.lookups import lookup_table
 
 CATEGORIES = ("negative", "positive")
 
 
+def reach_table(spark: SparkSession, followers: Mapping[str, float]) -> DataFrame:
+    return lookup_table(spark, list(followers.items()), "publisher string, followers double")
+
+
 def influence_scores(reach: DataFrame, weight: str = "followers") -> DataFrame:
     """Audience as a share of the total audience."""
     total = reach.agg(F.sum(weight)).scalar()

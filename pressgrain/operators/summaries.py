@@ -45,6 +45,8 @@ def group_beginning(
 ) -> DataFrame:
     """(group, content): the first ``max_words`` words of each group's joined text.
 
+    Texts of equal ``order`` stand in text order.
+
     This is all a summary reads.  Every text with words adds at least one, so
     the first ``max_words`` such texts suffice.  They are ranked twice: first in
     ``salts`` slices of each group, where the rank limit already works in the
@@ -56,15 +58,16 @@ def group_beginning(
         .where(F.col("_t") != "")
         .withColumn("_slice", F.pmod(F.xxhash64("_o"), F.lit(salts)))
     )
-    in_slice = Window.partitionBy(group, "_slice").orderBy("_o")
-    in_group = Window.partitionBy(group).orderBy("_o")
+    in_slice = Window.partitionBy(group, "_slice").orderBy("_o", "_t")
+    in_group = Window.partitionBy(group).orderBy("_o", "_t")
+    so_far = in_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.withColumn("_r", F.row_number().over(in_slice))
         .where(F.col("_r") <= max_words)
         .withColumn("_r", F.row_number().over(in_group))
         .where(F.col("_r") <= max_words)
         .withColumn("_n", F.size(F.split("_t", " ")))
-        .withColumn("_before", F.sum("_n").over(in_group) - F.col("_n"))
+        .withColumn("_before", F.sum("_n").over(so_far) - F.col("_n"))
         .where(F.col("_before") < max_words)
         .groupBy(group)
         .agg(F.sort_array(F.collect_list(F.struct("_o", "_t"))).alias("_l"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from pressgrain.session import shared_dir
 from pressgrain.sources import readers, writers
 from registry.base import LABELLED_SQL, clean_sql, labelled, query, r6, sql_in, table, texts
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STOP = ["the", "and", "that", "for", "les", "que", "und", "der", "para", "del", "like", "said", "says"]
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pressgrain.functions.lexicon import BOOST, Rules
@@ -28,6 +31,8 @@ from registry.base import (
     texts,
 )
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 REACH = [
     ("src0", 2.3), ("src1", 8.8), ("src2", 19.3), ("src4", 4.6), ("src7", 1.7),
     ("src8", 62.2), ("src11", 20.0), ("src13", 2.0), ("src17", 24.4),
@@ -59,7 +64,7 @@ REPORT_SQL = "SELECT publisher, " + ", ".join(
 
 
 def _reach(spark):
-    return spark.createDataFrame(REACH, "publisher string, followers double")
+    return B.reach_table(spark, dict(REACH))
 
 
 def _agreeing(spark, sf):
@@ -412,7 +417,7 @@ def ml13_lexicon_scores(spark, sf):
 def ml13_lexicon_scores_cleaned(spark, sf):
     """On cleaned text, with the lexicon read from a table."""
     docs = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_words(F.col("text")).alias("content"))
-    lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
+    lexicon = L.lookup_table(spark, list(LEXICON.items()), "token string, valence double")
     return _flat_scores(S.score_lexicon(docs, "content", lexicon, RULES))
 
 
@@ -423,7 +428,7 @@ def ml13_lexicon_scores_cleaned(spark, sf):
 """)
 def jn06_token_valences(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_words(F.col("text")).alias("content"))
-    lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
+    lexicon = L.lookup_table(spark, list(LEXICON.items()), "token string, valence double")
     found = S.token_valences(docs, "doc_id", F.col("content"), lexicon)
     return found.withColumn("n", F.col("n").cast("long"))
 

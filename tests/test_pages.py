@@ -1,0 +1,91 @@
+import pytest
+from pyspark.sql import functions as F
+
+from pressgrain.operators import pages as P
+from tests.conftest import final_plan, rows
+
+PAGE = """<!DOCTYPE html><html><head><title>A &amp; B - News</title>{head}
+<script>var t="<p>no</p>";</script><style>p{{}}</style></head><body>{body}</body></html>"""
+
+
+def page(body="<p>text</p>", head=""):
+    return PAGE.format(head=head, body=body)
+
+
+def test_fields():
+    head = '<meta name="author" content="Jo Doe"><META NAME="publish-date" CONTENT="2024-01-02">'
+    got = P.parse_page(page("<p>one</p> <div>no</div><p>two<br>three</p>", head))
+    assert got == ("A & B - News", "Jo Doe", "2024-01-02", "one twothree")
+
+
+def test_page_without_title_or_with_broken_meta():
+    assert P.parse_page("<html><p>x</p></html>") is None
+    with pytest.raises(KeyError):
+        P.parse_page(page(head='<meta name="author">'))
+
+
+@pytest.mark.parametrize(
+    "body, author",
+    [
+        ("<p>By Jane Doe</p>", "Jane Doe"),
+        ("<p>BY  Jane   van Doe </p>", "Jane van Doe"),
+        ("<p>By a much too long name</p><div>by Al</div>", "Al"),
+        ("<div><p>By Only Child</p></div>", "Only Child"),
+        ("<p>By <b>Jane</b></p>", None),
+        ("<p><b>By Bold Name</b></p>", "Bold Name"),
+        ("<p>Bystander</p>", None),
+        ("<span>By Span</span>", None),
+        ("<p><!-- By Hidden --></p>", None),
+    ],
+)
+def test_by_line(body, author):
+    assert P.parse_page(page(body))[1] == author
+
+
+def test_nested_paragraphs():
+    body = "<div><p>a<p>b<p>c</div><p>d</p>"
+    assert P.parse_page(page(body), "once")[3] == "a b c d"
+    assert P.parse_page(page(body), "repeat")[3] == "abc bc c d"
+    assert P.parse_page(page("<p><b>x<br><p>y</p>"), "once")[3] == "x y"
+    assert P.parse_page(page("<p>x</p></p></div><p>y"), "repeat")[3] == "x y"
+
+
+def test_blank_text_is_one_space_or_newline():
+    assert P.parse_page(page("<p>a<b>  </b>c <i> \n </i>d</p>"))[3] == "a c \nd"
+
+
+def test_script_text_is_not_prose():
+    assert P.parse_page(page("<p>a<script>b</script><style>c</style><!--d-->e</p>"))[3] == "ae"
+
+
+PAGES = [
+    ("https://www.bbc.com/1", 200, page("<p>one</p>")),
+    ("https://cnn.com/2", 404, page("<p>two</p>")),
+    ("https://cnn.com/3", 200, "<p>no title</p>"),
+    ("https://cnn.com/4", 200, None),
+    ("https://cnn.com/5", None, page()),
+    ("https://cnn.com/6", 200, page(head='<meta name="publish-date">')),
+]
+
+
+def test_failed_pages_give_no_row(spark):
+    df = spark.createDataFrame(PAGES, "url string, status int, html string").withColumn("q", F.lit("t"))
+    got = P.extract_articles(df, status="status", theme="q")
+    assert got.columns == ["title", "author", "publish_date", "content", "theme", "url", "publisher"]
+    assert rows(got) == [("A & B - News", None, None, "one", "t", "https://www.bbc.com/1", "Bbc")]
+    assert tuple(P.extract_report(df, status="status").first()) == (6, 2, 3, 1)
+    empty = P.extract_articles(df.where("false"))
+    assert empty.columns == got.columns and empty.count() == 0
+    with pytest.raises(ValueError):
+        P.extract_articles(df, nested="other")
+
+
+def test_pages_are_parsed_once(spark, sf):
+    df = spark.read.parquet(f"{sf}/pages.parquet")
+    plan = final_plan(P.extract_articles(df).where(F.length("content") > 10))
+    assert plan.split("Initial Plan")[0].count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan
+
+
+def test_title_by_pattern(spark, sf):
+    df = spark.read.parquet(f"{sf}/pages.parquet")
+    assert df.where(P.page_title(F.col("html")).isNull()).count() == 0
