@@ -104,3 +104,28 @@ PUBLISHER_SQL = (
     "regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1), '^www\\.', ''), '.', 1), '-'), "
     "lambda w: upper(w[1]) || lower(w[2:])), ' ')"
 )
+
+
+def class_report_sql(pairs: str) -> str:
+    """Per-class figures and averages of (l, p) rows, as the tail of a WITH."""
+    return f"""
+    p AS ({pairs}),
+    k AS (SELECT DISTINCT l AS class FROM p UNION SELECT DISTINCT p FROM p),
+    c AS (SELECT class,
+                 (SELECT count(*) FROM p WHERE l = class AND p.p = class) AS hit,
+                 (SELECT count(*) FROM p WHERE p.p = class) AS predicted,
+                 (SELECT count(*) FROM p WHERE l = class) AS support FROM k),
+    m AS (SELECT class, coalesce(hit / nullif(predicted, 0), 0) AS precision,
+                 coalesce(hit / nullif(support, 0), 0) AS recall, hit, support FROM c),
+    f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM m)
+    SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM f
+    UNION ALL
+    SELECT 'accuracy', round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6),
+           round(sum(hit) / sum(support), 6), sum(support)::BIGINT FROM f
+    UNION ALL
+    SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::BIGINT FROM f
+    UNION ALL
+    SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+           round(sum(recall * support) / sum(support), 6),
+           round(sum(f1 * support) / sum(support), 6), sum(support)::BIGINT FROM f
+    """

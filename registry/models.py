@@ -23,7 +23,17 @@ from pressgrain.operators import (
 from pressgrain.operators.grid import grid_accuracy
 from pressgrain.session import shared_dir
 from pressgrain.sources import readers, writers
-from registry.base import LABELLED_SQL, clean_sql, labelled, query, r6, sql_in, table, texts
+from registry.base import (
+    LABELLED_SQL,
+    class_report_sql,
+    clean_sql,
+    labelled,
+    query,
+    r6,
+    sql_in,
+    table,
+    texts,
+)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -147,28 +157,45 @@ def ml07_train_test_split(spark, sf):
     return FE.with_split(table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
-NB_SQL = f"""
-    WITH art AS (SELECT doc_id, label_model AS label, {tokens_sql('content', STOP)} AS ts, {SPLIT_SQL} AS test FROM ({LABELLED_SQL})),
-    tok AS (SELECT doc_id, label, test, unnest(ts) AS token FROM art),
-    tc AS (SELECT doc_id, label, test, token, count(*) AS tf FROM tok GROUP BY ALL),
-    nd AS (SELECT count(*) AS n FROM art WHERE NOT test),
-    fr AS (SELECT token, count(*) AS df FROM tc WHERE NOT test GROUP BY token),
-    rw AS (SELECT doc_id, label, test, tc.token, tf * (ln((n + 1) / (df + 1)) + 1) AS raw FROM tc JOIN fr USING (token), nd),
+def nb_sql(target: str, alpha: float, prior: str) -> str:
+    """Predictions for the (doc_id, ts) rows of ``target`` by the textbook formulas.
+
+    ``prior`` is the class's log probability from its count k, the number n of
+    training rows and the number c of classes.
+    """
+    return f"""
+    art AS (SELECT doc_id, label_model AS label, {tokens_sql('content', STOP)} AS ts, {SPLIT_SQL} AS test FROM ({LABELLED_SQL})),
+    tok AS (SELECT doc_id, label, unnest(ts) AS token FROM art WHERE NOT test),
+    tc AS (SELECT doc_id, label, token, count(*) AS tf FROM tok GROUP BY ALL),
+    nd AS (SELECT count(*) AS n, count(DISTINCT label) AS c FROM art WHERE NOT test),
+    fr AS (SELECT token, ln((any_value(n) + 1) / (count(*) + 1)) + 1 AS idf FROM tc, nd GROUP BY token),
+    rw AS (SELECT doc_id, label, token, tf * idf AS raw FROM tc JOIN fr USING (token)),
     wt AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS w FROM rw),
-    cls AS (SELECT label, ln(count(*) / (SELECT n FROM nd)) AS prior FROM art WHERE NOT test GROUP BY label),
-    grid AS (SELECT fr.token, cls.label FROM fr, cls),
-    sums AS (SELECT g.token, g.label, coalesce(sum(w), 0) + 0.01 AS s FROM grid g
-             LEFT JOIN (SELECT * FROM wt WHERE NOT test) t ON t.token = g.token AND t.label = g.label GROUP BY 1, 2),
+    cls AS (SELECT label, {prior} AS prior FROM (SELECT label, count(*) AS k FROM art WHERE NOT test GROUP BY label), nd),
+    sums AS (SELECT g.token, g.label, coalesce(sum(w), 0) + {alpha} AS s FROM (SELECT token, label FROM fr, cls) g
+             LEFT JOIN wt t ON t.token = g.token AND t.label = g.label GROUP BY 1, 2),
     theta AS (SELECT token, label, ln(s) - ln(sum(s) OVER (PARTITION BY label)) AS lp FROM sums),
-    sc AS (SELECT a.doc_id, c.label, round(c.prior + coalesce((SELECT sum(w * lp) FROM wt JOIN theta ON theta.token = wt.token
-                  AND theta.label = c.label WHERE wt.doc_id = a.doc_id), 0), 9) AS score FROM art a, cls c WHERE a.test)
-    SELECT doc_id, label AS prediction FROM (
-        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS r FROM sc) WHERE r = 1
-"""
+    tgt AS ({target}),
+    ttc AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS token FROM tgt) GROUP BY ALL),
+    trw AS (SELECT doc_id, token, tf * idf AS raw FROM ttc JOIN fr USING (token)),
+    twt AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS w FROM trw),
+    ev AS (SELECT doc_id, label, sum(w * lp) AS e FROM twt JOIN theta USING (token) GROUP BY ALL),
+    sc AS (SELECT t.doc_id, c.label, round(c.prior + coalesce(ev.e, 0), 9) AS score
+           FROM tgt t CROSS JOIN cls c LEFT JOIN ev ON ev.doc_id = t.doc_id AND ev.label = c.label),
+    pred AS (SELECT doc_id, label AS prediction FROM
+             (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS r FROM sc) WHERE r = 1)
+    """
+
+
+TEXTBOOK_PRIOR = "ln(k / n)"
+MLLIB_PRIOR = "ln(k + 1.0) - ln(n + c * 1.0)"
+TEST_ROWS = "SELECT doc_id, ts FROM art WHERE test"
+LABELLED_ROWS = "SELECT doc_id, ts FROM art"
+ALL_ROWS = f"SELECT doc_id, {tokens_sql(stop=STOP)} AS ts FROM documents"
 CLASSES = ["negative", "positive"]
 
 
-@query(NB_SQL)
+@query(f"WITH {nb_sql(TEST_ROWS, 0.01, TEXTBOOK_PRIOR)} SELECT doc_id, prediction FROM pred")
 def ml08_naive_bayes_tables(spark, sf):
     rows = _labelled_articles(spark, sf).withColumnRenamed("label_model", "label")
     train, test = rows.where(~FE.in_test("doc_id")), rows.where(FE.in_test("doc_id"))
@@ -184,13 +211,17 @@ def ml08_naive_bayes_tables(spark, sf):
     return NB.predict_tables(test, test_weights, token_table, priors, "doc_id", CLASSES)
 
 
-@query()
+@query(f"""
+    WITH {nb_sql(TEST_ROWS, 1.0, MLLIB_PRIOR)},
+    {class_report_sql("SELECT label AS l, prediction AS p FROM art JOIN pred USING (doc_id)")}
+""")
 def ml08_naive_bayes_report(spark, sf):
     """Held-out report of the MLlib pipeline without grid search."""
     trained = NB.train(
         _labelled_articles(spark, sf), "content", "label_model", "doc_id", grid_search=False, stop_words=STOP
     )
-    return trained.report
+    report = trained.report
+    return report.select("class", *[r6(m).alias(m) for m in ("precision", "recall", "f1")], "support")
 
 
 MAX_DF, NGRAMS, ALPHA, FOLDS = NB.MAX_DF, NB.NGRAMS, NB.ALPHA, 5
@@ -248,7 +279,7 @@ def ml09_best_model(spark, sf):
     )
 
 
-@query()
+@query(f"WITH {nb_sql(ALL_ROWS, 1.0, MLLIB_PRIOR)} SELECT doc_id, prediction AS predicted_sentiment_multinomialnb FROM pred")
 def ml11_predict_all(spark, sf):
     """A label for every document, from a model fitted on the labelled ones."""
     trained = NB.train(
@@ -515,7 +546,10 @@ def src13_route_outputs(spark, sf):
     return writers.route_outputs(files.distinct(), folders.distinct())
 
 
-@query()
+@query(f"""
+    WITH {nb_sql(LABELLED_ROWS, 1.0, MLLIB_PRIOR)}
+    SELECT doc_id, label AS label_model, prediction AS predicted_sentiment_multinomialnb FROM art JOIN pred USING (doc_id)
+""")
 def src14_saved_model(spark, sf):
     """Predictions of a model that was saved and loaded again."""
     trained = NB.train(

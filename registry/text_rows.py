@@ -164,7 +164,29 @@ def prj04_page_fields(spark, sf):
     return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",))
 
 
-@query()
+# A paragraph runs to the paragraph tag that takes the nesting below its own
+# level, or to the end of the article.
+REPEATED_SQL = r"""
+    body AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS b FROM pages),
+    parts AS (SELECT page_id, regexp_extract_all(b, '</?p>') AS evs,
+                     string_split(regexp_replace(b, '</?p>', chr(1), 'g'), chr(1)) AS segs FROM body),
+    ev AS (SELECT page_id, unnest(evs) AS e, unnest(range(1, len(evs) + 1)) AS i, unnest(segs[2:]) AS seg FROM parts),
+    dep AS (SELECT *, sum(CASE e WHEN '<p>' THEN 1 ELSE -1 END) OVER (PARTITION BY page_id ORDER BY i) AS d FROM ev),
+    cov AS (SELECT a.page_id, a.i AS k, b.i AS j, b.seg FROM dep a JOIN dep b ON b.page_id = a.page_id AND b.i >= a.i
+            WHERE a.e = '<p>' AND NOT EXISTS (SELECT 1 FROM dep c WHERE c.page_id = a.page_id AND c.i > a.i AND c.i <= b.i AND c.d < a.d)),
+    par AS (SELECT page_id, k, replace(replace(replace(replace(regexp_replace(string_agg(seg, '' ORDER BY j), '(?s)<!--.*?-->|<[^>]*>', '', 'g'),
+                   '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t FROM cov GROUP BY ALL),
+    txt AS (SELECT page_id, string_agg(t, ' ' ORDER BY k) AS content FROM par GROUP BY page_id)
+"""
+
+
+@query(f"""
+    WITH {REPEATED_SQL}
+    SELECT page_id, replace({TITLE_SQL}, '&amp;', '&') AS title, NULL::VARCHAR AS author,
+           NULL::VARCHAR AS publish_date, coalesce(content, '') AS content,
+           NULL::VARCHAR AS theme, url, {PUBLISHER_SQL} AS publisher
+    FROM pages LEFT JOIN txt USING (page_id)
+""")
 def prj04_page_fields_repeat(spark, sf):
     """Nested paragraphs counted in each paragraph that holds them."""
     return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",), nested="repeat")
