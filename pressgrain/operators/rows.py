@@ -94,6 +94,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+def distinct_count(df: DataFrame, column: str) -> DataFrame:
+    """One row with the number of distinct non-null values, compared by digest."""
+    digest = F.unhex(F.sha2(F.col(column).cast("string"), 256))
+    return df.where(F.col(column).isNotNull()).select(digest.alias("d")).agg(
+        F.count_distinct("d").alias("n_distinct")
+    )
+
+
 def union_by_name(*tables: DataFrame) -> DataFrame:
     """Append tables, matching columns by name; missing ones become null."""
     if not tables:

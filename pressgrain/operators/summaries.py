@@ -19,7 +19,7 @@ SALTS = 64
 
 
 def group_text(
-    df: DataFrame, group: str, order: str, text_column: str, rows_per_block: int = 10_000
+    df: DataFrame, group: str, order: str, text_column: str, rows_per_block: int = 1000
 ) -> DataFrame:
     """All texts of each group, in order, joined by one space, whole.
 

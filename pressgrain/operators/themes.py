@@ -96,8 +96,14 @@ def cluster_keywords(
 
 
 def capped_clusters(df: DataFrame, text_column: str, n_topics: int) -> int:
-    """min(n_topics, distinct texts).  Runs a job that stops at n_topics texts."""
-    return df.select(text_column).distinct().limit(n_topics).count()
+    """min(n_topics, distinct texts).  Runs a job.
+
+    The first rows usually hold enough distinct texts already; only if they do
+    not is the whole table looked at, by digest.
+    """
+    texts = df.select(F.sha2(text_column, 256).alias("d"))
+    first = texts.limit(20 * n_topics).distinct().count()
+    return n_topics if first >= n_topics else texts.distinct().limit(n_topics).count()
 
 
 def assign_clusters(

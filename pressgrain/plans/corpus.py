@@ -12,6 +12,7 @@ from pressgrain.operators.columns import consolidate_columns
 from pressgrain.operators.lookups import topic_articles
 from pressgrain.operators.pages import extract_articles
 from pressgrain.operators.rows import drop_blank, drop_repeated_rows, exclude_by_keywords
+from pressgrain.sources.stored import stored
 
 
 def pages_to_read(
@@ -45,13 +46,14 @@ def build_corpus(
 ) -> DataFrame:
     """Pages to deduplicated, cleaned articles without the excluded titles.
 
-    Consolidating the columns runs one aggregate.
+    Runs jobs: the distinct articles are stored, so that counting the columns'
+    values does not parse the pages again.
     """
     articles = extract_articles(pages, theme=theme, status=status, nested=nested)
-    return finish_corpus(drop_repeated_rows(articles), excluded=excluded)
+    return finish_corpus(stored(drop_repeated_rows(articles)), excluded=excluded)
 
 
 def finish_corpus(articles: DataFrame, *, excluded: Sequence[str] = EXCLUDED_TITLE_KEYWORDS) -> DataFrame:
-    """Clean, tidy and filter articles whose rows are already distinct."""
+    """Clean, tidy and filter distinct articles.  Runs one aggregate."""
     tidy = consolidate_columns(clean_articles(articles))
     return exclude_by_keywords(tidy, "title", excluded)

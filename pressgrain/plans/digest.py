@@ -10,6 +10,7 @@ from pressgrain.operators.inference import Predictor, embed
 from pressgrain.operators.rows import union_by_name, where_equals
 from pressgrain.operators.summaries import extractive_summary, generated_summary, group_beginning
 from pressgrain.operators.themes import themes, top_listed_words
+from pressgrain.sources.stored import stored
 
 
 def stance_themes(
@@ -25,13 +26,16 @@ def stance_themes(
 ) -> DataFrame:
     """(group, cluster, keywords) of the named groups, each clustered on its own.
 
-    Runs jobs: one clustering per named group.
+    Runs jobs: the vectors are made and stored once, then each named group is
+    clustered.
     """
+    wanted = articles.where(F.col(group).isin(list(values))).select(key, group, text_column)
+    vectors = stored(embed(wanted, text_column, encoder))
     parts = []
     for value in values:
-        vectors = embed(where_equals(articles, group, value), text_column, encoder)
         found = themes(
-            vectors, text_column, "embedding", key, n_topics=n_topics, stop_words=stop_words
+            where_equals(vectors, group, value), text_column, "embedding", key,
+            n_topics=n_topics, stop_words=stop_words,
         )
         parts.append(found.select(F.lit(value).alias(group), "cluster", "keywords"))
     return union_by_name(*parts)

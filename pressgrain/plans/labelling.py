@@ -13,6 +13,7 @@ from pressgrain.operators.inference import Predictor, score_model
 from pressgrain.operators.matching import map_stance, stance_table
 from pressgrain.operators.rows import keep_agreeing, with_row_id
 from pressgrain.operators.sentiment import score_lexicon
+from pressgrain.sources.stored import stored
 
 LEXICON_LABEL = "overall_emotion_vader"
 MODEL_LABEL = "sentiment_category_bert"
@@ -43,9 +44,10 @@ def label_articles(
 ) -> DataFrame:
     """Articles on which both scorers agree, with the publisher's stance.
 
-    Runs jobs: the columns' fill counts, and the stance of each publisher.
+    Runs jobs: the scored articles are stored, so that the steps after them do
+    not run the model again.
     """
-    scored = score_articles(corpus, lexicon, predictor, rules=rules)
+    scored = stored(score_articles(corpus, lexicon, predictor, rules=rules))
     agreeing = keep_agreeing(consolidate_columns(scored), LEXICON_LABEL, MODEL_LABEL)
     return map_stance(
         agreeing, stance_table(corpus.sparkSession, stances), stop_words=stop_words

@@ -458,7 +458,7 @@ def ag10_repeated_rows_report(spark, sf):
 
 @query("SELECT count(DISTINCT text) AS n_texts FROM documents")
 def ag16_distinct_texts(spark, sf):
-    return table(spark, sf, "documents").agg(F.count_distinct("text").alias("n_texts"))
+    return R.distinct_count(table(spark, sf, "documents"), "text").toDF("n_texts")
 
 
 @query("""

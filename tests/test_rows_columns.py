@@ -115,3 +115,8 @@ def test_merge_scores(spark):
     got = L.merge_scores(base, one, two, suffixes=["", "_bert"])
     assert got.columns == ["unique_id", "n", "score", "score_bert"]
     assert rows(got) == [("a", 1, 0.5, 0.1), ("b", 2, None, 0.2)]
+
+
+def test_distinct_count(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("",)], "t string")
+    assert R.distinct_count(df, "t").first()[0] == 2
