@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, functions as F
 
 from pressgrain.functions.columns import bind
-from pressgrain.functions.text import words
+from pressgrain.functions.text import split_words
 
 # Fixed values of the published rules.
 BOOST = 0.293
@@ -121,7 +121,7 @@ _PLAIN_WORD = r"([^!-/:-@\[-`{-~]{2,})"
 
 def sentiment_words(text: Column) -> Column:
     """Words longer than one character, without one run of punctuation at one end."""
-    kept = F.filter(words(text), lambda w: F.length(w) > 1)
+    kept = F.filter(split_words(text), lambda w: F.length(w) > 1)
     return F.transform(
         kept,
         lambda w: F.when(w.rlike("^[a-zA-Z]+$"), w).otherwise(
@@ -247,53 +247,58 @@ def _word_score(
 
 
 def _scores_of(text: Column, w: Column, low: Column, valences: Column, rules: Rules) -> Column:
-    shouted = F.size(F.filter(w, _shouted))
-    mixed = (shouted > 0) & (shouted < F.size(w))
-
-    def scored(mixed: Column) -> Column:
-        contrast = F.array_position(low, rules.contrast)
+    # two adjacent characters that are no small letters: most texts lack them
+    mixed = (
+        text.rlike(r"[^\p{Ll}\s]{2}")
+        & F.exists(w, _shouted)
+        & F.exists(w, lambda t: ~_shouted(t))
+    )
 
-        def sentiment(token: Column, i: Column) -> Column:
+    def scored(mixed: Column, turn: Column) -> Column:
+        def sentiment(i: Column) -> Column:
             # the context looked at is that of the word's first occurrence
-            first = (F.array_position(w, token) - 1).cast("int")
-            dampener = (F.lower(token) == rules.kind) & F.coalesce(
-                F.get(low, first + 1) == "of", F.lit(False)
+            first = (F.array_position(w, F.get(w, i)) - 1).cast("int")
+            return bind(
+                first,
+                lambda at: F.when(neutral(at), F.lit(0.0)).otherwise(
+                    _word_score(w, low, valences, at, mixed, rules)
+                )
+                * F.when((turn == 0) | (i + 1 == turn), F.lit(1.0))
+                .when(i + 1 < turn, F.lit(BEFORE_CONTRAST))
+                .otherwise(F.lit(AFTER_CONTRAST)),
             )
-            neutral = dampener | F.lower(token).isin(list(rules.boosters))
-            value = bind(first, lambda at: _word_score(w, low, valences, at, mixed, rules))
-            return F.when(
-                F.isnotnull(F.get(valences, i)),
-                F.when(neutral, F.lit(0.0)).otherwise(value),
-            ).otherwise(F.lit(0.0))
 
-        return bind(
-            contrast,
-            lambda turn: F.transform(
-                w,
-                lambda t, i: bind(
-                    sentiment(t, i),
-                    lambda s: F.when(turn == 0, s)
-                    .when(i + 1 < turn, s * BEFORE_CONTRAST)
-                    .when(i + 1 > turn, s * AFTER_CONTRAST)
-                    .otherwise(s),
-                ),
+        def neutral(at: Column) -> Column:
+            here = F.get(low, at)
+            dampener = (here == rules.kind) & F.coalesce(F.get(low, at + 1) == "of", F.lit(False))
+            return dampener | here.isin(list(rules.boosters))
+
+        listed = F.filter(
+            F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(valences, i).isNotNull()
+        )
+        return F.filter(F.transform(listed, sentiment), lambda s: s != 0)
+
+    zero = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"))
+
+    def summed(sentiments: Column) -> Column:
+        return F.aggregate(
+            sentiments,
+            zero,
+            lambda a, s: F.struct(
+                (a["total"] + s).alias("total"),
+                (a["pos"] + F.when(s > 0, s + 1).otherwise(F.lit(0.0))).alias("pos"),
+                (a["neg"] + F.when(s < 0, s - 1).otherwise(F.lit(0.0))).alias("neg"),
+            ),
+            lambda a: F.struct(
+                a["total"], a["pos"], a["neg"], (F.size(w) - F.size(sentiments)).alias("neu")
             ),
         )
 
-    zero = F.struct(
-        F.lit(0.0).alias("total"),
-        F.lit(0.0).alias("pos"),
-        F.lit(0.0).alias("neg"),
-        F.lit(0).alias("neu"),
-    )
-    sums = F.aggregate(
-        bind(mixed, scored),
-        zero,
-        lambda a, s: F.struct(
-            (a["total"] + s).alias("total"),
-            (a["pos"] + F.when(s > 0, s + 1).otherwise(F.lit(0.0))).alias("pos"),
-            (a["neg"] + F.when(s < 0, s - 1).otherwise(F.lit(0.0))).alias("neg"),
-            (a["neu"] + F.when(s == 0, F.lit(1)).otherwise(F.lit(0))).alias("neu"),
+    sums = bind(
+        mixed,
+        lambda m: bind(
+            F.array_position(low, rules.contrast),
+            lambda turn: bind(scored(m, turn), summed),
         ),
     )
     marks = F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))

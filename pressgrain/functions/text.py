@@ -12,9 +12,14 @@ from pressgrain.functions.columns import bind
 _SPACE = r"\s\x1c-\x1f"
 
 
+def split_words(text: Column) -> Column:
+    """Whitespace-separated words; the first and last may be empty."""
+    return F.split(text, f"(?U)[{_SPACE}]+")
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated words, empty strings removed."""
-    return F.filter(F.split(text, f"(?U)[{_SPACE}]+"), lambda w: w != "")
+    return F.filter(split_words(text), lambda w: w != "")
 
 
 def clean_words(text: Column) -> Column:
