@@ -53,9 +53,13 @@ def publisher_from_url(url: Column) -> Column:
 
 def publisher_from_title(title: Column) -> Column:
     """Text after the last `` - ``, else after the last `` | ``, else ``Unknown``."""
+    def last(mark: str) -> Column:
+        # split from the left: in "a | | b" the second bar belongs to the last part
+        return F.element_at(F.split(title, mark), -1)
+
     return (
-        F.when(title.contains(" - "), F.substring_index(title, " - ", -1))
-        .when(title.contains(" | "), F.substring_index(title, " | ", -1))
+        F.when(title.contains(" - "), last(" - "))
+        .when(title.contains(" | "), last(r" \| "))
         .when(title.isNotNull(), F.lit("Unknown"))
     )
 

@@ -114,6 +114,9 @@ def prj01_publisher_from_url(spark, sf):
 
 
 TITLE_SQL = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+DECODED_TITLE_SQL = (
+    f"replace(replace(replace(replace({TITLE_SQL}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+)
 
 
 @query(f"""
@@ -154,8 +157,17 @@ PARAGRAPHS_SQL = r"""
 """
 
 
+# The first paragraph or block that holds one string, a by-line of at most three words.
+AUTHOR_SQL = r"""
+    list_transform(list_filter(list_transform(
+        regexp_extract_all(html, '(?is)<(?:p|div)(?:\s[^>]*)?>([^<]*)</(?:p|div)>', 1),
+        lambda x: regexp_split_to_array(trim(replace(x, '&amp;', '&')), '\s+')),
+        lambda ws: lower(ws[1]) = 'by' AND len(ws) BETWEEN 2 AND 4), lambda ws: array_to_string(ws[2:], ' '))[1]
+"""
+
+
 @query(f"""
-    SELECT page_id, replace({TITLE_SQL}, '&amp;', '&') AS title, NULL::VARCHAR AS author,
+    SELECT page_id, {DECODED_TITLE_SQL} AS title, {AUTHOR_SQL} AS author,
            NULL::VARCHAR AS publish_date, {PARAGRAPHS_SQL} AS content,
            NULL::VARCHAR AS theme, url, {PUBLISHER_SQL} AS publisher
     FROM pages
@@ -182,7 +194,7 @@ REPEATED_SQL = r"""
 
 @query(f"""
     WITH {REPEATED_SQL}
-    SELECT page_id, replace({TITLE_SQL}, '&amp;', '&') AS title, NULL::VARCHAR AS author,
+    SELECT page_id, {DECODED_TITLE_SQL} AS title, {AUTHOR_SQL} AS author,
            NULL::VARCHAR AS publish_date, coalesce(content, '') AS content,
            NULL::VARCHAR AS theme, url, {PUBLISHER_SQL} AS publisher
     FROM pages LEFT JOIN txt USING (page_id)

@@ -63,8 +63,8 @@ def test_publisher_from_url(spark):
 
 
 def test_publisher_from_title(spark):
-    titles = ["A - B", "A | B", "A - B | C", "A | B - C - D", "plain", "a-b|c", None]
-    want = ["B", "B", "B | C", "D", "Unknown", "Unknown", None]
+    titles = ["A - B", "A | B", "A - B | C", "A | B - C - D", "plain", "a-b|c", None, "a | | b", "a - - - b", "x - "]
+    want = ["B", "B", "B | C", "D", "Unknown", "Unknown", None, "| b", "b", ""]
     assert many(spark, titles, T.publisher_from_title) == want
 
 
