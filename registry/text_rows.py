@@ -114,8 +114,10 @@ def prj01_publisher_from_url(spark, sf):
 
 
 TITLE_SQL = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+# The pages cut some titles inside an entity: &amp without its semicolon.
 DECODED_TITLE_SQL = (
-    f"replace(replace(replace(replace({TITLE_SQL}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+    f"regexp_replace(replace(replace(replace({TITLE_SQL}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), "
+    "'&amp;?', '&', 'g')"
 )
 
 
