@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 _SUFFIX = re.compile(r"_[xy]$")
 
 
-def _names(df: DataFrame) -> list[str]:
-    return df.columns
-
-
 def _positional(df: DataFrame) -> DataFrame:
     """Rename columns to c0, c1, ...: names may repeat, positions do not."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
@@ -22,7 +18,7 @@ def _positional(df: DataFrame) -> DataFrame:
 
 def non_null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of non-null values of each column."""
-    return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in _names(df)])
+    return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

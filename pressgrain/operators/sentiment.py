@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pressgrain.functions.lexicon import Rules, literal_valence, polarity, sentiment_words
 from pressgrain.functions.text import sentiment_category
 from pressgrain.operators.tfidf import term_counts
+from pressgrain.schemas import LEXICON
 
 # a lexicon up to this size travels in the plan; a larger one is joined
 MAX_LITERAL_LEXICON = 20_000
@@ -28,8 +29,10 @@ def token_valences(df: DataFrame, key: str, text: Column, lexicon: DataFrame) ->
     )
 
 
-def _lexicon_rows(lexicon: DataFrame) -> dict[str, float] | None:
+def _literal(lexicon: DataFrame | Mapping[str, float]) -> dict[str, float] | None:
     """The lexicon as a dict, or None if it is larger than the literal bound."""
+    if isinstance(lexicon, Mapping):
+        return dict(lexicon) if len(lexicon) <= MAX_LITERAL_LEXICON else None
     rows = lexicon.select("token", "valence").limit(MAX_LITERAL_LEXICON + 1).collect()
     return None if len(rows) > MAX_LITERAL_LEXICON else {r.token: r.valence for r in rows}
 
@@ -45,17 +48,20 @@ def score_lexicon(
 ) -> DataFrame:
     """Adds the four scores, the category and the intensity.
 
+    ``lexicon`` has one (token, valence) per lower-case token.
     A lexicon within ``MAX_LITERAL_LEXICON`` words (checked by reading at most
     one row more) is part of the plan and the scoring is a projection.  A larger
     one is joined to the distinct words of each text, which needs ``key``.
     """
-    literal = dict(lexicon) if isinstance(lexicon, Mapping) else _lexicon_rows(lexicon)
+    literal = _literal(lexicon)
     text = F.col(text_column)
     if literal is not None:
         scored = df.withColumn("_scores", polarity(text, literal_valence(literal), rules))
     else:
         if key is None:
             raise ValueError("a lexicon joined from a table needs the key column")
+        if isinstance(lexicon, Mapping):
+            lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), LEXICON)
         listed = (
             token_valences(df, key, text, lexicon)
             .groupBy(key)

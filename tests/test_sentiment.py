@@ -98,6 +98,7 @@ def test_table_lexicon_gives_the_same_as_literal(spark, monkeypatch):
     literal = rows(S.score_lexicon(df, "t", lexicon))
     monkeypatch.setattr(S, "MAX_LITERAL_LEXICON", 2)
     assert rows(S.score_lexicon(df, "t", lexicon, key="i")) == literal
+    assert rows(S.score_lexicon(df, "t", LEXICON, key="i")) == literal
     with pytest.raises(ValueError):
         S.score_lexicon(df, "t", lexicon)
 
