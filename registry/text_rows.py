@@ -520,3 +520,15 @@ def jn01_merge_scores(spark, sf):
     return L.merge_scores(
         docs, labels, labels.select("doc_id", "quality"), key="doc_id", suffixes=["", "_bert"]
     )
+
+
+@query("SELECT d.doc_id AS article, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def prj10_strip_merge_suffix(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("lang_x"))
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("quality_y"))
+    return C.strip_merge_suffix(L.attach(docs, labels, "doc_id").withColumnRenamed("doc_id", "article_x"))
+
+
+@query(f"SELECT page_id, {PARAGRAPHS_SQL} AS content FROM pages")
+def prj04d_body_text(spark, sf):
+    return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",)).select("page_id", "content")
