@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgrain.llm import simhash
+from pressgrain.llm import decontam, packing, quality, secret_scan, simhash
 from pressgrain.llm.common import prepare, table
 from pressgrain.session import shared_dir
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, learned from the labels, accepts."""
+    prepare(spark)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.7)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
@@ -17,11 +26,37 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, shingle=4, distance=4)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    prepare(spark)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced and ``n_chars`` counted anew where text changed."""
+    prepare(spark)
+    clean = docs.withColumn("clean_text", secret_scan.redact(F.col("text")))
+    n_chars = F.when(F.col("clean_text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(
+        F.length("clean_text").cast("long")
+    )
+    return clean.withColumn("n_chars", n_chars).withColumn("text", F.col("clean_text")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in training sequences."""
+    prepare(spark)
+    return packing.pack(docs, TOKENIZER, window=2048, end_id=1)
+
+
 STAGES = [
-    ("near_duplicates", near_duplicates),
+    ("quality_classifier", good_quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("secret_scans", without_secrets),
+    ("packing", packed),
 ]
 
-# Trained models, compression and tokenizers are beyond SQL.
+# Trained models, compression and tokenizers are beyond SQL; tests/llm holds the rows against plain Python.
 ORACLE_SQL = None
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import simhash
+from pressgrain.llm import decontam, packing, quality, secret_scan, simhash
 from pressgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,24 @@ def query(sql: str | None = None):
 def op1_simhash(spark, sf):
     groups = simhash.near_copies(table(spark, sf, "documents"), shingle=4, distance=4)
     return groups.select("doc_id", simhash.hex16().alias("fingerprint"), "component_id")
+
+
+@query()
+def op2_decontamination(spark, sf):
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query()
+def op3_secrets(spark, sf):
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
+@query()
+def op5_packing(spark, sf):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf, "documents"), path, window=2048, end_id=1)
+
+
+@query()
+def op6_quality(spark, sf):
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.7)
