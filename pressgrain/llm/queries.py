@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, packing, quality, secret_scan, simhash
+from pressgrain.llm import decontam, merkle, packing, quality, secret_scan, simhash
 from pressgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op5_packing(spark, sf):
 @query()
 def op6_quality(spark, sf):
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.7)
+
+
+@query(merkle.COMPARE_SQL)
+def op9_fingerprints(spark, sf):
+    return merkle.compare_with_edits(table(spark, sf, "documents"))
