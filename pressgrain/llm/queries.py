@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, merkle, packing, quality, secret_scan, simhash
+from pressgrain.llm import decontam, merkle, packing, quality, secret_scan, simhash, warc
 from pressgrain.llm.common import table
+from pressgrain.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +56,16 @@ def op6_quality(spark, sf):
 @query(merkle.COMPARE_SQL)
 def op9_fingerprints(spark, sf):
     return merkle.compare_with_edits(table(spark, sf, "documents"))
+
+
+@query("""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+    k AS (SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS kept FROM d)
+    SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> kept THEN kept END AS refers_to, true AS intact
+    FROM k
+""")
+def op4_warc(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")

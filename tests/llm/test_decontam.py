@@ -1,0 +1,85 @@
+import random
+
+from pressgrain.llm import decontam as D
+
+
+def tables(spark, docs, items):
+    return (
+        spark.createDataFrame([(d, t, 0, "q") for d, t in docs], "doc_id long, text string, item_id int, slots string"),
+        spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int"),
+    )
+
+
+def test_templates_catch_other_numbers_and_names(spark):
+    item = ("A train leaves Berlin at 9 and travels 240 km in 3 hours while a second train leaves Berlin later; "
+            "how far from Berlin are both after 3 hours?")
+    swapped = item.replace("Berlin", "Madrid").replace("240", "410").replace("3 hours", "5 hours").replace("km", "miles")
+    torn = item.replace("Berlin at", "Madrid at").replace("leaves Berlin later", "leaves Paris later").replace(
+        "from Berlin", "from Oslo")
+    docs = [
+        (1, f"Some text before. {item} And after."), (2, f"Intro, 12 kg. {swapped}\nEnd."), (3, f"Torn: {torn}"),
+        (4, "A train leaves the city and nothing of this is in the benchmark at all, not one question."),
+        (5, None), (6, ""), (None, item), (2, "second row of two"), (7, "x " * 50_000 + item),
+    ]
+    d, i = tables(spark, docs, [(10, item), (11, None), (12, ""), (None, item), (13, "7 8 9")])
+    got = {(r["doc_id"], r["item_id"]): r for r in D.contaminated(d, i).collect()}
+    assert set(got) == {(1, 10), (2, 10), (7, 10)}
+    assert got[1, 10]["n_exact"] == got[1, 10]["n_windows"] == got[2, 10]["n_found"]
+    assert got[2, 10]["n_exact"] < got[2, 10]["n_found"]
+    kept = sorted((r[0] or 0) for r in D.drop_contaminated(d, i).collect())
+    assert kept == [0, 3, 4, 5, 6]
+    assert D.contaminated(d.limit(0), i).count() == 0
+    assert D.contaminated(d, i.limit(0)).count() == 0
+
+
+def test_short_items_are_found_whole(spark):
+    d, i = tables(spark, [(1, "we said green apples taste sour, always"), (2, "green apples taste")], [(5, "Well. Green apples taste sour")])
+    found = D.contaminated(d, i, size=8, literal=3).collect()
+    assert found == [] or [(r["doc_id"], r["item_id"]) for r in found] == [(1, 5)]
+    d, i = tables(spark, [(1, "we said the apples taste sour, always"), (2, "the apples taste")], [(5, "the apples taste sour")])
+    assert [(r["doc_id"], r["item_id"]) for r in D.contaminated(d, i).collect()] == [(1, 5)]
+
+
+def brute(docs, items, size, literal, coverage):
+    """All windows of all pairs, in plain Python over (kind, value) tokens."""
+    def tokens(text):
+        h, v, s = D.template(text)
+        return list(zip(h.tolist(), v.tolist(), s.tolist()))
+
+    out = set()
+    for d, t in docs:
+        doc = tokens(t)
+        for i, u in items:
+            item = tokens(u)
+            w = min(size, len(item))
+            places = [p for p in range(len(item) - w + 1) if sum(not x[2] for x in item[p : p + w]) >= min(literal, w)]
+            hits = {}
+            for p in places:
+                for q in range(len(doc) - w + 1):
+                    if all(a[0] == b[0] and a[2] == b[2] for a, b in zip(item[p : p + w], doc[q : q + w])):
+                        hits.setdefault(q - p, []).append(p)
+            found = set()
+            for shift, ps in hits.items():
+                pairs = {(item[k][1], doc[k + shift][1]) for p in ps for k in range(p, p + w) if item[k][2]}
+                bad = {x for x in pairs if sum(x[0] == y[0] for y in pairs) > 1 or sum(x[1] == y[1] for y in pairs) > 1}
+                found |= {p for p in ps if not any((item[k][1], doc[k + shift][1]) in bad for k in range(p, p + w))}
+            if places and len(found) / len(places) >= coverage:
+                out.add((d, i, len(places), len(found)))
+    return out
+
+
+def test_matches_brute_force(spark):
+    rng = random.Random(4)
+    vocabulary = ["the", "Tom", "Anna", "12", "7", "km", "runs", "far", "and", "sees", "red", "house", ".", "two"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(4, 25)))) for i in range(12)]
+    docs = []
+    for k in range(40):
+        t = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30)))
+        leak = items[rng.randrange(12)][1].split(" ")
+        for _ in range(rng.randint(0, 3)):
+            leak[rng.randrange(len(leak))] = rng.choice(vocabulary)
+        docs.append((k, t + " " + " ".join(leak)))
+    d, i = tables(spark, docs, items)
+    got = {(r["doc_id"], r["item_id"], r["n_windows"], r["n_found"]) for r in D.contaminated(d, i, 5, 2, 0.5).collect()}
+    assert got == brute(docs, items, 5, 2, 0.5)
+    assert got
