@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, merkle, packing, quality, secret_scan, simhash, warc
+from pressgrain.llm import decontam, licences, merkle, packing, quality, secret_scan, simhash, warc
 from pressgrain.llm.common import table
 from pressgrain.session import shared_dir
 
@@ -69,3 +69,8 @@ def op9_fingerprints(spark, sf):
 """)
 def op4_warc(spark, sf):
     return warc.round_trip(table(spark, sf, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+
+
+@query()
+def op7_licences(spark, sf):
+    return licences.scan(table(spark, sf, "documents"))
