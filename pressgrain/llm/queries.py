@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, licences, merkle, packing, quality, secret_scan, simhash, warc
+from pressgrain.llm import decontam, licences, merkle, packing, quality, secret_scan, simhash, suffixes, warc
 from pressgrain.llm.common import table
 from pressgrain.session import shared_dir
 
@@ -74,3 +74,8 @@ def op4_warc(spark, sf):
 @query()
 def op7_licences(spark, sf):
     return licences.scan(table(spark, sf, "documents"))
+
+
+@query()
+def op10_suffix_arrays(spark, sf):
+    return suffixes.repeated_spans(table(spark, sf, "documents"), min_words=50)
