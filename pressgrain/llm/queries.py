@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, licences, merkle, packing, quality, secret_scan, simhash, suffixes, warc
+from pressgrain.llm import decontam, licences, merkle, packing, paragraphs, quality, secret_scan, simhash, suffixes, warc
 from pressgrain.llm.common import table
 from pressgrain.session import shared_dir
 
@@ -79,3 +79,8 @@ def op7_licences(spark, sf):
 @query()
 def op10_suffix_arrays(spark, sf):
     return suffixes.repeated_spans(table(spark, sf, "documents"), min_words=50)
+
+
+@query()
+def op8_paragraphs(spark, sf):
+    return paragraphs.repeated_passages(table(spark, sf, "documents"), threshold=0.8)
