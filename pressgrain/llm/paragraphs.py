@@ -296,7 +296,7 @@ def similar_paragraphs(bands: DataFrame, texts: DataFrame, threshold: float = 0.
 
 
 def repeated_passages(
-    docs: DataFrame, threshold: float = 0.8, least_words: int = 25, gap: int = SHINGLE - 1,
+    docs: DataFrame, threshold: float = 0.8, least_words: int = 20, gap: int = SHINGLE - 1,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Rows (doc_id, start_word, n_words, n_removed, first_doc_id): passages repeated across documents.
