@@ -7,7 +7,8 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline
-from pyspark.sql import functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window, functions as F
 
 from pressgrain.functions import text as T
 from pressgrain.operators import (
@@ -157,26 +158,31 @@ def ml07_train_test_split(spark, sf):
     return FE.with_split(table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
-def nb_sql(target: str, alpha: float, prior: str) -> str:
+TEXTBOOK_PRIOR = "ln(k / n)"
+WITH_PAIRS = "list_concat(ts, list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1]))"
+
+
+def nb_sql(target: str, alpha: str | float, ngrams: str | int = 1, max_df: str | float = 1.0) -> str:
     """Predictions for the (doc_id, ts) rows of ``target`` by the textbook formulas.
 
-    ``prior`` is the class's log probability from its count k, the number n of
-    training rows and the number c of classes.
+    The settings may be SQL expressions.
     """
+    terms = f"CASE WHEN {ngrams} = 2 THEN {WITH_PAIRS} ELSE ts END"
     return f"""
     art AS (SELECT doc_id, label_model AS label, {tokens_sql('content', STOP)} AS ts, {SPLIT_SQL} AS test FROM ({LABELLED_SQL})),
-    tok AS (SELECT doc_id, label, unnest(ts) AS token FROM art WHERE NOT test),
+    tok AS (SELECT doc_id, label, unnest({terms}) AS token FROM art WHERE NOT test),
     tc AS (SELECT doc_id, label, token, count(*) AS tf FROM tok GROUP BY ALL),
-    nd AS (SELECT count(*) AS n, count(DISTINCT label) AS c FROM art WHERE NOT test),
-    fr AS (SELECT token, ln((any_value(n) + 1) / (count(*) + 1)) + 1 AS idf FROM tc, nd GROUP BY token),
+    nd AS (SELECT count(*) AS n FROM art WHERE NOT test),
+    fr AS (SELECT token, ln((any_value(n) + 1) / (count(*) + 1)) + 1 AS idf FROM tc, nd GROUP BY token
+           HAVING count(*) / any_value(n) <= {max_df}),
     rw AS (SELECT doc_id, label, token, tf * idf AS raw FROM tc JOIN fr USING (token)),
     wt AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS w FROM rw),
-    cls AS (SELECT label, {prior} AS prior FROM (SELECT label, count(*) AS k FROM art WHERE NOT test GROUP BY label), nd),
+    cls AS (SELECT label, {TEXTBOOK_PRIOR} AS prior FROM (SELECT label, count(*) AS k FROM art WHERE NOT test GROUP BY label), nd),
     sums AS (SELECT g.token, g.label, coalesce(sum(w), 0) + {alpha} AS s FROM (SELECT token, label FROM fr, cls) g
              LEFT JOIN wt t ON t.token = g.token AND t.label = g.label GROUP BY 1, 2),
     theta AS (SELECT token, label, ln(s) - ln(sum(s) OVER (PARTITION BY label)) AS lp FROM sums),
     tgt AS ({target}),
-    ttc AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS token FROM tgt) GROUP BY ALL),
+    ttc AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest({terms}) AS token FROM tgt) GROUP BY ALL),
     trw AS (SELECT doc_id, token, tf * idf AS raw FROM ttc JOIN fr USING (token)),
     twt AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS w FROM trw),
     ev AS (SELECT doc_id, label, sum(w * lp) AS e FROM twt JOIN theta USING (token) GROUP BY ALL),
@@ -187,15 +193,13 @@ def nb_sql(target: str, alpha: float, prior: str) -> str:
     """
 
 
-TEXTBOOK_PRIOR = "ln(k / n)"
-MLLIB_PRIOR = "ln(k + 1.0) - ln(n + c * 1.0)"
 TEST_ROWS = "SELECT doc_id, ts FROM art WHERE test"
 LABELLED_ROWS = "SELECT doc_id, ts FROM art"
 ALL_ROWS = f"SELECT doc_id, {tokens_sql(stop=STOP)} AS ts FROM documents"
 CLASSES = ["negative", "positive"]
 
 
-@query(f"WITH {nb_sql(TEST_ROWS, 0.01, TEXTBOOK_PRIOR)} SELECT doc_id, prediction FROM pred")
+@query(f"WITH {nb_sql(TEST_ROWS, 0.01)} SELECT doc_id, prediction FROM pred")
 def ml08_naive_bayes_tables(spark, sf):
     rows = _labelled_articles(spark, sf).withColumnRenamed("label_model", "label")
     train, test = rows.where(~FE.in_test("doc_id")), rows.where(FE.in_test("doc_id"))
@@ -212,7 +216,7 @@ def ml08_naive_bayes_tables(spark, sf):
 
 
 @query(f"""
-    WITH {nb_sql(TEST_ROWS, 1.0, MLLIB_PRIOR)},
+    WITH {nb_sql(TEST_ROWS, 1.0)},
     {class_report_sql("SELECT label AS l, prediction AS p FROM art JOIN pred USING (doc_id)")}
 """)
 def ml08_naive_bayes_report(spark, sf):
@@ -225,7 +229,7 @@ def ml08_naive_bayes_report(spark, sf):
 
 
 MAX_DF, NGRAMS, ALPHA, FOLDS = NB.MAX_DF, NB.NGRAMS, NB.ALPHA, 5
-FOLD_SQL = "('0x' || substr(md5(doc_id::VARCHAR), 9, 8))::BIGINT % 5"
+FOLD_SQL = "(row_number() OVER (PARTITION BY label_model ORDER BY md5(doc_id::VARCHAR)) - 1) % 5"
 GRID_SQL = f"""
     WITH art AS (SELECT doc_id, label_model AS label, {tokens_sql('content', STOP)} AS ts, {FOLD_SQL} AS home
                  FROM ({LABELLED_SQL}) WHERE NOT ({SPLIT_SQL})),
@@ -269,17 +273,26 @@ def ml09_grid_search(spark, sf):
     return accuracy.withColumn("accuracy", r6("accuracy"))
 
 
-@query()
+BEST_SQL = f"best AS (SELECT * FROM ({GRID_SQL}) ORDER BY accuracy DESC, alpha DESC, max_df, ngrams LIMIT 1)"
+
+
+@query(f"""
+    WITH {BEST_SQL},
+    {nb_sql(TEST_ROWS, "(SELECT alpha FROM best)", "(SELECT ngrams FROM best)", "(SELECT max_df FROM best)")},
+    rep AS (WITH {class_report_sql("SELECT label AS l, prediction AS p FROM art JOIN pred USING (doc_id)")})
+    SELECT rep.*, max_df::DOUBLE AS best_max_df, ngrams::DOUBLE AS best_ngrams, alpha::DOUBLE AS best_alpha FROM rep, best
+""")
 def ml09_best_model(spark, sf):
     """Held-out report of the best setting of the grid."""
     trained = NB.train(_labelled_articles(spark, sf), "content", "label_model", "doc_id", stop_words=STOP)
     best = trained.best_parameters
     return trained.report.select(
-        "*", *[F.lit(float(best[k])).alias(f"best_{k}") for k in ("max_df", "ngrams", "alpha")]
+        "class", *[r6(m).alias(m) for m in ("precision", "recall", "f1")], "support",
+        *[F.lit(float(best[k])).alias(f"best_{k}") for k in ("max_df", "ngrams", "alpha")],
     )
 
 
-@query(f"WITH {nb_sql(ALL_ROWS, 1.0, MLLIB_PRIOR)} SELECT doc_id, prediction AS predicted_sentiment_multinomialnb FROM pred")
+@query(f"WITH {nb_sql(ALL_ROWS, 1.0)} SELECT doc_id, prediction AS predicted_sentiment_multinomialnb FROM pred")
 def ml11_predict_all(spark, sf):
     """A label for every document, from a model fitted on the labelled ones."""
     trained = NB.train(
@@ -303,23 +316,62 @@ def prj15_label_codes(spark, sf):
 # --- topics and trees ---------------------------------------------------------
 
 
-@query()
+def _topics(spark, sf):
+    return TO.fit_topics(_articles(spark, sf), "content", stop_words=STOP)
+
+
+@query(f"""
+    WITH {TOK_STOP}, v AS (SELECT count(DISTINCT token) AS n_vocabulary FROM tok)
+    SELECT d.doc_id, count(token) AS n_words, any_value(n_vocabulary) AS n_vocabulary,
+           (count(token) > 0)::INT::DOUBLE AS mass, count(token) > 0 AS proper
+    FROM documents d CROSS JOIN v LEFT JOIN tok ON tok.doc_id = d.doc_id GROUP BY 1
+""")
 def ml12_lda_topics(spark, sf):
-    """Top ten words of five topics, one column per topic."""
-    topics, _, _ = TO.fit_topics(_articles(spark, sf), "content", stop_words=STOP)
-    return topics.wide()
+    """Each text's counted words and topic shares: every word is counted, shares sum to one (to zero without words)."""
+    topics, counter, counted = _topics(spark, sf)
+    scored = topics.model.transform(counted).select(
+        "doc_id", F.unwrap_udt("counts")["values"].alias("v"), vector_to_array("topicDistribution").alias("share")
+    )
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    return scored.select(
+        "doc_id", total("v").cast("long").alias("n_words"), F.lit(len(counter.vocabulary)).cast("long").alias("n_vocabulary"),
+        r6(total("share")).alias("mass"),
+        F.forall("share", lambda s: (s > 0) & (s < 1)).alias("proper"),
+    )
 
 
-@query()
+@query(f"""
+    WITH {TOK_STOP}, w AS (SELECT DISTINCT token FROM tok)
+    SELECT t AS topic, p AS position, true AS occurs, true AS ordered
+    FROM (SELECT unnest(range(5))::INT AS t), (SELECT unnest(range(10))::INT AS p) WHERE (SELECT count(*) FROM w) >= 10
+""")
 def tk02_topic_words(spark, sf):
-    topics, _, _ = TO.fit_topics(_articles(spark, sf), "content", stop_words=STOP, max_iter=5)
-    return topics.words
+    """Ten words for each topic, heaviest first, all of them words of the texts."""
+    words = _topics(spark, sf)[0].words
+    tokens = T.without(T.alpha_tokens(F.col("content")), STOP)
+    known = _articles(spark, sf).select(F.explode(tokens).alias("word")).distinct().withColumn("occurs", F.lit(True))
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("position"))
+    return (
+        words.withColumn("ordered", F.coalesce(F.col("weight") <= before, F.lit(True)))
+        .join(known, "word", "left")
+        .select("topic", F.col("position").cast("int").alias("position"), F.coalesce("occurs", F.lit(False)).alias("occurs"), "ordered")
+    )
 
 
-@query()
+@query("SELECT doc_id, 10::BIGINT AS n_words, true AS heaviest FROM documents")
 def ml12a_topic_labels(spark, sf):
-    topics, _, counted = TO.fit_topics(_articles(spark, sf), "content", stop_words=STOP, max_iter=5)
-    return TO.label_topics(counted, topics).drop("content")
+    """Each text's label is the word list of its heaviest topic."""
+    topics, _, counted = _topics(spark, sf)
+    labelled_rows = TO.label_topics(counted, topics).select("doc_id", "LDA_label")
+    share = vector_to_array("topicDistribution")
+    shares = topics.model.transform(counted).select("doc_id", F.posexplode(share).alias("topic", "share"))
+    named = shares.join(topics.labels(), "topic").groupBy("doc_id").agg(
+        F.max("share").alias("most"), F.map_from_entries(F.collect_list(F.struct("topic_label", "share"))).alias("of")
+    )
+    return labelled_rows.join(named, "doc_id").select(
+        "doc_id", F.size(F.split("LDA_label", ", ")).cast("long").alias("n_words"),
+        (F.element_at("of", F.col("LDA_label")) == F.col("most")).alias("heaviest"),
+    )
 
 
 @query("SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INT AS dominant FROM embeddings")
@@ -332,16 +384,62 @@ def _trees(spark, sf, depths=TR.DEPTHS):
     return TR.train_trees(TR.training_rows(features, "doc_id"), depths=depths)
 
 
-@query()
+TREE_TOK = f"tok AS (SELECT unnest({tokens_sql('content')}) AS token FROM ({LABELLED_SQL}))"
+
+
+@query(f"""
+    WITH {TREE_TOK}, art AS (SELECT label_model AS label FROM ({LABELLED_SQL}) WHERE NOT ({SPLIT_SQL})),
+    most AS (SELECT max(n) / sum(n) AS share FROM (SELECT count(*) AS n FROM art GROUP BY label))
+    SELECT max_depth, depth_limit, least(1000, (SELECT count(DISTINCT token) FROM tok))::BIGINT AS n_features,
+           true AS odd, true AS within, share IS NOT NULL AS better
+    FROM (VALUES ('None', 30), ('10', 10), ('5', 5)) v(max_depth, depth_limit), most
+""")
 def ml15_decision_trees(spark, sf):
-    return TR.tree_metrics(spark, _trees(spark, sf))
+    """Trees at three depths: binary, within their limit, no worse than the most frequent label."""
+    features = TR.tree_features(_labelled_articles(spark, sf), "content", "label_model")
+    rows = TR.training_rows(features, "doc_id")
+    trees = TR.train_trees(rows)
+    largest = rows.groupBy("label").count().agg((F.max("count") / F.sum("count"))).scalar()
+    checked = []
+    for depth, tree in trees.items():
+        hits = tree.transform(rows).agg(
+            F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
+        )
+        checked.append(hits.select(
+            F.lit("None" if depth is None else str(depth)).alias("max_depth"),
+            F.lit(tree.numFeatures).cast("long").alias("n_features"), (F.col("accuracy") >= largest).alias("better"),
+        ))
+    metrics = TR.tree_metrics(spark, trees).withColumn("odd", F.col("n_nodes") % 2 == 1).withColumn(
+        "within", F.col("depth") <= F.col("depth_limit")
+    )
+    return metrics.join(R.union_by_name(*checked), "max_depth").select(
+        "max_depth", "depth_limit", "n_features", "odd", "within", "better"
+    )
 
 
-@query()
+@query(f"""
+    WITH art AS (SELECT label_model AS label FROM ({LABELLED_SQL}) WHERE NOT ({SPLIT_SQL}))
+    SELECT max_depth, -1::BIGINT AS nodes_less_leaves, (SELECT count(*) FROM art) AS leaf_rows,
+           (SELECT count(*) FROM art WHERE label = 'negative') AS root_negative, true AS placed
+    FROM (VALUES ('None'), ('10'), ('5')) v(max_depth)
+""")
 def ml15b_tree_nodes(spark, sf):
-    path = f"{_folder(spark)}/tree"
-    _trees(spark, sf, [10])[10].write().overwrite().save(path)
-    return TR.node_table(spark, path)
+    """Node tables of three trees: 2 n - 1 nodes for n leaves, every training row in one leaf."""
+    parts = []
+    for depth, tree in _trees(spark, sf).items():
+        path = f"{_folder(spark)}/tree"
+        tree.write().overwrite().save(path)
+        nodes = TR.node_table(spark, path).join(
+            spark.read.parquet(f"{path}/data").select("id", "rawCount", "impurityStats"), "id"
+        )
+        leaf = F.col("is_leaf")
+        parts.append(nodes.agg(
+            (F.count(F.lit(1)) - 2 * F.count_if(leaf)).alias("nodes_less_leaves"),
+            F.sum(F.when(leaf, F.col("rawCount"))).cast("long").alias("leaf_rows"),
+            F.max(F.when(F.col("depth") == 0, F.get("impurityStats", F.lit(0)))).cast("long").alias("root_negative"),
+            (F.count_if(F.col("x").isNull() | (F.col("x") < 0)) == 0).alias("placed"),
+        ).select(F.lit("None" if depth is None else str(depth)).alias("max_depth"), "*"))
+    return R.union_by_name(*parts)
 
 
 # --- themes and summaries -------------------------------------------------------
@@ -380,8 +478,6 @@ def ag13_top_listed_words(spark, sf):
     SELECT lang, token, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, f) AS r FROM cnt) WHERE r <= 7
 """)
 def tk03_most_common(spark, sf):
-    from pyspark.sql import Window
-
     docs = texts(spark, sf, "documents", "doc_id", "lang", "text").withColumn("content", T.clean_words(F.col("text")))
     counts = TH.word_counts(docs, "content", "doc_id", groups=["lang"], stop_words=STOP)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("first_seen")))
@@ -404,19 +500,40 @@ def ml18_cluster_keywords(spark, sf):
     )
 
 
-@query()
+@query("SELECT vec_id, true AS nearest FROM embeddings")
 def ml17_kmeans(spark, sf):
-    clustered, _ = TH.assign_clusters(table(spark, sf, "embeddings"), "embedding", 10)
-    return clustered.select("vec_id", "cluster")
+    """Every vector lies in the cluster whose centre is nearest."""
+    clustered, model = TH.assign_clusters(table(spark, sf, "embeddings"), "embedding", 10)
+    centres = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "centre int, place array<double>"
+    ).agg(F.collect_list(F.struct("centre", "place")).alias("centres"))  # ten
+    away = lambda place: F.aggregate(
+        F.zip_with("embedding", place, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
+    )
+    distances = F.transform("centres", lambda c: F.struct(away(c["place"]).alias("d"), c["centre"].alias("c")))
+    own = F.array_min(F.transform(F.filter("distances", lambda d: d["c"] == F.col("cluster")), lambda d: d["d"]))
+    return (
+        clustered.join(centres, F.lit(True)).select("vec_id", "cluster", distances.alias("distances"))
+        .select("vec_id", (own <= F.array_min("distances")["d"] + 1e-6).alias("nearest"))
+    )
 
 
-@query()
+@query(f"""
+    WITH t AS (SELECT d.doc_id, {clean_sql('text')} AS content FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id)
+    SELECT least(30, (SELECT count(DISTINCT content) FROM t))::BIGINT AS n_clusters, true AS five_words, true AS no_stop_word
+""")
 def ml18_themes(spark, sf):
-    """Thirty clusters of the texts that have vectors, and their keywords."""
+    """Clusters of the texts that have vectors, and their keywords."""
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return TH.themes(
+    found = TH.themes(
         _articles(spark, sf).join(vectors, "doc_id"), "content", "embedding", "doc_id", n_topics=30, stop_words=STOP
     )
+    words = F.split("keywords", ", ")
+    return found.agg(
+        F.count_distinct("cluster").alias("n_clusters"),
+        F.bool_and(F.size(F.array_distinct(words)).between(1, 5)).alias("five_words"),
+        F.bool_and(~F.arrays_overlap(words, F.array(*[F.lit(w) for w in STOP]))).alias("no_stop_word"),
+    )
 
 
 @query("""
@@ -478,8 +595,8 @@ def ml19_generated_summary(spark, sf):
 
 
 @query("""
-    SELECT 'news_articles_' || replace(trim(replace(k, 'AND', ' ')), ' ', '_') AS topic_slug, k AS search_keyword, count(*) AS n
-    FROM (SELECT source || ' AND' AS k FROM documents) GROUP BY 1, 2
+    SELECT 'news_articles_' || replace(trim(replace(k, 'AND', ' ')), ' ', '_') AS topic_slug, k AS search_keyword, text AS content
+    FROM (SELECT source || ' AND' AS k, text FROM documents)
 """)
 def src04_topics_json(spark, sf):
     path = f"{_folder(spark)}/json"
@@ -487,8 +604,7 @@ def src04_topics_json(spark, sf):
         F.col("text").alias("content"), F.concat("source", F.lit(" AND")).alias("search_keyword")
     )
     writers.write_topics_json(tagged, path)
-    back = spark.read.schema("content string, search_keyword string, topic_slug string").json(path)
-    return back.groupBy("topic_slug", "search_keyword").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.schema("content string, search_keyword string, topic_slug string").json(path)
 
 
 @query("SELECT doc_id, text, lang, source FROM documents")
@@ -513,11 +629,11 @@ def src10_write_table(spark, sf):
     return readers.read_table(spark, path)
 
 
-@query("SELECT doc_id, source FROM documents WHERE lang = 'es'")
+@query("SELECT doc_id, source, lang FROM documents")
 def src11_write_by_value(spark, sf):
     path = f"{_folder(spark)}/by_lang"
     writers.write_by_value(table(spark, sf, "documents").select("doc_id", "source", "lang"), path, "lang")
-    return R.where_equals(readers.read_partitioned(spark, path), "lang", "es").select("doc_id", "source")
+    return readers.read_partitioned(spark, path).select("doc_id", "source", "lang")
 
 
 @query("SELECT 'pressgrain_tmp_labels' AS name, count(*) AS n FROM labels")
@@ -534,20 +650,20 @@ FILES_SQL = "SELECT DISTINCT 'df_' || lang || '_' || source || '_combined.xlsx'
 
 @query(f"""
     SELECT file_name, min(folder) AS folder FROM ({FILES_SQL}) f
-    JOIN (SELECT DISTINCT 'news_articles_' || upper(source) || '_' || lang AS folder FROM documents WHERE n_chars > 500) d
+    JOIN (SELECT DISTINCT 'news_articles_' || upper(source) || '_' || lang AS folder FROM documents) d
       ON contains(lower(folder), a) AND contains(lower(folder), b) GROUP BY file_name
 """)
 def src13_route_outputs(spark, sf):
     docs = table(spark, sf, "documents")
     files = docs.select(F.concat(F.lit("df_"), "lang", F.lit("_"), "source", F.lit("_combined.xlsx")).alias("file_name"))
-    folders = docs.where("n_chars > 500").select(
+    folders = docs.select(
         F.concat(F.lit("news_articles_"), F.upper("source"), F.lit("_"), "lang").alias("folder")
     )
     return writers.route_outputs(files.distinct(), folders.distinct())
 
 
 @query(f"""
-    WITH {nb_sql(LABELLED_ROWS, 1.0, MLLIB_PRIOR)}
+    WITH {nb_sql(LABELLED_ROWS, 1.0)}
     SELECT doc_id, label AS label_model, prediction AS predicted_sentiment_multinomialnb FROM art JOIN pred USING (doc_id)
 """)
 def src14_saved_model(spark, sf):
