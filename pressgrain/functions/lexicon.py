@@ -255,19 +255,26 @@ def _scores_of(text: Column, w: Column, low: Column, valences: Column, rules: Ru
     )
 
     def scored(mixed: Column, turn: Column) -> Column:
-        def sentiment(i: Column) -> Column:
+        def of_word(word: Column) -> Column:
             # the context looked at is that of the word's first occurrence
-            first = (F.array_position(w, F.get(w, i)) - 1).cast("int")
             return bind(
-                first,
+                (F.array_position(w, word) - 1).cast("int"),
                 lambda at: F.when(neutral(at), F.lit(0.0)).otherwise(
                     _word_score(w, low, valences, at, mixed, rules)
-                )
-                * F.when((turn == 0) | (i + 1 == turn), F.lit(1.0))
+                ),
+            )
+
+        def weight(i: Column) -> Column:
+            return (
+                F.when((turn == 0) | (i + 1 == turn), F.lit(1.0))
                 .when(i + 1 < turn, F.lit(BEFORE_CONTRAST))
-                .otherwise(F.lit(AFTER_CONTRAST)),
+                .otherwise(F.lit(AFTER_CONTRAST))
             )
 
+        def placed(at: Column, names: Column, values: Column) -> Column:
+            value = lambda i: F.get(values, (F.array_position(names, F.get(w, i)) - 1).cast("int"))
+            return F.filter(F.transform(at, lambda i: value(i) * weight(i)), lambda s: s != 0)
+
         def neutral(at: Column) -> Column:
             here = F.get(low, at)
             dampener = (here == rules.kind) & F.coalesce(F.get(low, at + 1) == "of", F.lit(False))
@@ -276,7 +283,14 @@ def _scores_of(text: Column, w: Column, low: Column, valences: Column, rules: Ru
         listed = F.filter(
             F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(valences, i).isNotNull()
         )
-        return F.filter(F.transform(listed, sentiment), lambda s: s != 0)
+        # each distinct word is scored once, then looked up at its places
+        return bind(
+            listed,
+            lambda at: bind(
+                F.array_distinct(F.transform(at, lambda i: F.get(w, i))),
+                lambda names: bind(F.transform(names, of_word), lambda values: placed(at, names, values)),
+            ),
+        )
 
     zero = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"))
 

@@ -9,11 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pressgrain.functions.lexicon import Rules, literal_valence, polarity, sentiment_words
 from pressgrain.functions.text import sentiment_category
 from pressgrain.operators.tfidf import term_counts
-from pressgrain.schemas import LEXICON
-
-# a lexicon up to this size travels in the plan; a larger one is joined
-MAX_LITERAL_LEXICON = 20_000
-
 
 def token_valences(df: DataFrame, key: str, text: Column, lexicon: DataFrame) -> DataFrame:
     """(key, token, n, valence) of the listed words of each text.
@@ -24,52 +19,39 @@ def token_valences(df: DataFrame, key: str, text: Column, lexicon: DataFrame) ->
     low = F.transform(sentiment_words(text), F.lower)
     return (
         term_counts(df, key, low)
-        .join(lexicon.select("token", "valence"), "token")
+        .join(lexicon.groupBy("token").agg(F.max("valence").alias("valence")), "token")
         .select(key, "token", F.col("tf").alias("n"), "valence")
     )
 
 
-def _literal(lexicon: DataFrame | Mapping[str, float]) -> dict[str, float] | None:
-    """The lexicon as a dict, or None if it is larger than the literal bound."""
-    if isinstance(lexicon, Mapping):
-        return dict(lexicon) if len(lexicon) <= MAX_LITERAL_LEXICON else None
-    rows = lexicon.select("token", "valence").limit(MAX_LITERAL_LEXICON + 1).collect()
-    return None if len(rows) > MAX_LITERAL_LEXICON else {r.token: r.valence for r in rows}
-
-
 def score_lexicon(
     df: DataFrame,
     text_column: str,
     lexicon: DataFrame | Mapping[str, float],
     rules: Rules | None = None,
     *,
-    key: str | None = None,
     suffix: str = "vader",
 ) -> DataFrame:
     """Adds the four scores, the category and the intensity.
 
-    ``lexicon`` has one (token, valence) per lower-case token.
-    A lexicon within ``MAX_LITERAL_LEXICON`` words (checked by reading at most
-    one row more) is part of the plan and the scoring is a projection.  A larger
-    one is joined to the distinct words of each text, which needs ``key``.
+    ``lexicon`` has a valence for each lower-case token.  A mapping is part of the
+    plan and the scoring is a projection.  A table is joined with the distinct words
+    of each text, whatever its size; rows with equal texts share their words, so no
+    key is needed.  Of a token listed more than once the greatest valence counts.
     """
-    literal = _literal(lexicon)
     text = F.col(text_column)
-    if literal is not None:
-        scored = df.withColumn("_scores", polarity(text, literal_valence(literal), rules))
+    if isinstance(lexicon, Mapping):
+        scored = df.withColumn("_scores", polarity(text, literal_valence(dict(lexicon)), rules))
     else:
-        if key is None:
-            raise ValueError("a lexicon joined from a table needs the key column")
-        if isinstance(lexicon, Mapping):
-            lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), LEXICON)
+        keyed = df.withColumn("_text", F.md5(text))
         listed = (
-            token_valences(df, key, text, lexicon)
-            .groupBy(key)
+            token_valences(keyed.select("_text", text_column).dropDuplicates(["_text"]), "_text", text, lexicon)
+            .groupBy("_text")
             .agg(F.map_from_entries(F.collect_list(F.struct("token", "valence"))).alias("_listed"))
         )
-        scored = df.join(listed, key, "left").withColumn(
+        scored = keyed.join(listed, "_text", "left").withColumn(
             "_scores", polarity(text, lambda t: F.try_element_at(F.col("_listed"), t), rules)
-        ).drop("_listed")
+        ).drop("_listed", "_text")
     return scored.withColumns(
         {
             f"emotion_tone_scores_{suffix}": F.col("_scores"),

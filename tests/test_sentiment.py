@@ -92,15 +92,16 @@ def test_shares_category_and_null(spark):
     assert out[2]["emotion_tone_scores_vader"] is None
 
 
-def test_table_lexicon_gives_the_same_as_literal(spark, monkeypatch):
-    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
-    lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
-    literal = rows(S.score_lexicon(df, "t", lexicon))
-    monkeypatch.setattr(S, "MAX_LITERAL_LEXICON", 2)
-    assert rows(S.score_lexicon(df, "t", lexicon, key="i")) == literal
-    assert rows(S.score_lexicon(df, "t", LEXICON, key="i")) == literal
-    with pytest.raises(ValueError):
-        S.score_lexicon(df, "t", lexicon)
+def test_table_lexicon_gives_the_same_as_literal(spark):
+    """Also for a large lexicon, equal texts, nulls and tokens listed twice."""
+    texts = [t for t, _ in CASES] + [CASES[0][0], None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    literal = rows(S.score_lexicon(df, "t", LEXICON))
+    more = [(f"word{i}", 1.0) for i in range(30_000)]
+    twice = [(token, valence - 1) for token, valence in LEXICON.items()]
+    for entries in ([], more, more + twice):
+        lexicon = spark.createDataFrame([*LEXICON.items(), *entries], "token string, valence double")
+        assert rows(S.score_lexicon(df, "t", lexicon)) == literal
 
 
 def test_literal_lexicon_needs_no_shuffle_and_no_python(spark, sf):
