@@ -48,12 +48,9 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
 
 def drop_unwanted_names(df: DataFrame) -> DataFrame:
     """Drop columns with a digit in the name, or ``unnamed`` in any case."""
-    return df.select(
-        *[
-            F.col(f"`{c}`")
-            for c in df.columns
-            if not re.search(r"\d", c) and "unnamed" not in c.lower()
-        ]
+    return _select_positions(
+        df,
+        [i for i, c in enumerate(df.columns) if not re.search(r"\d", c) and "unnamed" not in c.lower()],
     )
 
 
@@ -73,7 +70,7 @@ def near_duplicate_names(names: list[str], threshold: int = 95) -> set[str]:
 
 def drop_near_duplicate_names(df: DataFrame, threshold: int = 95) -> DataFrame:
     gone = near_duplicate_names(df.columns, threshold)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])
+    return _select_positions(df, [i for i, c in enumerate(df.columns) if c not in gone])
 
 
 def strip_merge_suffix(df: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pressgrain.functions.columns import bind
 
@@ -17,17 +19,17 @@ from pressgrain.functions.columns import bind
 def lookup_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A short list held by the driver as a table whose size the planner knows.
 
-    A table made from a Python list otherwise counts as unboundedly large, and
-    the large side of a join with it would be shuffled.
+    The list is handed over as an Arrow table, which Spark keeps as a local relation:
+    its estimate is the size of the rows, so a join broadcasts it only while that is
+    below the threshold.
     """
     layout = spark.createDataFrame([], schema).schema
     if not rows:
         return spark.createDataFrame([], layout)
-    literals = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, layout, strict=True)])
-        for row in rows
+    columns = [
+        pa.array([row[i] for row in rows], type=f.type) for i, f in enumerate(to_arrow_schema(layout))
     ]
-    return spark.range(1).select(F.inline(F.array(*literals)))
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=to_arrow_schema(layout)), layout)
 
 
 def topic_query(topic: str | Sequence[str]) -> str:
@@ -96,10 +98,10 @@ def topic_articles(
 ) -> DataFrame:
     """Articles on the topics, optionally of some sources and within two dates.
 
-    ``start`` and ``end`` are ``yyyy-MM-dd``, both inclusive.  The source and
+    No sources, or an empty list, is no restriction.  ``start`` and ``end`` are ``yyyy-MM-dd``, both inclusive.  The source and
     date filters stand before the text match, so they reach the scan.
     """
-    if sources is not None:
+    if sources:
         df = df.where(F.col(source_column).isin(list(sources)))
     if start is not None:
         df = df.where(F.col(date_column) >= F.to_date(F.lit(start), "yyyy-MM-dd"))

@@ -17,6 +17,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pressgrain.functions.text import without, word_tokens
+from pressgrain.functions.wordlists import OUTLETS, english_stop_words
 from pressgrain.operators.lookups import lookup_table
 from pressgrain.operators.tfidf import document_frequency, smooth_idf, term_counts
 from pressgrain.sources.stored import stored
@@ -103,6 +104,10 @@ def best_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def outlet_table(spark: SparkSession, outlets: Iterable[str] = OUTLETS) -> DataFrame:
+    return lookup_table(spark, [(name,) for name in outlets], "outlet string")
+
+
 def match_outlets(
     outlets: DataFrame, catalogue: DataFrame, threshold: float = 0.50
 ) -> DataFrame:
@@ -137,12 +142,12 @@ def stance_by_publisher(
     publisher: str = "publisher",
     threshold: float = 0.60,
     fallback: str = "argmax",
-    stop_words: Iterable[str] = (),
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """(publisher, editorial_stance, similarity), one row per distinct publisher.
 
-    ``stances`` has (pos, entry, stance).  Token weights count every row's
-    publisher.  Below the threshold ``fallback='argmax'`` still takes the most
+    ``stances`` has (pos, entry, stance).  Words without meaning (by default the
+    English list) do not count.  Token weights count every row's publisher.  Below the threshold ``fallback='argmax'`` still takes the most
     similar entry, and the first entry where no token is shared;
     ``fallback='null'`` leaves the stance empty.  Runs jobs.
     """
@@ -153,7 +158,8 @@ def stance_by_publisher(
         .groupBy(F.col(publisher).alias("name"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    left, right = name_vectors(names, stances.select("pos", "entry"), stop_words)
+    stop = english_stop_words() if stop_words is None else stop_words
+    left, right = name_vectors(names, stances.select("pos", "entry"), stop)
     matched = names.select("name").join(best_matches(left, right), "name", "left")
     similarity = F.coalesce(F.col("similarity"), F.lit(0.0))
     first = stances.agg(F.min_by("stance", "pos")).scalar()

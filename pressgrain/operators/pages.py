@@ -49,8 +49,9 @@ class _Page(HTMLParser):
         self._end_of_run()
         if tag == "meta":
             found = dict(attrs)
-            if found.get("name") in ("author", "publish-date"):
-                self.metas.setdefault(found["name"], found["content"] or "")
+            name = found.get("name")
+            if name in ("author", "publish-date") and name not in self.metas:
+                self.metas[name] = found["content"] or ""  # only the first tag of a name counts
         if tag == "p" and not self.repeat:
             self._close_to("p")
         node = {"tag": tag, "children": 0, "only": None, "start": len(self.pieces), "end": None}
@@ -151,7 +152,7 @@ def _parsed(batches: Iterator[pd.Series], nested: str) -> Iterator[pd.DataFrame]
         for html in pages:
             try:
                 rows.append(parse_page(html, nested) if html is not None else None)
-            except (AssertionError, KeyError, ValueError):  # a malformed page gives no row
+            except Exception:  # whatever is wrong with a page, it alone gives no row
                 rows.append(None)
         none = (None,) * 4
         yield pd.DataFrame([r or none for r in rows], columns=PAGE_FIELDS.names, dtype=object)

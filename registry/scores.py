@@ -77,13 +77,17 @@ def _counts(spark, sf):
     return B.category_counts(_agreeing(spark, sf), "publisher", "label_model")
 
 
-@query(INFLUENCE_SQL.replace("followers / (SELECT", "round(followers / (SELECT", 1).replace("r2) AS influence_score", "r2), 6) AS influence_score"))
+@query("""
+    SELECT publisher, round(followers / sum(followers) OVER (), 6) AS influence_score
+    FROM (SELECT event_type AS publisher, count(DISTINCT user_id) AS followers FROM events GROUP BY 1)
+""")
 def ag06_influence_scores(spark, sf):
-    """Audience share, of publishers that have documents."""
-    known = table(spark, sf, "documents").select(F.col("source").alias("publisher")).distinct()
-    return B.influence_scores(_reach(spark).join(known, "publisher", "left_semi")).select(
-        "publisher", r6("influence_score").alias("influence_score")
+    """Audience share, the audience being the distinct users of each kind of event."""
+    reach = (
+        table(spark, sf, "events").groupBy(F.col("event_type").alias("publisher"))
+        .agg(F.count_distinct("user_id").alias("followers"))
     )
+    return B.influence_scores(reach).select("publisher", r6("influence_score").alias("influence_score"))
 
 
 @query(COUNTS_SQL)
@@ -136,10 +140,19 @@ def ag05_bias_report(spark, sf):
     return _rounded_report(report)
 
 
-@query("SELECT traditional_negative, publisher FROM (" + REPORT_SQL.replace("traditional_percentage_negative", "traditional_negative") + ")")
+@query(REPORT_SQL)
 def prj14_flat_headers(spark, sf):
-    report = _rounded_report(B.bias_and_impact(_agreeing(spark, sf), _reach(spark), label="label_model"))
-    return report.select("publisher", F.col("traditional_percentage_negative").alias("traditional_negative"))
+    """All measure and category headers as one level of names."""
+    weighted = B.weighted_shares(B.category_shares(_counts(spark, sf)), _reach(spark))
+    flat = B.pivot_shares(weighted)
+    return flat.select(
+        "publisher",
+        *[
+            r6(f"{m}_{c}").alias(f"{m}_{c}")
+            for m in ("traditional_percentage", "weighted_percentage_with_influence")
+            for c in ("negative", "positive")
+        ],
+    )
 
 
 @query(f"""
@@ -164,6 +177,19 @@ def ag15_confusion_matrix(spark, sf):
     return E.confusion_matrix(rows, ["positive", "negative"], "label_model", "label_lex")
 
 
+@query(f"""
+    SELECT l.lang AS label,
+           count(*) FILTER (d.lang = l.lang AND d.source = 'src0') AS predicted_de, 0::BIGINT AS predicted_en,
+           0::BIGINT AS predicted_es, count(*) FILTER (d.lang = l.lang AND d.source <> 'src0') AS predicted_fr
+    FROM (SELECT unnest(['de', 'en', 'es', 'fr']) AS lang) l, (SELECT * FROM documents WHERE lang <> 'en') d GROUP BY 1
+""")
+def ag15_labels_without_rows(spark, sf):
+    """A label that is never true and two that are never predicted keep their row and columns."""
+    docs = table(spark, sf, "documents").where("lang <> 'en'")
+    guess = F.when(F.col("source") == "src0", "de").otherwise("fr")
+    return E.confusion_matrix(docs.withColumn("guess", guess), ["fr", "en", "de", "es"], "lang", "guess")
+
+
 @query(f"WITH {class_report_sql(f'SELECT label_model AS l, label_lex AS p FROM ({LABELLED_SQL})')}")
 def ag14_classification_report(spark, sf):
     report = E.classification_report(labelled(spark, sf, "label_model", "label_lex"), "label_model", "label_lex")
@@ -236,6 +262,25 @@ def jn04_stance_threshold(spark, sf):
     return found.withColumn("similarity", r6("similarity"))
 
 
+# those of the English stop words that occur in the names below
+ENGLISH_STOP = ["the", "of", "who", "was", "it", "and"]
+STOP_PUBLISHERS = ["The Sun", "Plate of the Day", "Who was it", "Red and Small", "Cold Call"]
+STOP_PUBLISHER_SQL = f"{STOP_PUBLISHERS!r}[1 + p_partkey % {len(STOP_PUBLISHERS)}]"
+
+
+@query(f"""
+    WITH {match_sql(f"SELECT {STOP_PUBLISHER_SQL} AS name, count(*) AS copies FROM part GROUP BY 1", f"SELECT pos, entry FROM {STANCES_SQL}", ENGLISH_STOP)}
+    SELECT p_partkey, name AS publisher, stance AS editorial_stance
+    FROM part JOIN best ON best.name = {STOP_PUBLISHER_SQL} JOIN {STANCES_SQL} s USING (pos)
+""")
+def jn04_map_stance_default(spark, sf):
+    """With the default stop words, some names share nothing with any entry."""
+    names = F.array(*[F.lit(n) for n in STOP_PUBLISHERS])
+    publisher = F.get(names, (F.col("p_partkey") % len(STOP_PUBLISHERS)).cast("int"))
+    parts = table(spark, sf, "part").select("p_partkey", publisher.alias("publisher"))
+    return M.map_stance(parts, M.stance_table(spark, STANCES))
+
+
 OUTLETS_SQL = "SELECT name, count(*) AS copies FROM (SELECT DISTINCT p_name || ' ' || lower(p_brand) AS name FROM part) GROUP BY 1"
 CATALOGUE_SQL = "SELECT min(p_partkey) AS pos, p_name || ' ' || p_type AS entry FROM part GROUP BY 2"
 

@@ -168,14 +168,50 @@ AUTHOR_SQL = r"""
 """
 
 
+# The pages with what they lack: a third has two author tags (the second without
+# content), a fifth a publish date, some a status other than 200 or no title.
+EDITED_PAGES_SQL = r"""
+    (SELECT page_id, url, CASE WHEN page_id % 7 = 2 THEN 404 ELSE 200 END AS status,
+            CASE WHEN page_id % 11 = 3 THEN regexp_replace(h, '(?is)<title[^>]*>.*?</title>', '') ELSE h END AS html
+     FROM (SELECT page_id, url, replace(html, '<head>', '<head>'
+                  || CASE WHEN page_id % 3 = 0 THEN '<meta name="author" content="Ann ' || page_id || '"><meta name="author">' ELSE '' END
+                  || CASE WHEN page_id % 5 = 0 THEN '<meta name="publish-date" content="2024-01-0' || (page_id % 9 + 1) || '">' ELSE '' END) AS h
+           FROM pages))
+"""
+KEPT_PAGES_SQL = f"(SELECT * FROM {EDITED_PAGES_SQL} WHERE status = 200 AND page_id % 11 <> 3)"
+EDITED_AUTHOR_SQL = f"CASE WHEN page_id % 3 = 0 THEN 'Ann ' || page_id ELSE {AUTHOR_SQL} END"
+EDITED_DATE_SQL = "CASE WHEN page_id % 5 = 0 THEN '2024-01-0' || (page_id % 9 + 1) END"
+
+
+def edited_pages(spark, sf):
+    number = F.col("page_id")
+    author = F.concat(F.lit('<meta name="author" content="Ann '), number.cast("string"), F.lit('"><meta name="author">'))
+    date = F.concat(F.lit('<meta name="publish-date" content="2024-01-0'), (number % 9 + 1).cast("string"), F.lit('">'))
+    head = F.concat(
+        F.lit("<head>"), F.when(number % 3 == 0, author).otherwise(""), F.when(number % 5 == 0, date).otherwise("")
+    )
+    html = F.replace("html", F.lit("<head>"), head)
+    bare = F.regexp_replace(html, "(?is)<title[^>]*>.*?</title>", "")
+    return texts(spark, sf, "pages").select(
+        "page_id", "url", F.when(number % 7 == 2, 404).otherwise(200).alias("status"),
+        F.when(number % 11 == 3, bare).otherwise(html).alias("html"),
+    )
+
+
 @query(f"""
-    SELECT page_id, {DECODED_TITLE_SQL} AS title, {AUTHOR_SQL} AS author,
-           NULL::VARCHAR AS publish_date, {PARAGRAPHS_SQL} AS content,
+    SELECT page_id, {DECODED_TITLE_SQL} AS title, {EDITED_AUTHOR_SQL} AS author,
+           {EDITED_DATE_SQL} AS publish_date, {PARAGRAPHS_SQL} AS content,
            NULL::VARCHAR AS theme, url, {PUBLISHER_SQL} AS publisher
-    FROM pages
+    FROM {KEPT_PAGES_SQL}
 """)
 def prj04_page_fields(spark, sf):
-    return P.extract_articles(texts(spark, sf, "pages"), keep=("page_id",))
+    return P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+
+
+@query(f"SELECT page_id, {EDITED_DATE_SQL} AS publish_date FROM {KEPT_PAGES_SQL} WHERE page_id % 5 = 0")
+def prj04c_publish_date(spark, sf):
+    articles = P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+    return articles.select("page_id", "publish_date").where("publish_date is not null")
 
 
 # A paragraph runs to the paragraph tag that takes the nesting below its own
@@ -214,26 +250,21 @@ def prj04a_page_title(spark, sf):
     )
 
 
-@query(f"""
-    SELECT {PUBLISHER_SQL} AS publisher, count(*) AS n_pages,
-           count(*) FILTER (regexp_matches(html, '(?i)<meta[^>]*name="author"')
-               OR regexp_matches(html, '(?i)<(p|div)[^>]*>\\s*by\\s+(\\S+\\s*){{0,3}}</(p|div)>')) AS n_authors,
-           count(*) FILTER (regexp_matches(html, '(?i)<meta[^>]*name="publish-date"')) AS n_dates
-    FROM pages GROUP BY 1
-""")
+@query(f"SELECT page_id, {EDITED_AUTHOR_SQL} AS author FROM {KEPT_PAGES_SQL}")
 def prj04b_page_authors(spark, sf):
-    """Pages with an author and with a date, per publisher."""
-    return (
-        P.extract_articles(texts(spark, sf, "pages"))
-        .groupBy("publisher")
-        .agg(F.count(F.lit(1)).alias("n_pages"), F.count("author").alias("n_authors"),
-             F.count("publish_date").alias("n_dates"))
-    )
+    """From the first author tag, else from a by-line."""
+    articles = P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+    return articles.select("page_id", "author")
 
 
-@query("SELECT count(*) AS pages, 0::BIGINT AS bad_status, 0::BIGINT AS not_parsed, count(*) AS kept FROM pages")
+@query(f"""
+    SELECT count(*) AS pages, count(*) FILTER (status <> 200) AS bad_status,
+           count(*) FILTER (status = 200 AND page_id % 11 = 3) AS not_parsed,
+           count(*) FILTER (status = 200 AND page_id % 11 <> 3) AS kept
+    FROM {EDITED_PAGES_SQL}
+""")
 def flt11_page_report(spark, sf):
-    return P.extract_report(texts(spark, sf, "pages"))
+    return P.extract_report(edited_pages(spark, sf), status="status")
 
 
 @query("SELECT doc_id, 'licensing' AS theme FROM documents WHERE contains(lower(text), 'license')")
@@ -245,7 +276,8 @@ def prj05_constant_theme(spark, sf):
 
 
 @query("""
-    SELECT sha256(concat_ws(chr(1), coalesce(text, chr(0)), coalesce(lang, chr(0)), coalesce(source, chr(0)))) AS unique_id,
+    SELECT sha256(coalesce(length(text) || ':' || text, '~') || coalesce(length(lang) || ':' || lang, '~')
+                  || coalesce(length(source) || ':' || source, '~')) AS unique_id,
            text, lang, source
     FROM (SELECT DISTINCT text, lang, source FROM documents)
 """)
@@ -416,11 +448,15 @@ def flt10_similarity_threshold(spark, sf):
     return R.at_least(table(spark, sf, "events"), "value", 25.5).select("event_id", "value")
 
 
-@query("SELECT page_id, url FROM pages WHERE false")
+@query("SELECT page_id, url FROM pages WHERE url LIKE 'https%'")
 def flt12_empty_input(spark, sf):
-    """Pages of no known status: an empty input keeps its layout."""
-    pages = table(spark, sf, "pages").withColumn("status", F.when(F.col("url").isNull(), 200))
-    return P.extract_articles(pages, status="status", keep=("page_id",)).select("page_id", "url")
+    """Articles of one source whose pages were fetched, and of one with none: an empty input adds no row."""
+    pages = table(spark, sf, "pages").withColumn("status", F.when(F.col("url").like("https%"), 200))
+    parts = [
+        P.extract_articles(pages.where(part), status="status", keep=("page_id",))
+        for part in (F.col("url").like("https%"), ~F.col("url").like("https%"))
+    ]
+    return R.union_by_name(*parts).select("page_id", "url")
 
 
 @query("""
