@@ -53,10 +53,6 @@ def sql_values(rows, *names: str) -> str:
     return f"(SELECT * FROM (VALUES {body}) AS v({', '.join(names)}))"
 
 
-def sql_list(items) -> str:
-    return "[" + ", ".join("'" + i.replace("'", "''") + "'" for i in items) + "]"
-
-
 def sql_in(items) -> str:
     return "(" + ", ".join("'" + i.replace("'", "''") + "'" for i in items) + ")"
 
@@ -72,9 +68,9 @@ def labelled(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label_model"),
         F.when(F.col("toxic") == 0, "positive").otherwise("negative").alias("label_lex"),
     )
+    if "content" in (columns or docs.columns):
+        docs = spread(docs)
     joined = docs.join(labels, "doc_id")
-    if "content" in (columns or joined.columns):
-        joined = spread(joined)
     return joined.select(*columns) if columns else joined
 
 
