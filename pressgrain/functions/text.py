@@ -76,9 +76,16 @@ def sentiment_category(score: Column) -> Column:
 
 
 def row_digest(columns: Iterable[str]) -> Column:
-    """Content hash of a row: the same on every retry and partitioning."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
-    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+    """Content hash of a row: the same on every retry and partitioning.
+
+    Each value stands behind its length in code points, a null behind none, so no
+    two different rows give the same text.
+    """
+    parts = []
+    for c in columns:
+        value = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("~")))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def word_tokens(text: Column) -> Column:

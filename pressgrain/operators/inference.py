@@ -100,33 +100,3 @@ def mean_pool(tokens: DataFrame, key: str, vector: str, output: str = "embedding
     ordered = F.sort_array(F.collect_list(F.struct("i", "m")))
     return means.groupBy(key).agg(F.transform(ordered, lambda p: p["m"]).alias(output))
 
-
-def onnx_classifier(model_path: str, tokenizer_path: str, max_tokens: int = 256) -> Callable[[], Predictor]:
-    """Factory for a sequence classifier exported to ONNX, with its tokenizer.
-
-    Both files must be readable by the executors.  Outputs class probabilities.
-    """
-
-    def factory() -> Predictor:
-        import onnxruntime
-        from tokenizers import Tokenizer
-
-        session = onnxruntime.InferenceSession(model_path)
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.enable_truncation(max_tokens)
-        tokenizer.enable_padding()
-        inputs = {i.name for i in session.get_inputs()}
-
-        def predict(texts: list[str]) -> np.ndarray:
-            coded = tokenizer.encode_batch(texts)
-            feed = {
-                "input_ids": np.array([c.ids for c in coded], dtype=np.int64),
-                "attention_mask": np.array([c.attention_mask for c in coded], dtype=np.int64),
-            }
-            logits = session.run(None, {k: v for k, v in feed.items() if k in inputs})[0]
-            odds = np.exp(logits - logits.max(axis=1, keepdims=True))
-            return odds / odds.sum(axis=1, keepdims=True)
-
-        return predict
-
-    return factory

@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from pressgrain.functions.wordlists import FOLLOWERS_MILLIONS
 from pressgrain.operators.lookups import lookup_table
 
 CATEGORIES = ("negative", "positive")
 
 
-def reach_table(spark: SparkSession, followers: Mapping[str, float]) -> DataFrame:
+def reach_table(spark: SparkSession, followers: Mapping[str, float] = FOLLOWERS_MILLIONS) -> DataFrame:
     return lookup_table(spark, list(followers.items()), "publisher string, followers double")
 
 

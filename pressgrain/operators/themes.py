@@ -17,12 +17,14 @@ def _stop_words(stop_words):
 
 
 def _first_seen(df: DataFrame, key: str, position: str):
-    """Smallest (key, position).  For integer keys as one decimal, which a hash
-    aggregate can update in place; a struct would force a sort."""
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        place = F.col(key).cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col(position)
-        return F.min(place)
-    return F.min(F.struct(key, position))
+    """Smallest (key, position) as one decimal, which a hash aggregate updates in place.
+
+    Keys that are no integers have no order of their own here: a hash of them is used,
+    the same on every run.
+    """
+    is_integer = isinstance(df.schema[key].dataType, T.IntegralType)
+    order = F.col(key) if is_integer else F.xxhash64(F.col(key))
+    return F.min(order.cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col(position))
 
 
 def _occurrences(df: DataFrame, text_column: str, key: str, stop_words, *groups: str) -> DataFrame:

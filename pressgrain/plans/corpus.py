@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from pressgrain.functions.text import clean_words
-from pressgrain.functions.wordlists import EXCLUDED_TITLE_KEYWORDS
+from pressgrain.functions.wordlists import EXCLUDED_TITLE_KEYWORDS, TOPICS
 from pressgrain.operators.columns import consolidate_columns
 from pressgrain.operators.lookups import topic_articles
 from pressgrain.operators.pages import extract_articles
@@ -16,7 +16,7 @@ from pressgrain.sources.stored import stored
 
 
 def pages_to_read(
-    found: DataFrame, topics: Sequence[str | Sequence[str]], pages: DataFrame, **restrictions
+    found: DataFrame, pages: DataFrame, topics: Sequence[str | Sequence[str]] = TOPICS, **restrictions
 ) -> DataFrame:
     """Pages of the articles on the topics, tagged with the topic as ``theme``.
 

@@ -11,7 +11,7 @@ from pressgrain.functions.wordlists import EDITORIAL_STANCES
 from pressgrain.operators.columns import consolidate_columns
 from pressgrain.operators.inference import Predictor, score_model
 from pressgrain.operators.matching import map_stance, stance_table
-from pressgrain.operators.rows import keep_agreeing, with_row_id
+from pressgrain.operators.rows import drop_repeated_rows, keep_agreeing, with_row_id
 from pressgrain.operators.sentiment import score_lexicon
 from pressgrain.sources.stored import stored
 
@@ -27,9 +27,13 @@ def score_articles(
     text_column: str = "content",
     rules: Rules | None = None,
 ) -> DataFrame:
-    """Row id and the columns of both scorers, in one pass and without a join."""
-    identified = with_row_id(corpus)
-    by_lexicon = score_lexicon(identified, text_column, lexicon, rules, key="unique_id")
+    """Row id and the columns of both scorers.
+
+    Cleaning can make rows equal that were not, so repeated rows are dropped again:
+    then each id is one row's.
+    """
+    identified = with_row_id(drop_repeated_rows(corpus))
+    by_lexicon = score_lexicon(identified, text_column, lexicon, rules)
     return score_model(by_lexicon, text_column, predictor)
 
 
@@ -39,7 +43,7 @@ def label_articles(
     predictor: Callable[[], Predictor],
     *,
     stances: Mapping[str, str] = EDITORIAL_STANCES,
-    stop_words: Iterable[str] = (),
+    stop_words: Iterable[str] | None = None,
     rules: Rules | None = None,
 ) -> DataFrame:
     """Articles on which both scorers agree, with the publisher's stance.

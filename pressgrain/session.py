@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,32 +20,34 @@ TUNING = {
 }
 
 
+# of local sessions that name no folder, by application; removed when Python ends
+_FALLBACK: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in TUNING.items():
         spark.conf.set(key, value)
     return spark
 
 
+def named_dir(spark: SparkSession) -> str | None:
+    """The folder that the session names in ``spark.checkpoint.dir``, if any."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables and checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
     fall back to a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    named = named_dir(spark) or _FALLBACK.get(spark.sparkContext.applicationId)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="pressgrain-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    _FALLBACK[spark.sparkContext.applicationId] = folder
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
-
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder where nothing is set yet."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))

@@ -14,13 +14,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out when the files give fewer partitions than there are cores.
+    """Deal the rows of a small table's scan out to all cores.
 
-    A file with one row group is read by one task.  Large tables have more
-    partitions than cores and are left as they are: no shuffle.
+    A file with one row group is read by one task, however many cores there are.
+    Files are counted in the plan, so no job runs; a table of as many files as
+    cores is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def load_report(df: DataFrame, name: str) -> DataFrame:
@@ -60,11 +61,14 @@ def read_combined(spark: SparkSession, root: str, name: str, schema: T.StructTyp
 def read_keyed_folder(spark: SparkSession, folder: str, pattern: str = "*.parquet", key: str = "table_key") -> DataFrame:
     """All files of a folder as one table, the file stem in the key column.
 
-    Filter on the key to get one file's rows.
+    Filter on the key to get one file's rows.  Files may have different columns:
+    the table has all of them, null where a file lacks one.  That reads every
+    footer.
     """
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     return (
         spark.read.option("pathGlobFilter", pattern)
+        .option("mergeSchema", True)
         .parquet(folder)
         .select("*", stem.alias(key))
     )

@@ -17,8 +17,12 @@ from pressgrain.session import shared_dir
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write the table below the shared folder and read it from there.  Runs a job."""
+    """Write the table below the shared folder and read it from there.  Runs a job.
+
+    All tables of an application lie in its folder ``stored-<application>``, which can
+    be removed once the application has ended.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/stored-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -46,14 +48,14 @@ def save_prefixed_tables(spark: SparkSession, prefix: str, folder: str) -> list[
     return sorted(saved)
 
 
-def publish_views(df: DataFrame, column: str, max_views: int = 1000) -> list[str]:
-    """A temporary view ``df_<value>`` per value of the column.  Runs a job.
+def publish_views(df: DataFrame, column: str, values: Iterable | None = None) -> list[str]:
+    """A temporary view ``df_<value>`` for each of the values, or for all that occur.
 
-    Views are names in the session, so more than ``max_views`` values raise.
+    Views are names that the session holds.  For a column of very many values name
+    the ones needed, or write the table by value.  Without names a job finds them.
     """
-    values = [r[0] for r in df.select(column).distinct().limit(max_views + 1).collect()]
-    if len(values) > max_views:
-        raise ValueError(f"{column} has more than {max_views} values")
+    if values is None:
+        values = [r[0] for r in df.select(column).distinct().collect()]
     names = []
     for value in values:
         match = F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
@@ -68,7 +70,8 @@ def route_outputs(files: DataFrame, folders: DataFrame) -> DataFrame:
     Topic words are the name's parts between the first and the last underscore,
     compared without case.  Names with fewer than four parts are skipped.  Each
     word meets the folders that contain it through the folders' own substrings
-    of that length, so files and folders join on equal words.
+    of the few lengths that words have, so files and folders join on equal words.
+    Runs a job for those lengths.
     """
     parts = F.split("file_name", "_")
     wanted = (
@@ -85,7 +88,8 @@ def route_outputs(files: DataFrame, folders: DataFrame) -> DataFrame:
         "file_name", F.size("topic_words").alias("n_words"), F.explode("topic_words").alias("word")
     )
     low = F.lower(F.col("folder"))
-    lengths = F.sequence(F.lit(0), F.length(low))
+    occurring = sorted(r[0] for r in words.select(F.length("word")).distinct().collect())
+    lengths = F.filter(F.array(*[F.lit(n) for n in occurring]).cast("array<int>"), lambda n: n <= F.length(low))
     starts = lambda size: F.transform(
         F.sequence(F.lit(1), F.length(low) - size + 1), lambda at: F.substr(low, at, size)
     )

@@ -17,7 +17,7 @@ from pressgrain.functions.wordlists import EXCLUDED_TITLE_KEYWORDS
 from pressgrain.operators.pages import extract_articles
 from pressgrain.operators.rows import exclude_by_keywords
 from pressgrain.plans.corpus import clean_articles
-from pressgrain.session import shared_dir
+from pressgrain.session import named_dir, shared_dir
 
 
 def page_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
@@ -34,9 +34,12 @@ def article_stream(
 def append_articles(articles: DataFrame, path: str, name: str) -> StreamingQuery:
     """Append what is available to Parquet, then stop.
 
-    Progress is kept below the shared folder under ``name``; a restarted query
-    goes on where it stopped.
+    Progress is kept below ``spark.checkpoint.dir`` under ``name``; a restarted query
+    goes on where it stopped.  Without that setting there is no folder that lasts, and
+    a restart would append everything again, so it is an error.
     """
+    if not named_dir(articles.sparkSession):
+        raise ValueError("set spark.checkpoint.dir to a lasting folder before starting a stream")
     return (
         articles.writeStream.format("parquet")
         .option("path", path)

@@ -69,8 +69,8 @@ def test_views_and_prefixed_tables(spark, tmp_path):
     assert writers.publish_views(df, "s") == ["df_MAGA", "df_Main stream", "df_None"]
     assert rows(spark.table("`df_Main stream`").select("id")) == [(3,)]
     assert rows(spark.table("df_None").select("id")) == [(2,)]
-    with pytest.raises(ValueError):
-        writers.publish_views(df, "s", max_views=2)
+    assert writers.publish_views(df, "s", ["MAGA", "none such"]) == ["df_MAGA", "df_none such"]
+    assert spark.table("`df_none such`").count() == 0
     df.createOrReplaceTempView("keepme_one")
     assert writers.save_prefixed_tables(spark, "keepme_", str(tmp_path)) == ["keepme_one"]
     assert spark.read.parquet(str(tmp_path / "keepme_one")).count() == 3
@@ -91,10 +91,13 @@ def test_route_outputs(spark):
     ]
 
 
-def test_spread_leaves_enough_partitions_alone(spark):
-    assert readers.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
-    many = spark.range(100, numPartitions=9)
-    assert readers.spread(many) is many
+def test_spread_leaves_enough_files_alone(spark, tmp_path):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(100, numPartitions=1).write.parquet(one)
+    spark.range(100, numPartitions=9).write.parquet(many)
+    assert readers.spread(spark.read.parquet(one)).rdd.getNumPartitions() == 4
+    table = spark.read.parquet(many)
+    assert readers.spread(table) is table
 
 
 def test_stored_in_the_shared_folder(spark):
@@ -129,7 +132,7 @@ def fetched(spark):
 def test_all_stages(spark):
     pages = fetched(spark)
     found = pages.select("url", F.lit("Immigration Policy").alias("title"), F.lit(None).cast("string").alias("description"), F.lit("x").alias("content"))
-    read = corpus.pages_to_read(found.dropDuplicates(["url"]), ["immigration AND policy"], pages)
+    read = corpus.pages_to_read(found.dropDuplicates(["url"]), pages, ["immigration AND policy"])
     articles = corpus.build_corpus(read, status="status")
     assert articles.count() == 60 and articles.where("theme <> 'immigration AND policy'").count() == 0
     lexicon = {"good": 2.0, "lovely": 2.5, "awful": -2.0, "broken": -1.5, "agree": 0.4}
