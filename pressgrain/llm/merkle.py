@@ -109,7 +109,7 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     }
     order = sorted(heads)
     above = dict(zip(order, order[1:] + order[:1]))
-    pairs = [F.lit(x) for b in order for x in (heads[b], above[b])]
+    pairs = [x for b in order for x in (F.lit(heads[b]).cast("long"), F.lit(above[b]))]
     receiver = F.create_map(*pairs)[F.col("_k")] if pairs else F.lit(None).cast("int")
     dealt = (
         docs.withColumn("_k", k)
