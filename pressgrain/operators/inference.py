@@ -23,11 +23,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Predictor = Callable[[list[str]], np.ndarray]
 
 
-def _in_batches(texts: list[str], predict: Predictor, size: int) -> list:
-    rows: list = []
-    for start in range(0, len(texts), size):
-        rows.extend(np.asarray(predict(texts[start : start + size])).tolist())
-    return rows
+def _in_batches(texts: list[str], predict: Predictor, size: int) -> list[np.ndarray]:
+    parts = [np.asarray(predict(texts[at : at + size])) for at in range(0, len(texts), size)]
+    return [row for part in parts for row in part]
 
 
 def predicted(

@@ -1,10 +1,11 @@
 """Best match of names against a catalogue by TF-IDF cosine similarity.
 
 Names meet only through shared tokens, rarest first.  Each name is scored once
-against the entries holding its rarest known token; that score is a lower bound
-for its best match.  As all vectors have length one, an entry sharing only
-tokens of joint weight below the bound cannot reach it, so those (the frequent
-ones, like ``news``) never make candidate pairs.  The result is exact.
+against the entry in which its rarest known token weighs most; that score is a
+lower bound for its best match.  An entry is met at the first token it shares, and
+only if its weight there and the most that all later tokens could add reach the
+bound, so a frequent token (like ``news``) makes pairs with the entries it matters
+to, not with all.  The result is exact.
 
 Names and vectors are small next to the articles and used in several steps, so
 they are stored once (:func:`pressgrain.sources.stored.stored`).
@@ -75,23 +76,28 @@ def best_matches(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Names that share no token with the catalogue are left out.
     """
-    known = left.join(right.select("token").distinct(), "token")
+    heaviest = F.max(F.struct("weight", (-F.col("pos")).alias("back")))
+    top = right.groupBy("token").agg(heaviest.alias("top")).select(
+        "token", F.col("top.weight").alias("top_weight"), (-F.col("top.back")).alias("top_pos")
+    )
     by_rarity = Window.partitionBy("name").orderBy("df", "token")
-    ranked = known.withColumn("rank", F.row_number().over(by_rarity)).withColumn(
-        "remaining",
-        F.sum(F.col("weight") * F.col("weight")).over(
-            by_rarity.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        ),
+    later = by_rarity.rowsBetween(1, Window.unboundedFollowing)
+    # what the more frequent tokens can add: each its heaviest entry, all of them a unit vector
+    rest = F.least(
+        F.coalesce(F.sum(F.col("weight") * F.col("top_weight")).over(later), F.lit(0.0)),
+        F.sqrt(F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(later), F.lit(0.0))),
     )
-    postings = right.select("token", "pos")
-    seeds = _scores(left, right, ranked.where("rank = 1").select("name", "token").join(postings, "token").select("name", "pos"))
-    bound = seeds.groupBy("name").agg(F.max("similarity").alias("bound"))
-    # a token can still matter while it and the more frequent ones reach the bound
+    ranked = left.join(top, "token").withColumn("rank", F.row_number().over(by_rarity)).withColumn("rest", rest)
+    seeds = _scores(left, right, ranked.where("rank = 1").select("name", F.col("top_pos").alias("pos")))
+    bound = seeds.select("name", F.col("similarity").alias("bound"))
+    # an entry is met at the first token it shares, if that and the rest can reach the bound
+    postings = right.select("token", "pos", F.col("weight").alias("entry_weight"))
+    reaches = F.col("weight") * F.col("entry_weight") + F.col("rest") >= F.col("bound") - _EPS
     candidates = (
         ranked.join(bound, "name")
-        .where((F.col("rank") == 1) | (F.sqrt("remaining") >= F.col("bound") - _EPS))
-        .select("name", "token")
-        .join(postings, "token")
+        .where(F.col("weight") * F.col("top_weight") + F.col("rest") >= F.col("bound") - _EPS)
+        .select(F.col("token").alias("shared"), "name", "weight", "rest", "bound")
+        .join(postings, (F.col("shared") == F.col("token")) & reaches)
         .select("name", "pos")
         .distinct()
     )
