@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import shutil
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressgrain.session import tune
+import pressgrain
+from pressgrain.session import shared_dir, tune
 from pressgrain.sources.stored import stored
 
 # Rows of one Arrow batch.  Texts can be long, so batches hold few of them.
@@ -15,12 +19,31 @@ BATCH_ROWS = 256
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings for speed and bounded batches; results do not depend on them."""
+    """Session settings for speed and bounded batches; results do not depend on them.
+
+    Python workers import this package.  On a cluster it is installed or handed over
+    with ``--py-files``; a local session, whose workers may start in any folder, gets
+    it from here.
+    """
     tune(spark)
+    _hand_over(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
+_HANDED_OVER: set[str] = set()  # applications
+
+
+def _hand_over(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    folder = shared_dir(spark).removeprefix("file://") if re.match(r"local($|\[)", context.master) else ""
+    if folder.startswith("/") and context.applicationId not in _HANDED_OVER:
+        _HANDED_OVER.add(context.applicationId)
+        root = Path(pressgrain.__file__).resolve().parent.parent
+        name = f"{folder}/package-{context.applicationId}/pressgrain"
+        context.addPyFile(shutil.make_archive(name, "zip", root, "pressgrain"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
