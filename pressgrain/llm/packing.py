@@ -11,7 +11,11 @@ place by their rank within their length.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
+from array import array
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -21,32 +25,72 @@ from tokenizers import Tokenizer
 
 from pressgrain.llm.common import keyed_texts, map_batches, stored
 
-MAX_KNOWN_WORDS = 200_000  # words whose ids a worker keeps; beyond it starts anew
+MAX_KNOWN = 400_000  # pieces whose ids a worker keeps; beyond it starts anew
+
+# Characters whose case, class and normal form are the same everywhere: ASCII, Latin
+# letters with marks, and general punctuation.  Special tokens begin with "<|".
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
+_SIGNS = "\u2010-\u2027\u2030-\u205e"
+_ODD = re.compile(f"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f{_SIGNS}]")
+_WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+# How the tokenizer normalises and parts a text, and the same parting of
+# a text in lower case for those characters.
+_STEPS = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \\t\\n\\r\\x0b\\x0c{_LETTERS}0-9]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
+class _Known(dict):
+    """Ids of the parts seen so far, as bytes; an unseen part is coded and kept."""
+
+    def __init__(self, code):
+        super().__init__()
+        self.code = code
+
+    def __missing__(self, part: str) -> bytes:
+        value = self[part] = array("I", self.code(part)).tobytes()
+        return value
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that never joins what white space parts.
+    """Ids of texts by a tokenizer that parts them by ``_PATTERN``, in lower case.
 
-    Texts are split at ASCII white space; the ids of a word seen before are looked up.
+    A text of plain characters is parted into pieces here and only the pieces go to the
+    tokenizer's model; any other text is parted at ASCII white space and its words go
+    through the whole tokenizer.  The ids of a part seen before are looked up.
     """
 
     def __init__(self, path: str):
+        # Spark gives each task a core; the library's own threads would take others'
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [s["type"] for s in (spec["normalizer"] or {}).get("normalizers", [])]
+        parting = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        if (steps, parting) != (_STEPS, _PATTERN):
+            raise ValueError("this tokenizer parts texts in another way")
+        tokenize, encode = self.tokenizer.model.tokenize, self.tokenizer.encode
+        self.pieces = _Known(lambda p: [t.id for t in tokenize(p.encode().decode("latin-1").translate(_BYTES))])
+        self.words = _Known(lambda w: encode(w, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > MAX_KNOWN_WORDS:
-                known.clear()
-                new = [*set(words)]
-            for at in range(0, len(new), 1000):
-                part = new[at : at + 1000]
-                coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                known.update((w, np.array(c.ids, dtype="<u4").tobytes()) for w, c in zip(part, coded))
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        if "<|" in text or _ODD.search(text):
+            known, parts = self.words, _WORD.findall(text)
+        else:
+            known, parts = self.pieces, _PIECE.findall(text.lower())
+        if len(known) > MAX_KNOWN:
+            known.clear()
+        return np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype="<u4")
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}  # one of each path in a worker
