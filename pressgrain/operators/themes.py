@@ -19,8 +19,8 @@ def _stop_words(stop_words):
 def _first_seen(df: DataFrame, key: str, position: str):
     """Smallest (key, position) as one decimal, which a hash aggregate updates in place.
 
-    Keys that are no integers have no order of their own here: a hash of them is used,
-    the same on every run.
+    Texts named by a string (a url, say) stand in no order of their own: a hash of the
+    name is used, the same on every run.
     """
     is_integer = isinstance(df.schema[key].dataType, T.IntegralType)
     order = F.col(key) if is_integer else F.xxhash64(F.col(key))
@@ -55,11 +55,14 @@ def split_keywords(df: DataFrame, column: str = "keywords", key: str | None = No
 
 
 def top_listed_words(df: DataFrame, column: str, key: str, n: int = 5) -> DataFrame:
-    """The n words listed most often over all keyword lists; ties as first listed."""
+    """The n words listed most often over all keyword lists; ties as first listed.
+
+    Lists stand in the order of their key, whatever its type.
+    """
     listed = split_keywords(df, column, key)
     return (
         listed.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), _first_seen(listed, key, "pos").alias("first_seen"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "pos")).alias("first_seen"))
         .orderBy(F.desc("n"), F.asc("first_seen"))
         .limit(n)
         .select("token", "n")

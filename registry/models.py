@@ -504,16 +504,17 @@ def ml18_cluster_keywords(spark, sf):
 def ml17_kmeans(spark, sf):
     """Every vector lies in the cluster whose centre is nearest."""
     clustered, model = TH.assign_clusters(table(spark, sf, "embeddings"), "embedding", 10)
-    centres = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "centre int, place array<double>"
-    ).agg(F.collect_list(F.struct("centre", "place")).alias("centres"))  # ten
+    centres = F.array(*[
+        F.struct(F.lit(i).alias("centre"), F.array(*[F.lit(float(x)) for x in c]).alias("place"))
+        for i, c in enumerate(model.clusterCenters())
+    ])
     away = lambda place: F.aggregate(
         F.zip_with("embedding", place, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
     )
-    distances = F.transform("centres", lambda c: F.struct(away(c["place"]).alias("d"), c["centre"].alias("c")))
+    distances = F.transform(centres, lambda c: F.struct(away(c["place"]).alias("d"), c["centre"].alias("c")))
     own = F.array_min(F.transform(F.filter("distances", lambda d: d["c"] == F.col("cluster")), lambda d: d["d"]))
     return (
-        clustered.join(centres, F.lit(True)).select("vec_id", "cluster", distances.alias("distances"))
+        clustered.select("vec_id", "cluster", distances.alias("distances"))
         .select("vec_id", (own <= F.array_min("distances")["d"] + 1e-6).alias("nearest"))
     )
 
