@@ -51,7 +51,7 @@ _SLOT = {kind: _digest(f"<{name}>") for kind, name in ((_NAME, "name"), (_NUMBER
 class _Vocabulary(dict):
     """Index of each token seen, with its kind and hash; forgets everything when it is full."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
         self.clear()
