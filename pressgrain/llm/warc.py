@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgrain.llm.common import map_batches
+from pressgrain.llm.common import map_batches, stored
 
 VERSION = "WARC/1.1\r\n"
 _CHUNK = 2048
@@ -108,7 +108,7 @@ def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     """Rows (page_id, url, payload, digest, refers_to): pages and the response that each revisits, if any.
 
     Of pages with equal payloads of at least ``least`` bytes, that with the largest
-    page_id is the response.  Payloads are grouped by digest and length only.
+    page_id is the response.  Payloads are grouped by digest and length only.  Runs a job.
     """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
@@ -117,7 +117,8 @@ def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
         rows.where(F.col("bytes") >= least).groupBy("digest", "bytes")
         .agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
-    return rows.join(kept, ["digest", "bytes"], "left").select(
+    # written, so that its size is known: while it is small no payload is shuffled
+    return rows.join(stored(kept), ["digest", "bytes"], "left").select(
         "page_id", "url", "payload", "digest",
         F.when(F.col("page_id") != F.col("kept"), F.col("kept")).alias("refers_to"),
     )
@@ -199,11 +200,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
         for f, block, whole in _whole_records(p for b in batches for p in b.column(0).to_pylist()):
-            total = f.get("warc-segment-total-length")
+            number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
             out.append((
                 f.get("warc-type"), f.get("warc-record-id"), f.get("warc-segment-origin-id"),
                 f.get("warc-payload-digest", "").removeprefix("sha1:") or None, f.get("warc-refers-to"),
-                int(f.get("warc-segment-number", 1)), int(total) if total else None, block, whole,
+                int(number) if number else None, int(total) if total else None, block, whole,
             ))
             size += len(block)
             if len(out) >= 256 or size > 1 << 24:
@@ -219,22 +220,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def reassemble(records: DataFrame) -> DataFrame:
     """Rows (id, type, digest, refers_to, block, complete): records with their continuations joined on.
 
-    The segments of one origin, a single page, are put in order of their numbers;
-    ``complete`` says that they run from 1 without gap or repeat, that each has its own
-    length and that together they have the stated total.  Continuations without a
+    Only records with a segment number are grouped.  The segments of one origin, a
+    single page, are put in order of their numbers; ``complete`` says that they run
+    from 1 without gap or repeat, that each has its own length and that together they
+    have the stated total.  Continuations without a
     first record give a row of type null that is not complete.
     """
+    segmented = F.coalesce(F.col("type") == "continuation", F.lit(False)) | F.col("number").isNotNull()
+    singles = records.where(~segmented).select("id", "type", "digest", "refers_to", "block", F.col("whole").alias("complete"))
     part = F.struct("number", "block", "total", "whole", "type", "digest", "refers_to")
-    # a record in one piece needs no grouping
-    alone = F.col("origin").isNull() & F.col("single")
-    marked = records.withColumn("single", F.col("type") != "continuation").withColumn("key", F.coalesce("origin", "id"))
-    origins = records.where(F.col("origin").isNotNull()).select(F.col("origin").alias("key")).distinct()
-    singles = marked.where(alone).join(origins, "key", "left_anti").select(
-        F.col("id"), "type", "digest", "refers_to", "block", (F.col("whole") & (F.col("number") == 1)).alias("complete")
-    )
     grouped = (
-        marked.join(origins, "key", "left_semi")
-        .groupBy("key").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+        records.where(segmented).groupBy(F.coalesce("origin", "id").alias("key"))
+        .agg(F.sort_array(F.collect_list(part)).alias("parts"))
     )
     first = F.col("parts")[0]
     numbers = F.col("parts.number")
@@ -295,7 +292,7 @@ def round_trip(pages: DataFrame, path: str, segment: int = 4096, least: int = 10
     """
     write_archives(pages, path, segment, least)
     spark = pages.sparkSession
-    read = read_pages(spark, path).drop("payload")
+    read = stored(read_pages(spark, path).drop("payload"))
     responses = read.where("record_type = 'response'").select(
         F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest")
     )
