@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 import shutil
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -78,9 +81,38 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(per_batch(fn, schema), schema)
 
 
-def text_hash(column: Column | str) -> Column:
-    """A 128-bit key of a text, for grouping equal texts without shuffling them."""
-    return F.md5(F.col(column) if isinstance(column, str) else column)
+def presence_bits(keys: DataFrame, column: str, most_log2: int = 28) -> np.ndarray:
+    """A bit map of the 64-bit keys that occur: about 16 bits for each, at most 2**most_log2.
+
+    It only spares a shuffle the rows that cannot join (32 MB at the most, whatever the
+    number of keys); what it lets through wrongly falls away in the join.  Runs jobs.
+    """
+    log2 = min(most_log2, max(16, math.ceil(math.log2(16 * keys.count() + 1))))
+    slot = F.shiftrightunsigned(column, 64 - log2)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    bits = np.zeros(1 << (log2 - 6), dtype=np.int64)
+    found = words.toArrow()
+    bits[found.column("w").to_numpy()] = found.column("b").to_numpy()
+    return bits.view(np.uint64)
+
+
+def present(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the keys (unsigned) may be in the bit map."""
+    slot = keys >> np.uint64(64 - (len(bits).bit_length() + 5))
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def may_be_in(key: Column, bits: np.ndarray, spark: SparkSession) -> Column:
+    """Whether a 64-bit key may be in the bit map; only the key goes to Python."""
+    shared = spark.sparkContext.broadcast(bits)
+
+    def of(keys: pd.Series) -> pd.Series:
+        return pd.Series(present(keys.to_numpy(dtype=np.int64).view(np.uint64), shared.value))
+
+    return F.pandas_udf(of, "boolean")(key)
 
 
-__all__ = ["BATCH_ROWS", "keyed_texts", "map_batches", "per_batch", "prepare", "stored", "table", "text_hash"]
+__all__ = [
+    "BATCH_ROWS", "keyed_texts", "map_batches", "may_be_in", "per_batch", "prepare", "presence_bits", "present", "stored", "table",
+]

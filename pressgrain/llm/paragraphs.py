@@ -11,7 +11,6 @@ copy, the others' are removals; removals next to each other are one passage.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressgrain.llm.common import keyed_texts, map_batches, stored
+from pressgrain.llm.common import keyed_texts, map_batches, presence_bits, present, stored
 from pressgrain.llm.components import connected_components
 from pressgrain.llm.suffixes import run_hashes
 
@@ -38,7 +37,7 @@ _PLUS = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 class _Words(dict):
     """Hash of each word seen, its lowest bit set if the word ends a sentence."""
 
-    limit = 300_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         ends = word.rstrip(b"\"')]").endswith((b".", b"!", b"?"))
@@ -150,28 +149,6 @@ def key_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), of, "key long, n long")
 
 
-def presence_bits(repeated: DataFrame, most_log2: int = 28) -> np.ndarray:
-    """A bit map of the keys: about 16 bits for each, at most 2**most_log2 (32 MB).  Runs jobs.
-
-    It only spares later steps rows that meet nothing; what it lets through wrongly
-    falls away in the joins.
-    """
-    n = repeated.count()
-    log2 = min(most_log2, max(16, math.ceil(math.log2(16 * n + 1))))
-    slot = F.shiftrightunsigned("key", 64 - log2)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
-    words = repeated.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    bits = np.zeros(1 << (log2 - 6), dtype=np.int64)
-    found = words.toArrow()
-    bits[found.column("w").to_numpy()] = found.column("b").to_numpy()
-    return bits.view(np.uint64)
-
-
-def _present(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    slot = keys >> np.uint64(64 - (len(bits).bit_length() + 5))
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
 _FOUND = "kind int, key long, unit long, doc_id long, lo int, hi int, words string"
 UNIT, BAND, TEXT = range(3)
 
@@ -184,10 +161,10 @@ def candidates(docs: DataFrame, bits: np.ndarray) -> DataFrame:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         units = cut(texts)
         able, keys = band_keys(units)
-        hits = _present(keys, shared.value)
+        hits = present(keys, shared.value)
         near = np.zeros(len(units.key), dtype=bool)
         near[able] = hits.any(axis=1)
-        take = np.flatnonzero(near | _present(units.key, shared.value))
+        take = np.flatnonzero(near | present(units.key, shared.value))
         signed = units.key.view(np.int64)
         out = {k: [] for k in ("kind", "key", "unit", "doc_id", "lo", "hi", "words")}
 
@@ -314,7 +291,7 @@ def repeated_passages(
     """
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
     repeated = stored(key_counts(texts).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
-    found = stored(candidates(texts, presence_bits(repeated)))
+    found = stored(candidates(texts, presence_bits(repeated, "key")))
     bands = found.where(F.col("kind") == BAND).select("key", "unit").distinct()
     words = found.where(F.col("kind") == TEXT).groupBy("unit").agg(F.min("words").alias("words"))
     roots = connected_components(similar_paragraphs(bands, words, threshold))
