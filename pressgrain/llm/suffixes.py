@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pressgrain.llm.common import keyed_texts, map_batches, stored
+from pressgrain.llm.common import keyed_texts, map_batches, may_be_in, presence_bits, stored
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xD6E8FEB86659FD93)
@@ -29,7 +29,7 @@ _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 class _WordHashes(dict):
     """Hash of each word seen; forgets everything when it is full."""
 
-    limit = 300_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)
@@ -171,7 +171,10 @@ def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
 def candidate_windows(docs: DataFrame, suffixes: DataFrame, min_words: int, head: int) -> DataFrame:
     """Rows (hash, doc_id, place) of the windows that the repeated suffixes extend to on both sides."""
     places = suffixes.groupBy("doc_id").agg(F.collect_set("place").alias("places"))  # of one document
-    joined = docs.join(places, "doc_id").select("doc_id", "text", "places")
+    # texts without a repeated suffix are not shuffled
+    bits = presence_bits(suffixes.select(F.xxhash64("doc_id").alias("key")).distinct(), "key")
+    some = docs.where(may_be_in(F.xxhash64("doc_id"), bits, docs.sparkSession))
+    joined = some.join(places, "doc_id").select("doc_id", "text", "places")
     width = min_words - head + 1
 
     def of(batch):
@@ -213,7 +216,7 @@ def repeated_spans(
         raise ValueError("head must be at most half of min_words")
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
     suffixes = stored(sparse_suffixes(texts, min_words, head))
-    windows = stored(candidate_windows(texts, repeated_suffixes(suffixes), min_words, head))
+    windows = candidate_windows(texts, stored(repeated_suffixes(suffixes)), min_words, head)
     repeated = (
         windows.groupBy("hash").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
         .where(F.col("first_doc_id") < F.col("last")).drop("last")
