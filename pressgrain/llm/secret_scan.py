@@ -3,13 +3,14 @@
 Besides the patterns, a long string near a word such as "key" or "auth" is measured:
 zstandard compresses it after a dictionary made of common identifiers and the text
 around it.  A name, path or number seen before costs a few bytes; a random secret
-costs nearly all of its own.
+costs nearly all that its characters cost in an order that repeats nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -49,17 +50,28 @@ _NEAR = re.compile("|".join(map(re.escape, CONTEXT)), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 
-def _marginal(candidate: bytes, around: bytes) -> int:
-    """Bytes that the candidate adds to a frame whose dictionary is what surrounds it."""
-    primed = zstandard.ZstdCompressionDict(
-        IDENTIFIERS.encode() + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT
-    )
+def _added(candidate: bytes, primed: zstandard.ZstdCompressionDict | None = None) -> int:
+    """Bytes that the candidate adds to a frame."""
     packer = zstandard.ZstdCompressor(
         level=19, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False
     )
     return len(packer.compress(candidate)) - len(packer.compress(b""))
 
 
+def _marginal(candidate: bytes, around: bytes) -> int:
+    """Bytes that the candidate adds to a frame whose dictionary is what surrounds it."""
+    return _added(candidate, zstandard.ZstdCompressionDict(
+        IDENTIFIERS.encode() + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT
+    ))
+
+
+def _unmatched(candidate: bytes) -> int:
+    """Bytes that the candidate's characters cost, shuffled and without a dictionary: entropy coding alone."""
+    mixed = list(candidate)
+    random.Random(0).shuffle(mixed)
+    return _added(bytes(mixed))
+
+
 def _entropy(value: str) -> float:
     n = len(value)
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -74,8 +86,10 @@ def novel_spans(
     A candidate has 16 or more letters, digits or ``+/_=-``, among them a digit and a
     letter, and a word of ``CONTEXT`` at most ``reach`` characters before it.  Its
     dictionary is the text up to ``around`` characters on either side without the
-    candidate itself.  It is reported if it still costs ``novelty`` of its length and
-    its characters are spread (``entropy`` bits each); spans in ``taken`` are skipped.
+    candidate itself.  It is reported if it still costs ``novelty`` of its length, or
+    of what its characters cost shuffled and without a dictionary where that is less
+    (hex digits take half a byte each), and its characters are spread (``entropy`` bits
+    each); spans in ``taken`` are skipped.
     """
     found, end = [], 0
     for near in _NEAR.finditer(text):
@@ -93,7 +107,8 @@ def novel_spans(
             if _entropy(value) < entropy:
                 continue
             rest = text[max(0, lo - around) : lo] + " " + text[hi : hi + around]
-            if _marginal(value.encode(), rest.encode("utf-8", "replace")) >= novelty * (hi - lo):
+            cost = _marginal(value.encode(), rest.encode("utf-8", "replace"))
+            if cost >= novelty * (hi - lo) or cost >= novelty * _unmatched(value.encode()):
                 found.append((lo, hi))
     return found
 

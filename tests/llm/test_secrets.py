@@ -77,6 +77,25 @@ def test_novel_strings_in_sensitive_context():
     assert S.spans(f"{random_part} {random_part} was the cookie, {random_part} it was") == []
 
 
+def test_long_random_strings_are_novel_in_any_alphabet():
+    rng = random.Random(7)
+    alphabets = ["0123456789ABCDEF", LETTERS.upper() + "234567", LETTERS + "0123456789", LETTERS + LETTERS.upper() + "0123456789+/"]
+    for alphabet in alphabets:
+        for n in (24, 40, 48, 64, 96, 128, 256, 344, 1000, 2000):
+            value = "2F" + "".join(rng.choice(alphabet) for _ in range(n - 2))
+            if not set(value) <= set(alphabet):
+                value = "f2" + value[2:]
+            text = f"The signature is {value} as sent by the build."
+            at = text.index(value)
+            assert S.spans(text) == [(at, at + n, 3)], value
+            assert S.redacted(text) == "The signature is [SECRET] as sent by the build."
+    # long strings made of known parts, of one part repeated, and of what the text says elsewhere
+    assert S.spans("the credential " + "client_secret_authorization_environment2_" * 12) == []
+    assert S.spans("the credential " + "q7Vx2LmZ9pRw4KtB8sYc3NhD" * 12) == []
+    block = "".join(rng.choice(alphabets[3]) for _ in range(400))
+    assert S.spans(f"{block} is public; its signature {block}") == []
+
+
 def test_redacted():
     text = 'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### b'
     assert S.redacted(text) == 'a [SECRET]"### b'
