@@ -1,7 +1,7 @@
 """Benchmark items that occur in documents, also with other numbers, names and units.
 
 Both sides are brought to templates: numbers, units after numbers and names become
-typed placeholders (slots), all other words are lower-cased.  Windows of template
+typed placeholders (slots), all other words are case-folded.  Windows of template
 tokens are joined by hash.  Along each alignment of an item and a document the slots
 must be consistent: one value of the item stands for one value of the document
 throughout, and different ones for different ones.  Windows that touch a slot
@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pressgrain.llm.common import keyed_texts, map_batches, stored
 
@@ -38,7 +38,7 @@ OPENERS = (
 ).split()
 
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
-_MARK, _WORD, _NAME, _FIRST_NAME, _NUMBER, _UNIT = range(6)
+_MARK, _WORD, _NAME, _NUMBER, _UNIT = range(5)
 
 
 def _digest(value: str) -> int:
@@ -49,7 +49,7 @@ _SLOT = {kind: _digest(f"<{name}>") for kind, name in ((_NAME, "name"), (_NUMBER
 
 
 class _Vocabulary(dict):
-    """Index of each token seen, with its kind and hash; forgets everything when it is full."""
+    """Index of each token seen, with its kinds and hash; forgets everything when it is full."""
 
     def __init__(self, limit: int = 100_000):
         super().__init__()
@@ -58,29 +58,62 @@ class _Vocabulary(dict):
 
     def clear(self):
         super().clear()
-        self.kinds, self.hashes = [], []
+        self.kinds, self.hashes = np.empty((2, 1024), dtype=np.int8), np.empty(1024, dtype=np.uint64)
 
     def __missing__(self, token: str) -> int:
-        low = token.lower()
+        low, at = token.casefold(), len(self)
         if token in ".!?\n":
-            kind = _MARK
+            kind = folded = _MARK
         elif token[0].isdigit() or low in _NUMBERS:
-            kind = _NUMBER
-        elif token[0].isupper() and not (len(token) > 1 and token.isupper()):
-            kind = _FIRST_NAME if low not in _OPENERS else _WORD
-        elif low in _UNIT_SET:
-            kind = _UNIT
+            kind = folded = _NUMBER
         else:
-            kind = _WORD
-        self.kinds.append(kind)
-        self.hashes.append(_digest(low))
-        self[token] = len(self)
-        return len(self) - 1
+            kind = folded = _UNIT if low in _UNIT_SET else _WORD
+            if token[0].isupper() and not (len(token) > 1 and token.isupper()):
+                kind = _NAME if low not in _OPENERS else _WORD
+        if at == len(self.hashes):
+            self.kinds, self.hashes = np.tile(self.kinds, 2), np.tile(self.hashes, 2)
+        self.kinds[:, at] = kind, folded
+        self.hashes[at] = _digest(low)
+        self[token] = at
+        return at
 
 
 _NUMBERS, _UNIT_SET, _OPENERS = frozenset(NUMBER_WORDS), frozenset(UNITS), frozenset(OPENERS)
 _SEEN = _Vocabulary()
 
+# As written, where capitals make names, and with all case folded, where names are words.
+WRITTEN, FOLDED = VIEWS = range(2)
+
+
+class _Tokens:
+    """The tokens of texts, one after the other; marks are left out."""
+
+    def __init__(self, texts: list[str]):
+        if len(_SEEN) > _SEEN.limit:
+            _SEEN.clear()
+        parts = []
+        for text in texts:
+            tokens = _TOKEN.findall(text)
+            parts.append(np.fromiter(map(_SEEN.__getitem__, tokens), dtype=np.int64, count=len(tokens)))
+        at = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
+        text = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        plain = _SEEN.kinds[WRITTEN, at] != _MARK
+        at, self.text = at[plain], text[plain]
+        self.values, self._kinds = _SEEN.hashes[at], _SEEN.kinds[:, at]
+        self.lengths = np.bincount(self.text, minlength=len(parts))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def template(self, view: int) -> tuple[np.ndarray, np.ndarray]:
+        """Template hashes and whether each token is a slot."""
+        kinds = self._kinds[view]
+        after_number = np.zeros(len(kinds), dtype=bool)
+        after_number[1:] = (kinds[:-1] == _NUMBER) & (self.text[1:] == self.text[:-1])
+        kinds = np.where((kinds == _UNIT) & ~after_number, _WORD, kinds)
+        hashes = self.values.copy()
+        for kind, digest in _SLOT.items():
+            hashes[kinds == kind] = digest
+        return hashes, kinds != _WORD
+
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template hashes, value hashes and whether each token is a slot; marks are left out.
@@ -88,28 +121,14 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     A capitalised word is a name unless it is a usual opener of sentences.  A unit is
     a slot only right after a number.
     """
-    if len(_SEEN) > _SEEN.limit:
-        _SEEN.clear()
-    tokens = _TOKEN.findall(text)
-    at = np.fromiter(map(_SEEN.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-    # look-ups by index only over the tokens of this text
-    distinct, inverse = np.unique(at, return_inverse=True)
-    kinds = np.array([_SEEN.kinds[i] for i in distinct], dtype=np.int8)[inverse] if len(at) else at.astype(np.int8)
-    values = np.array([_SEEN.hashes[i] for i in distinct], dtype=np.uint64)[inverse] if len(at) else at.astype(np.uint64)
-    plain = kinds != _MARK
-    kinds, values = kinds[plain], values[plain]
-    kinds = np.where(kinds == _FIRST_NAME, _NAME, kinds)
-    after_number = np.zeros(len(kinds), dtype=bool)
-    after_number[1:] = kinds[:-1] == _NUMBER
-    kinds = np.where((kinds == _UNIT) & ~after_number, _WORD, kinds)
-    hashes = values.copy()
-    for kind, digest in _SLOT.items():
-        hashes[kinds == kind] = digest
-    return hashes, values, kinds != _WORD
+    tokens = _Tokens([text])
+    hashes, slots = tokens.template(WRITTEN)
+    return hashes, tokens.values, slots
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xD6E8FEB86659FD93)
+_FOLD = np.uint64(0xA0761D6478BD642F)  # windows of the two views never meet
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -123,40 +142,53 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def _windows(text: str, sizes: list[int], literal: int):
-    """(place, size, hash, values of slots) of windows with at least ``literal`` words that are no slots."""
-    hashes, values, slots = template(text)
+def _windows(tokens: _Tokens, view: int, sizes: list[int], literal: int):
+    """(size, hashes, whether it counts, slots) of all windows: those within a text with ``literal`` plain words count."""
+    hashes, slots = tokens.template(view)
     words = np.concatenate([[0], np.cumsum(~slots)])
     for size in sizes:
         found = window_hashes(hashes, size)
-        enough = words[size:] - words[: len(words) - size] >= min(literal, size) if len(found) else found > 0
-        yield size, found, enough, values, slots
+        n = len(found)
+        if not n:
+            continue
+        if view == FOLDED:
+            found = found ^ _FOLD
+        enough = words[size:] - words[:n] >= min(literal, size)
+        yield size, found, enough & (tokens.text[size - 1 :] == tokens.text[:n]), slots
 
 
-_SCHEMA = "id long, place int, size int, hash long, slots array<struct<at int, value long>>"
+_SCHEMA = "id long, n int, view int, place int, size int, hash long, slots array<struct<at int, value long>>"
 
 
-def _rows(out: dict, key, size, found, places, values, slots) -> None:
+def _rows(out: dict, keys: list, tokens: _Tokens, view: int, size: int, found, places, slots) -> None:
     slot_at = np.flatnonzero(slots)
     for p in places.tolist():
         lo, hi = np.searchsorted(slot_at, [p, p + size])
-        out["id"].append(key)
-        out["place"].append(p)
+        text = tokens.text[p]
+        out["id"].append(keys[text])
+        out["n"].append(int(tokens.lengths[text]))
+        out["view"].append(view)
+        out["place"].append(p - int(tokens.starts[text]))
         out["size"].append(size)
         out["hash"].append(int(found[p].view(np.int64)))
-        out["slots"].append([{"at": int(q) - p, "value": int(values[q].view(np.int64))} for q in slot_at[lo:hi]])
+        out["slots"].append([{"at": int(q) - p, "value": int(tokens.values[q].view(np.int64))} for q in slot_at[lo:hi]])
+
 
+def _empty() -> dict:
+    return {k: [] for k in ("id", "n", "view", "place", "size", "hash", "slots")}
 
-def item_windows(items: DataFrame, size: int = 8, literal: int = 4) -> DataFrame:
+
+def item_windows(items: DataFrame, size: int = 8, literal: int = 4, views: tuple[int, ...] = (WRITTEN,)) -> DataFrame:
     """Template windows of the benchmark; an item of fewer tokens than ``size`` is one window."""
 
     def of(batch):
-        out = {k: [] for k in ("id", "place", "size", "hash", "slots")}
+        out = _empty()
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            n = len(template(text)[0])
-            if n:
-                for s, found, enough, values, slots in _windows(text, [min(size, n)], literal):
-                    _rows(out, key, s, found, np.flatnonzero(enough), values, slots)
+            tokens = _Tokens([text])
+            n = len(tokens.values)
+            for view in views if n else ():
+                for s, found, counts, slots in _windows(tokens, view, [min(size, n)], literal):
+                    _rows(out, [key], tokens, view, s, found, np.flatnonzero(counts), slots)
         return out
 
     return map_batches(items, of, _SCHEMA)
@@ -182,53 +214,52 @@ def _present(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def document_windows(docs: DataFrame, bits: np.ndarray, sizes: list[int], literal: int = 4) -> DataFrame:
+def _portions(keys: list, texts: list[str], most: int = 1 << 20):
+    """The rows in turn, so many at once that their texts have about ``most`` characters."""
+    lo, total = 0, 0
+    for hi, text in enumerate(texts, 1):
+        total += len(text)
+        if total >= most or hi == len(texts):
+            yield keys[lo:hi], texts[lo:hi]
+            lo, total = hi, 0
+
+
+def document_windows(
+    docs: DataFrame, bits: np.ndarray, sizes: list[int], literal: int = 4, views: tuple[int, ...] = (WRITTEN,)
+) -> DataFrame:
     """Template windows of whole documents that may be in the benchmark."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def of(batch):
         known = shared.value
-        out = {k: [] for k in ("id", "place", "size", "hash", "slots")}
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for s, found, enough, values, slots in _windows(text, sizes, literal):
-                if len(found):
-                    _rows(out, key, s, found, np.flatnonzero(enough & _present(found, known)), values, slots)
+        out = _empty()
+        for keys, texts in _portions(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            tokens = _Tokens(texts)
+            for view in views:
+                for s, found, counts, slots in _windows(tokens, view, sizes, literal):
+                    _rows(out, keys, tokens, view, s, found, np.flatnonzero(counts & _present(found, known)), slots)
         return out
 
     return map_batches(docs, of, _SCHEMA)
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, size: int = 8, literal: int = 4, coverage: float = 0.5,
-    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-) -> DataFrame:
-    """Rows (doc_id, item_id, n_windows, n_found, n_exact, coverage): items that documents contain.
-
-    ``n_found`` counts the item's windows that occur in the document with consistent
-    slots, ``n_exact`` those whose slots have the item's own values; ``coverage`` is
-    their share and at least the given one.  Windows of fewer than ``literal`` plain
-    words do not count; an item without any counting window is never found.
-
-    Null texts are empty and null ids take no part; rows repeating an id are taken
-    together.  Runs jobs: the benchmark's windows and the documents' candidate
-    windows are written once; a bit map of fixed size and the few window lengths in
-    use come to the driver.
-    """
-    bench = stored(item_windows(keyed_texts(items, item_col, item_text_col).where("doc_id is not null"), size, literal))
-    sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # at most `size` of them
+def _met(bench: DataFrame, docs: DataFrame, literal: int, views: tuple[int, ...], id_col: str, text_col: str) -> DataFrame:
+    """Rows (doc_id, item_id, view, shift, i_place, exact): the item's windows that occur with consistent slots."""
     bits = presence_bits(bench)
-    hits = stored(document_windows(keyed_texts(docs, id_col, text_col).where("doc_id is not null"), bits, sizes, literal))
-    d = hits.select(F.col("id").alias("doc_id"), F.col("place").alias("d_place"), "size", "hash", F.col("slots").alias("d_slots"))
-    b = bench.select(F.col("id").alias("item_id"), F.col("place").alias("i_place"), "size", "hash", F.col("slots").alias("i_slots"))
+    sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # at most `size` of them
+    texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
+    hits = stored(document_windows(texts, bits, sizes, literal, views))
+    d = hits.select(F.col("id").alias("doc_id"), F.col("place").alias("d_place"), "view", "size", "hash", F.col("slots").alias("d_slots"))
+    b = bench.select(F.col("id").alias("item_id"), F.col("place").alias("i_place"), "view", "size", "hash", F.col("slots").alias("i_slots"))
     met = stored(
-        d.join(b, ["hash", "size"])
+        d.join(b, ["hash", "size", "view"])
         .where(F.transform("d_slots", lambda s: s["at"]) == F.transform("i_slots", lambda s: s["at"]))
         .select(
-            "doc_id", "item_id", "i_place", (F.col("d_place") - F.col("i_place")).alias("shift"),
+            "doc_id", "item_id", "view", "i_place", (F.col("d_place") - F.col("i_place")).alias("shift"),
             F.zip_with("i_slots", "d_slots", lambda i, o: F.struct(i["value"].alias("i"), o["value"].alias("d"))).alias("slots"),
         )
     )
-    along = ["doc_id", "item_id", "shift"]
+    along = ["doc_id", "item_id", "view", "shift"]
     values = met.select(*along, F.inline("slots")).distinct()
     torn = (
         values.groupBy(*along, "i").agg(F.count("*").alias("n")).where("n > 1").select(*along, F.col("i").alias("bad_i"), F.lit(None).cast("long").alias("bad_d"))
@@ -241,21 +272,79 @@ def contaminated(
         F.col("bad_i").isNull()
         | ~F.exists("slots", lambda s: F.array_contains("bad_i", s["i"]) | F.array_contains("bad_d", s["d"]))
     )
-    exact = F.forall("slots", lambda s: s["i"] == s["d"])
+    return kept.select(*along, "i_place", F.forall("slots", lambda s: s["i"] == s["d"]).cast("int").alias("exact"))
+
+
+def _shares(bench: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows (doc_id, item_id, view, n, size, n_windows, n_found, n_exact, coverage); runs no job."""
     found = (
-        kept.groupBy("doc_id", "item_id", "i_place").agg(F.max(exact.cast("int")).alias("exact"))
-        .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_found"), F.sum("exact").alias("n_exact"))
+        kept.groupBy("doc_id", "item_id", "view", "i_place").agg(F.max("exact").alias("exact"))
+        .groupBy("doc_id", "item_id", "view").agg(F.count("*").alias("n_found"), F.sum("exact").alias("n_exact"))
+    )
+    total = (
+        bench.select(F.col("id").alias("item_id"), "view", "n", "size", "place").distinct()
+        .groupBy("item_id", "view").agg(F.max("n").alias("n"), F.max("size").alias("size"), F.count_distinct("place").alias("n_windows"))
+    )
+    return found.join(total, ["item_id", "view"]).withColumn("coverage", F.col("n_found") / F.col("n_windows"))
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, size: int = 8, literal: int = 4, coverage: float = 0.5,
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """Rows (doc_id, item_id, n_windows, n_found, n_exact, coverage): items that documents contain.
+
+    ``n_found`` counts the item's windows that occur in the document with consistent
+    slots, ``n_exact`` those whose slots have the item's own values; ``coverage`` is
+    their share and at least the given one.  Windows of fewer than ``literal`` plain
+    words do not count; an item without any counting window is never found.
+
+    Null texts are empty and null ids take no part; rows repeating an id are taken
+    together.  Runs jobs: the benchmark's windows and the documents' candidate
+    windows are written once; a bit map of fixed size and the few window lengths in
+    use come to the driver.
+    """
+    bench = stored(item_windows(keyed_texts(items, item_col, item_text_col).where("doc_id is not null"), size, literal))
+    kept = _met(bench, docs, literal, (WRITTEN,), id_col, text_col)
+    return _shares(bench, kept).where(F.col("coverage") >= coverage).select(*_RESULT)
+
+
+_RESULT = ("doc_id", "item_id", "n_windows", "n_found", "n_exact", "coverage")
+
+
+def leaked(
+    docs: DataFrame, items: DataFrame, size: int = 8, literal: int = 4, coverage: float = 0.5, run: int = 20,
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """Rows as of ``contaminated``: items that documents contain as written or in other case, whole or in part.
+
+    Windows are compared twice: as written, where capitalised words are slots, and with
+    all case folded, where names are words like others.  An item is found if in either
+    view the share of its windows is at least ``coverage``, or if consecutive windows
+    along one alignment span ``coverage`` of its tokens, or ``run`` tokens whatever
+    the share; the figures are those of the view that finds more.  Runs jobs, as
+    ``contaminated`` does.
+    """
+    texts = keyed_texts(items, item_col, item_text_col).where("doc_id is not null")
+    bench = stored(item_windows(texts, size, literal, VIEWS))
+    kept = stored(_met(bench, docs, literal, VIEWS, id_col, text_col))
+    key = ["doc_id", "item_id", "view"]
+    order = F.row_number().over(Window.partitionBy(*key, "shift").orderBy("i_place"))
+    longest = (
+        kept.select(*key, "shift", (F.col("i_place") - order).alias("island"))
+        .groupBy(*key, "shift", "island").agg(F.count("*").alias("run"))
+        .groupBy(*key).agg(F.max("run").alias("run"))
     )
-    total = bench.select("id", "place").distinct().groupBy("id").agg(F.count("*").alias("n_windows"))
-    return (
-        found.join(total, found["item_id"] == total["id"])
-        .select("doc_id", "item_id", "n_windows", "n_found", "n_exact", (F.col("n_found") / F.col("n_windows")).alias("coverage"))
-        .where(F.col("coverage") >= coverage)
+    spanned = F.col("run") + F.col("size") - 1
+    found = _shares(bench, kept).join(longest, key).where(
+        (F.col("coverage") >= coverage) | (spanned >= F.least(F.lit(float(run)), coverage * F.col("n")))
     )
+    best = F.max(F.struct("coverage", (-F.col("view")).alias("view"), "n_windows", "n_found", "n_exact")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*").select(*_RESULT)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows whose document contains no benchmark item; all columns stay.  Runs jobs."""
-    found = contaminated(docs, items, **options)
+    found = leaked(docs, items, **options)
     gone = stored(found.select(F.col("doc_id").alias("gone_id")).distinct())
     return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")

@@ -83,3 +83,32 @@ def test_matches_brute_force(spark):
     got = {(r["doc_id"], r["item_id"], r["n_windows"], r["n_found"]) for r in D.contaminated(d, i, 5, 2, 0.5).collect()}
     assert got == brute(docs, items, 5, 2, 0.5)
     assert got
+
+
+def test_copies_in_other_case_and_long_passages_are_found(spark):
+    item = ("Janet has 16 ducks in Boston and sells their eggs to Peter and Mary at the market every day for 2 dollars; "
+            "how much does Janet make there if Peter pays half of what Mary and the other people of Boston pay")
+    words = item.split(" ")
+    other = "while nobody in this town has ever been asked about such things before or after it"
+    docs = [
+        (1, f"{other}. {item.lower()}"), (2, f"{other}. {item.upper()}"), (3, f"{item.title()} {other}"),
+        (4, " ".join(words[: len(words) * 6 // 10]) + " " + other), (5, f"{other}. {item.lower().replace('16', '23')}"),
+        (6, f"{other} {' '.join(words[:9])} {other}"), (7, other),
+        (8, f"{other}. {' '.join(words[15:36])}. {other}"), (9, f"{other}. {item}"),
+    ]
+    d, i = tables(spark, docs, [(10, item), (11, "One " + " ".join(f"{w} {item}" for w in ("never", "always", "often", "seldom")))])
+    got = {r["doc_id"]: r for r in D.leaked(d, i).where("item_id = 10").collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 8, 9}
+    assert got[1]["n_exact"] == got[1]["n_windows"] and got[5]["n_exact"] < got[5]["n_found"] == got[5]["n_windows"]
+    # a long passage of a still longer item counts, whatever its share
+    assert 8 in {r["doc_id"] for r in D.leaked(d, i).where("item_id = 11 and coverage < 0.5").collect()}
+    assert sorted(r[0] for r in D.drop_contaminated(d, i).collect()) == [6, 7]
+
+
+def test_templates_stay_while_the_vocabulary_grows():
+    D._SEEN.clear()
+    words = [f"word{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(5000)]
+    text = " ".join(words) + " Anna has 3 km"
+    first = [x.tolist() for x in D.template(text)]
+    assert first == [x.tolist() for x in D.template(text)]
+    assert len(set(first[1])) == 5004 and [x for x in first[2][-4:]] == [True, False, True, True] and not any(first[2][:5000])
