@@ -128,7 +128,8 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xD6E8FEB86659FD93)
-_FOLD = np.uint64(0xA0761D6478BD642F)  # windows of the two views never meet
+_FOLD = np.uint64(0xA0761D6478BD642F)  # windows of the two views, and of values alone, never meet
+_EXACT = np.uint64(0xE7037ED1A0B428DB)
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -142,25 +143,38 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def _windows(tokens: _Tokens, view: int, sizes: list[int], literal: int):
-    """(size, hashes, whether it counts, slots) of all windows: those within a text with ``literal`` plain words count."""
+def _windows(tokens: _Tokens, view: int, sizes: list[int], literal: int, size: int, least: int):
+    """(size, hashes, whether it counts, slots) of all windows within a text.
+
+    As written, those with ``literal`` plain words count.  With case folded all count,
+    but fewer plain words make a window of values without slots.  Windows shorter than
+    ``size`` are whole items: those of under ``least`` tokens or, with case folded,
+    without a plain word count only as a whole text.
+    """
     hashes, slots = tokens.template(view)
     words = np.concatenate([[0], np.cumsum(~slots)])
-    for size in sizes:
-        found = window_hashes(hashes, size)
+    for w in sizes:
+        found = window_hashes(hashes, w)
         n = len(found)
         if not n:
             continue
+        plain = words[w:] - words[:n]
+        enough = plain >= min(literal, w)
+        counts = tokens.text[w - 1 :] == tokens.text[:n]
         if view == FOLDED:
-            found = found ^ _FOLD
-        enough = words[size:] - words[:n] >= min(literal, size)
-        yield size, found, enough & (tokens.text[size - 1 :] == tokens.text[:n]), slots
+            found = np.where(enough, found ^ _FOLD, window_hashes(tokens.values, w) ^ _EXACT)
+        else:
+            counts &= enough
+        if w < size:
+            whole = tokens.lengths[tokens.text[:n]] == w
+            counts &= whole | ((w >= least) & ((plain > 0) | (view == WRITTEN)))
+        yield w, found, counts, slots, enough
 
 
 _SCHEMA = "id long, n int, view int, place int, size int, hash long, slots array<struct<at int, value long>>"
 
 
-def _rows(out: dict, keys: list, tokens: _Tokens, view: int, size: int, found, places, slots) -> None:
+def _rows(out: dict, keys: list, tokens: _Tokens, view: int, size: int, found, places, slots, templated) -> None:
     slot_at = np.flatnonzero(slots)
     for p in places.tolist():
         lo, hi = np.searchsorted(slot_at, [p, p + size])
@@ -171,14 +185,16 @@ def _rows(out: dict, keys: list, tokens: _Tokens, view: int, size: int, found, p
         out["place"].append(p - int(tokens.starts[text]))
         out["size"].append(size)
         out["hash"].append(int(found[p].view(np.int64)))
-        out["slots"].append([{"at": int(q) - p, "value": int(tokens.values[q].view(np.int64))} for q in slot_at[lo:hi]])
+        out["slots"].append([{"at": int(q) - p, "value": int(tokens.values[q].view(np.int64))} for q in (slot_at[lo:hi] if templated[p] else ())])
 
 
 def _empty() -> dict:
     return {k: [] for k in ("id", "n", "view", "place", "size", "hash", "slots")}
 
 
-def item_windows(items: DataFrame, size: int = 8, literal: int = 4, views: tuple[int, ...] = (WRITTEN,)) -> DataFrame:
+def item_windows(
+    items: DataFrame, size: int = 8, literal: int = 4, views: tuple[int, ...] = (WRITTEN,), least: int = 0
+) -> DataFrame:
     """Template windows of the benchmark; an item of fewer tokens than ``size`` is one window."""
 
     def of(batch):
@@ -187,8 +203,8 @@ def item_windows(items: DataFrame, size: int = 8, literal: int = 4, views: tuple
             tokens = _Tokens([text])
             n = len(tokens.values)
             for view in views if n else ():
-                for s, found, counts, slots in _windows(tokens, view, [min(size, n)], literal):
-                    _rows(out, [key], tokens, view, s, found, np.flatnonzero(counts), slots)
+                for s, found, counts, slots, templated in _windows(tokens, view, [min(size, n)], literal, size, least):
+                    _rows(out, [key], tokens, view, s, found, np.flatnonzero(counts), slots, templated)
         return out
 
     return map_batches(items, of, _SCHEMA)
@@ -225,7 +241,8 @@ def _portions(keys: list, texts: list[str], most: int = 1 << 20):
 
 
 def document_windows(
-    docs: DataFrame, bits: np.ndarray, sizes: list[int], literal: int = 4, views: tuple[int, ...] = (WRITTEN,)
+    docs: DataFrame, bits: np.ndarray, sizes: list[int], size: int = 8, literal: int = 4,
+    views: tuple[int, ...] = (WRITTEN,), least: int = 0,
 ) -> DataFrame:
     """Template windows of whole documents that may be in the benchmark."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -236,19 +253,21 @@ def document_windows(
         for keys, texts in _portions(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             tokens = _Tokens(texts)
             for view in views:
-                for s, found, counts, slots in _windows(tokens, view, sizes, literal):
-                    _rows(out, keys, tokens, view, s, found, np.flatnonzero(counts & _present(found, known)), slots)
+                for s, found, counts, slots, templated in _windows(tokens, view, sizes, literal, size, least):
+                    _rows(out, keys, tokens, view, s, found, np.flatnonzero(counts & _present(found, known)), slots, templated)
         return out
 
     return map_batches(docs, of, _SCHEMA)
 
 
-def _met(bench: DataFrame, docs: DataFrame, literal: int, views: tuple[int, ...], id_col: str, text_col: str) -> DataFrame:
+def _met(
+    bench: DataFrame, docs: DataFrame, size: int, literal: int, views: tuple[int, ...], least: int, id_col: str, text_col: str
+) -> DataFrame:
     """Rows (doc_id, item_id, view, shift, i_place, exact): the item's windows that occur with consistent slots."""
     bits = presence_bits(bench)
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # at most `size` of them
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
-    hits = stored(document_windows(texts, bits, sizes, literal, views))
+    hits = stored(document_windows(texts, bits, sizes, size, literal, views, least))
     d = hits.select(F.col("id").alias("doc_id"), F.col("place").alias("d_place"), "view", "size", "hash", F.col("slots").alias("d_slots"))
     b = bench.select(F.col("id").alias("item_id"), F.col("place").alias("i_place"), "view", "size", "hash", F.col("slots").alias("i_slots"))
     met = stored(
@@ -305,7 +324,7 @@ def contaminated(
     use come to the driver.
     """
     bench = stored(item_windows(keyed_texts(items, item_col, item_text_col).where("doc_id is not null"), size, literal))
-    kept = _met(bench, docs, literal, (WRITTEN,), id_col, text_col)
+    kept = _met(bench, docs, size, literal, (WRITTEN,), 0, id_col, text_col)
     return _shares(bench, kept).where(F.col("coverage") >= coverage).select(*_RESULT)
 
 
@@ -313,7 +332,7 @@ _RESULT = ("doc_id", "item_id", "n_windows", "n_found", "n_exact", "coverage")
 
 
 def leaked(
-    docs: DataFrame, items: DataFrame, size: int = 8, literal: int = 4, coverage: float = 0.5, run: int = 20,
+    docs: DataFrame, items: DataFrame, size: int = 8, literal: int = 4, coverage: float = 0.5, run: int = 20, least: int = 3,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """Rows as of ``contaminated``: items that documents contain as written or in other case, whole or in part.
@@ -322,12 +341,17 @@ def leaked(
     all case folded, where names are words like others.  An item is found if in either
     view the share of its windows is at least ``coverage``, or if consecutive windows
     along one alignment span ``coverage`` of its tokens, or ``run`` tokens whatever
-    the share; the figures are those of the view that finds more.  Runs jobs, as
-    ``contaminated`` does.
+    the share; the figures are those of the view that finds more.
+
+    With case folded, windows of fewer than ``literal`` plain words count too, where
+    all their tokens are equal.  So every item has windows: one of fewer tokens than
+    ``size`` is found wherever all of it stands.  Only one of fewer than ``least``
+    tokens, or a short one without any plain word, must be the whole document.  Runs
+    jobs, as ``contaminated`` does.
     """
     texts = keyed_texts(items, item_col, item_text_col).where("doc_id is not null")
-    bench = stored(item_windows(texts, size, literal, VIEWS))
-    kept = stored(_met(bench, docs, literal, VIEWS, id_col, text_col))
+    bench = stored(item_windows(texts, size, literal, VIEWS, least))
+    kept = stored(_met(bench, docs, size, literal, VIEWS, least, id_col, text_col))
     key = ["doc_id", "item_id", "view"]
     order = F.row_number().over(Window.partitionBy(*key, "shift").orderBy("i_place"))
     longest = (

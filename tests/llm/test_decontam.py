@@ -112,3 +112,16 @@ def test_templates_stay_while_the_vocabulary_grows():
     first = [x.tolist() for x in D.template(text)]
     assert first == [x.tolist() for x in D.template(text)]
     assert len(set(first[1])) == 5004 and [x for x in first[2][-4:]] == [True, False, True, True] and not any(first[2][:5000])
+
+
+def test_short_and_number_heavy_items_are_found(spark):
+    items = [(1, "What is 12 + 37?"), (2, "Compute 3 x 4 + 18 / 6."), (3, "Who wrote Hamlet?"), (4, "Paris"), (5, "7 8 9"),
+             (6, "Add 12, 15, 18, 21, 24, 27, 30, 33 and 36 to 40.")]
+    other = "nobody in this town was ever asked"
+    docs = [(i, f"{other}. {t} {other}.") for i, t in items]
+    docs += [(i + 10, t) for i, t in items]
+    docs += [(21, "What is 12 + 38?"), (22, "Who wrote Faust?"), (23, "WHO WROTE HAMLET"), (24, "Paris is far"),
+             (25, "Add 12, 15, 18, 22, 24, 27, 31, 33 and 36 to 40."), (26, "Compute 3 x 4 + 18 / 7."), (27, "paris")]
+    d, i = tables(spark, docs, items)
+    got = {(r[0], r[1]) for r in D.leaked(d, i).select("doc_id", "item_id").collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (6, 6), (11, 1), (12, 2), (13, 3), (14, 4), (15, 5), (16, 6), (23, 3), (27, 4)}
