@@ -78,14 +78,19 @@ def _one_line(value: str | None) -> str:
 
 
 def page_records(
-    page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int
+    page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int,
+    row: int | None = None,
 ) -> list[bytes]:
-    """The records of a page: a revisit, a response, or a response in segments."""
-    key, base = f"<urn:page:{page_id}>", [("WARC-Date", _DATE), ("WARC-Target-URI", _one_line(url))]
+    """The records of a page: a revisit, a response, or a response in segments.
+
+    They are named by page_id and digest, and by ``row`` where these don't tell rows apart.
+    """
+    name = f"urn:page:{'null' if page_id is None else page_id}/{digest}" + ("" if row is None else f"/{row}")
+    key, base = f"<{name}>", [("WARC-Date", _DATE), ("WARC-Target-URI", _one_line(url))]
     base += [("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
         block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-        fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", key), *base, ("WARC-Refers-To", f"<urn:page:{refers_to}>"),
+        fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", key), *base, ("WARC-Refers-To", f"<urn:page:{refers_to}/{digest}>"),
                   ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
                   ("Content-Type", "application/http; msgtype=response")]
         return [record(fields, block)]
@@ -96,7 +101,7 @@ def page_records(
     parts = [block[i : i + segment] for i in range(0, len(block), segment)]
     out = [record([*first, ("WARC-Segment-Number", 1)], parts[0])]
     for number, part in enumerate(parts[1:], 2):
-        fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{page_id}:{number}>"), ("WARC-Date", _DATE),
+        fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{name}:{number}>"), ("WARC-Date", _DATE),
                   ("WARC-Segment-Origin-ID", key), ("WARC-Segment-Number", number)]
         if number == len(parts):
             fields.append(("WARC-Segment-Total-Length", len(block)))
@@ -105,10 +110,12 @@ def page_records(
 
 
 def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """Rows (page_id, url, payload, digest, refers_to): pages and the response that each revisits, if any.
+    """Rows (page_id, url, payload, digest, refers_to, row): pages and the response that each revisits, if any.
 
     Of pages with equal payloads of at least ``least`` bytes, that with the largest
-    page_id is the response.  Payloads are grouped by digest and length only.  Runs a job.
+    page_id is the response.  Payloads are grouped by digest and length only.  ``row``
+    is null but for rows without page_id and all but one of those with equal page_id
+    and payload; no two have the same.  Runs jobs.
     """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
@@ -117,27 +124,41 @@ def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
         rows.where(F.col("bytes") >= least).groupBy("digest", "bytes")
         .agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
+    key = ["page_id", "digest", "bytes"]
+    copies = stored(rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1 and page_id is not null").drop("n"))
+    if copies.isEmpty():
+        rows = rows.withColumn("copy", F.lit(None).cast("long"))
+    else:
+        # only repeated rows are written once more: their numbers must stay as they are
+        again = stored(rows.join(copies, key, "left_semi").withColumn("own", F.monotonically_increasing_id()))
+        first = stored(again.groupBy(*key).agg(F.min("own").alias("own")).select("own", F.lit(True).alias("first")))
+        again = again.join(first, "own", "left").withColumn("copy", F.when(F.col("first").isNull(), F.col("own")))
+        once = rows.join(copies, key, "left_anti").withColumn("copy", F.lit(None).cast("long"))
+        rows = once.unionByName(again.select(*once.columns))
     # written, so that its size is known: while it is small no payload is shuffled
     return rows.join(stored(kept), ["digest", "bytes"], "left").select(
         "page_id", "url", "payload", "digest",
         F.when(F.col("page_id") != F.col("kept"), F.col("kept")).alias("refers_to"),
+        F.when(F.col("page_id").isNull(), F.monotonically_increasing_id()).otherwise(F.col("copy")).alias("row"),
     )
 
 
-def write_archives(pages: DataFrame, path: str, segment: int = 4096, least: int = 1000) -> None:
-    """Write the pages (page_id, url, html) as gzip archives below ``path``.  Runs a job.
+def write_archives(
+    pages: DataFrame, path: str, segment: int = 4096, least: int = 1000, unnamed: bool = False
+) -> None:
+    """Write the pages (page_id, url, html) as gzip archives below ``path``.  Runs jobs.
 
-    Null html is an empty payload, a null url an empty field; a page_id must not be
-    null and stands for one page (a repeated row would be a second record of the
-    same identifier): such rows raise an error.
+    Null html is an empty payload, a null url an empty field.  Each row has records of
+    its own, also where page_id is repeated.  Rows without page_id get generated
+    identifiers if ``unnamed`` is set and raise an error otherwise.
     """
 
     def of(batch):
         out = []
         for row in batch.to_pylist():
-            if row["page_id"] is None:
+            if row["page_id"] is None and not unnamed:
                 raise ValueError("a page without page_id can't be archived")
-            out += page_records(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], segment)
+            out += page_records(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], segment, row["row"])
         return {"record": out}
 
     records = map_batches(revisits(pages, least), of, "record binary")
@@ -221,7 +242,7 @@ def reassemble(records: DataFrame) -> DataFrame:
     """Rows (id, type, digest, refers_to, block, complete): records with their continuations joined on.
 
     Only records with a segment number are grouped.  The segments of one origin, a
-    single page, are put in order of their numbers; ``complete`` says that they run
+    single row, are put in order of their numbers; ``complete`` says that they run
     from 1 without gap or repeat, that each has its own length and that together they
     have the stated total.  Continuations without a
     first record give a row of type null that is not complete.
@@ -276,7 +297,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
     schema = "id string, type string, refers_to string, payload binary, digest string, intact boolean"
     found = map_batches(reassemble(read_records(spark, path)), of, schema)
-    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)(?:/[^>]*)?>$", 1).try_cast("long")
     return found.select(
         number(F.col("id")).alias("page_id"), "payload", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
@@ -288,17 +309,20 @@ def round_trip(pages: DataFrame, path: str, segment: int = 4096, least: int = 10
     """Write the archives below ``path``, read them back and give a row for each page.
 
     (page_id, payload_bytes, payload_digest, record_type, refers_to, intact); a revisit
-    has the length of the response it refers to.  Runs jobs.
+    has the length of the response it refers to.  Repeated rows and rows without
+    page_id have a row each.  Runs jobs.
     """
-    write_archives(pages, path, segment, least)
+    write_archives(pages, path, segment, least, unnamed=True)
     spark = pages.sparkSession
     read = stored(read_pages(spark, path).drop("payload"))
-    responses = read.where("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest")
+    # a page_id may have several responses: that of the revisit's digest counts, once
+    responses = (
+        read.where("record_type = 'response' and page_id is not null")
+        .groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("full_bytes"))
     )
-    again = read.where("record_type = 'revisit'").join(responses, "refers_to", "left").select(
+    again = read.where("record_type = 'revisit'").join(responses, ["refers_to", "payload_digest"], "left").select(
         "page_id", F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to",
-        (F.col("intact") & F.col("payload_digest").eqNullSafe(F.col("full_digest"))).alias("intact"),
+        (F.col("intact") & F.col("full_bytes").isNotNull()).alias("intact"),
     )
     rest = read.where("record_type is null or record_type != 'revisit'")
     return rest.select(*again.columns).unionByName(again)

@@ -70,3 +70,22 @@ def test_missing_id_and_empty_table(spark, tmp_path):
     with pytest.raises(Exception, match="page_id"):
         warc.write_archives(pages, str(tmp_path / "a"))
     assert warc.round_trip(pages.limit(0), str(tmp_path / "b")).count() == 0
+
+
+def test_repeated_and_null_ids(spark, tmp_path):
+    big, other, small = "ab" * 3000, "xy\n" * 1500, "few"
+    rows = [(1, "u", big), (1, "u", big), (1, "u", other), (1, "u", small), (1, "u", small), (2, "v", other), (2, "v", other),
+            (0, "w", big), (0, "w", big), (0, "w", other), (None, "n", big), (None, "n", big), (None, None, None), (3, "x", "cd" * 4000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = str(tmp_path / "archives")
+    got = sorted((tuple(r) for r in warc.round_trip(pages, path, segment=500).collect()), key=str)
+    want = []
+    for page_id, _, html in rows:
+        raw = (html or "").encode()
+        kept = max((p for p, _, h in rows if (h or "") == (html or "") and p is not None), default=None)
+        again = len(raw) >= 1000 and page_id is not None and kept != page_id
+        want.append((page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", kept if again else None, True))
+    assert got == sorted(want, key=str)
+    ids = [(r["id"], r["refers_to"]) for r in warc.read_records(spark, path).collect()]
+    assert len({i for i, _ in ids}) == len(ids)
+    assert {r for _, r in ids if r} <= {i for i, _ in ids}
