@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, licences, merkle, packing, paragraphs, quality, secret_scan, simhash, suffixes, warc
+from pressgrain.llm import decontam, divergence, licences, merkle, packing, paragraphs, quality, secret_scan, simhash, suffixes, warc
 from pressgrain.llm.common import table
 from pressgrain.session import shared_dir
 
@@ -84,3 +84,8 @@ def op10_suffix_arrays(spark, sf):
 @query()
 def op8_paragraphs(spark, sf):
     return paragraphs.repeated_passages(table(spark, sf, "documents"), threshold=0.8)
+
+
+@query(divergence.AUDIT_SQL)
+def op11_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"), min_docs=10, ranks=10)
