@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pressgrain.llm.common import stored
 
 SCALE = 1_000_000_000
-MAX_ENTRIES = 400_000  # counts that a task holds; beyond it they are handed on
+MAX_ENTRIES = 600_000  # counts that a task holds; beyond it they are handed on
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 # In UTF-8 a character is ASCII or made of bytes from 0x80 on.
@@ -38,25 +38,31 @@ _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each (lang, source, term) among the rows of a task, in parts of bounded size."""
+    """A task's rows of each (lang, term): documents that hold it and its count in each source."""
     counts: dict[tuple, Counter] = {}
-    holders: dict[tuple, Counter] = {}
+    holders: dict[str, Counter] = {}
 
     def out() -> Iterator[pa.RecordBatch]:
-        for (lang, source), terms in counts.items():
-            held = holders[lang, source]
-            names = list(terms)
+        for lang, held in holders.items():
+            where = {term: ([], []) for term in held}
+            for (of, source), terms in counts.items():
+                if of == lang:
+                    for term, n in terms.items():
+                        sources, times = where[term]
+                        sources.append(source)
+                        times.append(n)
+            names = list(where)
             for at in range(0, len(names), 1 << 15):
                 part = names[at : at + (1 << 15)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(part), pa.string()),
-                        pa.array([source] * len(part), pa.string()),
                         pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array([terms[t] for t in part], pa.int64()),
                         pa.array([held[t] for t in part], pa.int64()),
+                        pa.array([where[t][0] for t in part], pa.list_(pa.string())),
+                        pa.array([where[t][1] for t in part], pa.list_(pa.int64())),
                     ],
-                    names=["lang", "source", "term", "n", "docs"],
+                    names=["lang", "term", "docs", "sources", "times"],
                 )
         counts.clear()
         holders.clear()
@@ -66,22 +72,29 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, source, text in zip(langs, sources, batch.column(2).to_pylist()):
             terms = _TERM.findall(text.translate(_LOWER))
             counts.setdefault((lang, source), Counter()).update(terms)
-            holders.setdefault((lang, source), Counter()).update(set(terms))
+            holders.setdefault(lang, Counter()).update(set(terms))
         if sum(map(len, counts.values())) > MAX_ENTRIES:
             yield from out()
     yield from out()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """Rows (lang, source, term, n, docs): occurrences of a term in a group and documents that hold it.
+def term_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """Rows (lang, term, source, n, lang_n) of the terms that at least ``min_docs`` documents of a language hold.
 
-    Reads ``text``, ``lang`` and ``source``; nulls are empty strings.  Summed in the map
-    tasks, then shuffled once.
+    ``n`` counts a term in a source, ``lang_n`` in its whole language.  Reads ``text``,
+    ``lang`` and ``source``; nulls are empty strings.  One shuffle: a task hands on one
+    row for each of its terms, and everything about a term meets in one place.
     """
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(empty("lang").alias("lang"), empty("source").alias("source"), empty("text").cast("binary").alias("text"))
-    part = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    return part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    schema = "lang string, term string, docs long, sources array<string>, times array<long>"
+    at = Window.partitionBy("lang", "term")
+    kept = rows.mapInArrow(_counted, schema).withColumn("held", F.sum("docs").over(at)).where(F.col("held") >= min_docs)
+    own = (
+        kept.select("lang", "term", F.inline(F.arrays_zip("sources", "times")))
+        .groupBy("lang", "term", F.col("sources").alias("source")).agg(F.sum("times").alias("n"))
+    )
+    return own.withColumn("lang_n", F.sum("n").over(at))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -105,17 +118,11 @@ class Audit:
     """
 
     def __init__(self, docs: DataFrame, min_docs: int = 10):
-        raw = stored(term_counts(docs))
+        own = stored(term_counts(docs, min_docs))
         empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-        kept = (
-            raw.groupBy("lang", "term")
-            .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-            .where(F.col("docs") >= min_docs)
-            .drop("docs")
-        )
-        own = stored(raw.drop("docs").join(kept, ["lang", "term"]))
         totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-        langs = kept.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms"))
+        terms = own.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
+        langs = terms.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms"))
         groups = (
             docs.select(empty("lang"), empty("source")).distinct()
             .join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
