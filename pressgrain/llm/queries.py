@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgrain.llm import decontam, divergence, licences, merkle, packing, paragraphs, quality, secret_scan, simhash, suffixes, warc
+from pressgrain.llm import alignment, decontam, divergence, licences, merkle, packing, paragraphs, pivots, quality, secret_scan, simhash, suffixes, warc
 from pressgrain.llm.common import table
 from pressgrain.session import shared_dir
 
@@ -89,3 +89,14 @@ def op8_paragraphs(spark, sf):
 @query(divergence.AUDIT_SQL)
 def op11_divergence(spark, sf):
     return divergence.audit(table(spark, sf, "documents"), min_docs=10, ranks=10)
+
+
+@query()
+def op12_alignment(spark, sf):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.agreement(table(spark, sf, "documents"), a, b)
+
+
+@query()
+def op13_pivots(spark, sf):
+    return pivots.near_vectors(table(spark, sf, "embeddings"), threshold=0.9)
