@@ -20,10 +20,14 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -43,12 +47,13 @@ _UNIT = re.compile(rf"\s*\S+(?:{_OTHER}\s*\S+)*(?:\s+\Z)?|\s+\Z")
 
 @dataclass
 class Tokens:
-    """A's and B's ids of a text and their ends in bytes; empty if either does not rebuild it."""
+    """Ids of texts laid end to end, and how many each text has; none where it is not rebuilt (``ok``)."""
 
     a: np.ndarray
-    a_end: np.ndarray
+    a_n: np.ndarray
     b: np.ndarray
-    b_end: np.ndarray
+    b_n: np.ndarray
+    ok: np.ndarray
 
 
 class Pair:
@@ -56,50 +61,80 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(a_path)
+        self.tokenizer.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        spec = json.loads(self.tokenizer.to_str())
         byte_of = {c: b for b, c in byte_characters().items()}
-        size = max(self.a.get_vocab().values()) + 1
+        size = max(self.tokenizer.get_vocab().values()) + 1
         self.a_bytes = [b""] * size
-        for token, i in self.a.get_vocab().items():
+        for token, i in self.tokenizer.get_vocab().items():
             known = all(c in byte_of for c in token)
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if known else token.encode()
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.a_name, self.b_name = [str(i) for i in range(size)], [str(i) for i in range(len(self.b_bytes))]
+        self.a = self._coder(spec)
         # units may be coded alone if no piece of B goes on over white space after a word
         pieces = [self.b.id_to_piece(i).replace("▁", " ") for i in range(self.b.get_piece_size())]
         crossing = re.compile(rf"\S[{_PLAIN}]|[\t\n]")
-        regular = json.loads(self.a.to_str())["pre_tokenizer"]
-        self.by_units = regular.get("type") == "ByteLevel" and regular.get("use_regex", False) and not any(
+        parts = spec["pre_tokenizer"] or {}
+        self.by_units = parts.get("type") == "ByteLevel" and parts.get("use_regex", False) and not any(
             crossing.search(p) for p in pieces
         )
 
+    def _coder(self, spec: dict):
+        """A's ids of one text.
+
+        Byte-level merges in the order of their ids are what a rank coder does, many times
+        faster; any other tokenizer codes for itself.
+        """
+        model, parts = spec["model"], spec["pre_tokenizer"] or {}
+        plain = model["type"] == "BPE" and parts == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True
+        } and spec["normalizer"] is None and spec["post_processor"] is None
+        vocabulary, special = model["vocab"], {t["content"] for t in spec["added_tokens"]}
+        merged = [("".join(m) if isinstance(m, list) else m.replace(" ", "", 1)) for m in model.get("merges", [])]
+        ordered = plain and [vocabulary[m] for m in merged] == list(range(256, 256 + len(merged)))
+        if ordered and len(vocabulary) - len(special & set(vocabulary)) == 256 + len(merged):
+            ranks = {self.a_bytes[i]: i for t, i in vocabulary.items() if t not in special}
+            return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def whole(self, text: str) -> Tokens:
-        """Tokens of a space and the text; none if it is empty or not rebuilt."""
-        return self._tokens(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)) if text else NONE
+    def whole(self, texts: list[str]) -> Tokens:
+        """Tokens of a space and each text; an empty text has none."""
+        a, b = [self.a(" " + t) if t else [] for t in texts], self.b.encode(texts, num_threads=1)
+        return self._tokens([" " + t if t else "" for t in texts], a, b)
 
-    def units(self, units: list[str]) -> list[Tokens]:
-        a = self.a.encode_batch(units, add_special_tokens=False)
+    def units(self, units: list[str]) -> Tokens:
         # B puts a space in front: it stands for the unit's own, or is taken off again
         b = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        return [self._tokens(u, x.ids, y if u[0] == " " else y[1:]) for u, x, y in zip(units, a, b)]
-
-    def _tokens(self, text: str, a: list[int], b: list[int]) -> Tokens:
-        data = text.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
-            return NONE
-        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-        return Tokens(a, np.cumsum(self.a_size[a]), b, np.cumsum(self.b_size[b]))
-
-
-NONE = Tokens(*(np.zeros(0, dtype=np.int64) for _ in range(4)))
+        return self._tokens(units, list(map(self.a, units)), [y if u[0] == " " else y[1:] for u, y in zip(units, b)])
+
+    def _tokens(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> Tokens:
+        data = [t.encode() for t in texts]
+        a_n, b_n = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (a, b))
+        a_flat, b_flat = (np.fromiter(chain.from_iterable(x), dtype=np.int64, count=n.sum()) for x, n in ((a, a_n), (b, b_n)))
+        length = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
+        ok = length > 0
+        together = b"".join(data)
+        for flat, n, size, name in ((a_flat, a_n, self.a_size, self.a_bytes), (b_flat, b_n, self.b_size, self.b_bytes)):
+            at = np.concatenate([[0], np.cumsum(size[flat])])
+            stop = np.cumsum(n)
+            ok &= at[stop] - at[stop - n] == length
+            rebuilt = b"".join(map(name.__getitem__, flat.tolist()))
+            if rebuilt != together:  # some text is not rebuilt: look at each
+                ok &= [rebuilt[at[e - k] : at[e]] == d for d, e, k in zip(data, stop.tolist(), n.tolist())]
+        if not ok.all():
+            a_flat, b_flat = a_flat[np.repeat(ok, a_n)], b_flat[np.repeat(ok, b_n)]
+            a_n, b_n = a_n * ok, b_n * ok
+        return Tokens(a_flat, a_n, b_flat, b_n, ok)
 
 
 def coalesce(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
@@ -131,54 +166,50 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a, np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-@dataclass
-class Aligned:
-    """One unit or text: tokens of A and B, groups as text, overlapping pairs, and the id pairs of links."""
+class Aligned(NamedTuple):
+    """One unit or text: tokens of A and B, overlapping pairs, groups as text, and its links."""
+
+    a: int = 0
+    b: int = 0
+    overlaps: int = 0
+    groups: bytes = b""  # a1,a2|b1;a3|b2
+    links: bytes = b""  # the numbers of their id pairs, 32 bits each
 
-    ok: bool
-    a: int
-    b: int
-    overlaps: int
-    groups: bytes  # a1,a2|b1;a3|b2
-    links: np.ndarray  # places in the worker's table of id pairs, or id pairs
 
+_MISS = Aligned()
 
-_MISS = Aligned(False, 0, 0, 0, b"", np.zeros(0, dtype=np.int64))
 
+def align(pair: Pair, tokens: Tokens, number: dict[int, int]) -> list[Aligned]:
+    """Aligns texts or units, all of them in one pass over their bytes laid end to end.
 
-def align(parts: list[Tokens]) -> list[Aligned]:
-    """Aligns texts or units, all of them in one pass over their bytes laid end to end."""
-    full = [t for t in parts if len(t.a)]
-    if not full:
-        return [_MISS] * len(parts)
-    shift = np.cumsum([0] + [int(t.a_end[-1]) for t in full])
-    a, b = np.concatenate([t.a for t in full]), np.concatenate([t.b for t in full])
-    a_end = np.concatenate([t.a_end + s for t, s in zip(full, shift)])
-    b_end = np.concatenate([t.b_end + s for t, s in zip(full, shift)])
+    ``number`` has a number for each id pair (A's id in the upper 32 bits) and gets new ones.
+    """
+    a, b = tokens.a, tokens.b
+    if not len(a):
+        return [_MISS] * len(tokens.ok)
+    a_end, b_end = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
     group = coalesce(a_end, b_end)
     a_group, b_group = group[: len(a)], group[len(a) :]
-    n_groups = int(group[-1]) + 1
+    n_groups = int(group.max()) + 1
     x, y = overlaps(a_end, b_end)
     together = a_end[x] == b_end[y]
-    links = (a[x[together]] << 32) | b[y[together]]
-    link_at = np.concatenate([[0], np.cumsum(np.bincount(a_group[x[together]], minlength=n_groups))])
-    over_at = np.concatenate([[0], np.cumsum(np.bincount(a_group[x], minlength=n_groups))])
-    # a text is a run of whole groups: both tokenizers end where it ends
-    last = np.cumsum([len(t.a) for t in full]) - 1
-    group_at = np.concatenate([[0], a_group[last] + 1])
-    a_at = np.concatenate([[0], np.cumsum(np.bincount(a_group, minlength=n_groups))]).tolist()
-    b_at = np.concatenate([[0], np.cumsum(np.bincount(b_group, minlength=n_groups))]).tolist()
-    names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    pairs = ((a[x[together]] << 32) | b[y[together]]).tolist()
+    links = np.array([number.setdefault(p, len(number)) for p in pairs], dtype=np.int32).tobytes()
+    starts = lambda of: np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n_groups))])
+    link_at, over_at = (4 * starts(a_group[x[together]])).tolist(), starts(a_group[x]).tolist()
+    a_at, b_at = starts(a_group).tolist(), starts(b_group).tolist()
+    names_a, names_b = [pair.a_name[i] for i in a.tolist()], [pair.b_name[i] for i in b.tolist()]
     texts = [
-        f"{','.join(names_a[a_at[g] : a_at[g + 1]])}|{','.join(names_b[b_at[g] : b_at[g + 1]])}" for g in range(n_groups)
+        f"{names_a[i]}|{names_b[k]}" if j - i == m - k == 1 else f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
+        for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:])
+    ]
+    # a text is a run of whole groups: both tokenizers end where it ends
+    last = np.cumsum(tokens.a_n) - 1
+    group_at = [0, *np.where(last >= 0, a_group[np.maximum(last, 0)] + 1, 0).tolist()]
+    return [
+        Aligned(n, m, over_at[h] - over_at[g], ";".join(texts[g:h]).encode(), links[link_at[g] : link_at[h]]) if n else _MISS
+        for n, m, g, h in zip(tokens.a_n.tolist(), tokens.b_n.tolist(), group_at, group_at[1:])
     ]
-    done = iter(
-        Aligned(
-            True, len(t.a), len(t.b), int(over_at[h] - over_at[g]), ";".join(texts[g:h]).encode(), links[link_at[g] : link_at[h]]
-        )
-        for t, g, h in zip(full, group_at.tolist(), group_at[1:].tolist())
-    )
-    return [next(done) if len(t.a) else _MISS for t in parts]
 
 
 class Worker:
@@ -192,34 +223,26 @@ class Worker:
         self.units: dict[str, Aligned] = {}
         self.number: dict[int, int] = {}  # id pair -> number
 
-    def _numbered(self, made: Aligned) -> Aligned:
-        number = self.number
-        made.links = np.array([number.setdefault(k, len(number)) for k in made.links.tolist()], dtype=np.int32)
-        return made
-
     def documents(self, texts: list[str]) -> list[Aligned]:
         if not self.pair.by_units:
-            return [self._numbered(x) if x.ok else x for x in align([self.pair.whole(t) for t in texts])]
+            return align(self.pair, self.pair.whole(texts), self.number)
         cut = [_UNIT.findall(" " + t) if t else [] for t in texts]
         known = self.units
-        new = list(dict.fromkeys(u for units in cut for u in units if u not in known))
+        new = list({u for units in cut for u in units if u not in known})
         passing = {}
         for at in range(0, len(new), 1 << 14):
             part = new[at : at + (1 << 14)]
-            for unit, made in zip(part, align(self.pair.units(part))):
-                (known if len(unit) <= LONG_UNIT else passing)[unit] = self._numbered(made) if made.ok else made
+            for unit, made in zip(part, align(self.pair, self.pair.units(part), self.number)):
+                (known if len(unit) <= LONG_UNIT else passing)[unit] = made
         return [self._joined(t, [known.get(u) or passing[u] for u in units]) for t, units in zip(texts, cut)]
 
     def _joined(self, text: str, units: list[Aligned]) -> Aligned:
         if not units:
             return _MISS
-        if not all([u.ok for u in units]):
-            (whole,) = align([self.pair.whole(text)])
-            return self._numbered(whole) if whole.ok else whole
-        return Aligned(
-            True, sum([u.a for u in units]), sum([u.b for u in units]), sum([u.overlaps for u in units]),
-            b";".join([u.groups for u in units]), np.concatenate([u.links for u in units]),
-        )
+        a, b, shared, groups, links = zip(*units)
+        if not all(a):
+            return align(self.pair, self.pair.whole([text]), self.number)[0]
+        return Aligned(sum(a), sum(b), sum(shared), b";".join(groups), b"".join(links))
 
 
 _WORKERS: dict[tuple[str, str], Worker] = {}  # one of each pair of paths
@@ -245,7 +268,7 @@ def token_groups(
         out = {k: [] for k in ("doc_id", "place", "start", "end", "a_ids", "b_ids")}
         for doc_id, made in zip(batch.column(0).to_pylist(), w.documents(batch.column(1).to_pylist())):
             end = 0
-            for place, group in enumerate(made.groups.decode().split(";") if made.ok else []):
+            for place, group in enumerate(made.groups.decode().split(";") if made.a else []):
                 a, b = ([int(i) for i in side.split(",")] for side in group.split("|"))
                 start, end = end, end + int(w.pair.a_size[a].sum())
                 for k, v in zip(out, (doc_id, place, start, end, a, b)):
@@ -299,15 +322,15 @@ def _blocks(a_path: str, b_path: str):
             made = w.documents(batch.column(1).to_pylist())
             if len(w.number) > len(counts):
                 counts = np.concatenate([counts, np.zeros(2 * len(w.number) - len(counts), dtype=np.int64)])
-            each = [np.unique(m.links, return_counts=True) for m in made]
+            each = [np.unique(np.frombuffer(m.links, dtype=np.int32), return_counts=True) for m in made]
             for at, times in each:
                 counts[at] += times
             entries += 1 + sum(len(at) for at, _ in each)
             yield rows(
                 len(made), block=[f"{task}-{block}"] * len(made), doc_id=batch.column(0),
                 n_a=[m.a for m in made], n_b=[m.b for m in made], n_overlaps=[m.overlaps for m in made],
-                n_links=[len(m.links) for m in made],
-                groups_sha256=[hashlib.sha256(m.groups).hexdigest() if m.ok else "" for m in made],
+                n_links=[len(m.links) // 4 for m in made],
+                groups_sha256=[hashlib.sha256(m.groups).hexdigest() if m.a else "" for m in made],
                 at=[at for at, _ in each], times=[times for _, times in each],
             )
         yield from pairs()

@@ -99,10 +99,19 @@ def test_units_give_the_tokens_of_whole_texts(pair):
     w = A.Worker(pair)
     texts = made_up(4000, odd=("▁", "\x00", "�", "​"))
     for text, made in zip(texts, w.documents(texts)):
-        (whole,) = A.align([pair.whole(text)])
-        assert (made.ok, made.a, made.b, made.overlaps, made.groups) == (whole.ok, whole.a, whole.b, whole.overlaps, whole.groups), repr(text)
-        names = list(w.number)
-        assert [names[i] for i in made.links] == whole.links.tolist()
+        (whole,) = A.align(pair, pair.whole([text]), w.number)
+        assert made == whole, repr(text)
+
+
+def test_ids_are_the_tokenizers_own(pair):
+    plain = Plain()
+    assert pair.a.__name__ == "encode_ordinary"
+    for text in made_up(6000, seed=8, odd=("▁", "\x00", "�", "​")):
+        assert pair.a(" " + text) == plain.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        (found,) = A.align(pair, pair.whole([text]), {})
+        groups, links, shared = plain.groups(text)
+        assert (found.a, found.b, found.overlaps) == (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), shared)
+        assert found.groups.decode() == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
 
 
 def test_rows_match_brute_force(spark):
@@ -113,7 +122,7 @@ def test_rows_match_brute_force(spark):
     assert rows(A.agreement(df.limit(0), A_PATH, B_PATH)) == []
 
 
-def test_small_blocks_give_the_same(monkeypatch):
+def test_small_blocks_give_the_same(spark, monkeypatch):
     docs = list(enumerate(made_up(600, seed=2)))
     parts = [docs[i : i + 20] for i in range(0, len(docs), 20)]
     batches = [pa.RecordBatch.from_arrays([pa.array([d for d, _ in p]), pa.array([t for _, t in p])], ["doc_id", "text"]) for p in parts]
