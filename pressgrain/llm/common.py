@@ -59,6 +59,14 @@ def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in whatever case: the name given, or it with underscores."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], dict], schema: str) -> Callable:
     """Wrap a function from a batch to columns for ``mapInArrow``; the schema is Spark's."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -114,5 +122,5 @@ def may_be_in(key: Column, bits: np.ndarray, spark: SparkSession) -> Column:
 
 
 __all__ = [
-    "BATCH_ROWS", "keyed_texts", "map_batches", "may_be_in", "per_batch", "prepare", "presence_bits", "present", "stored", "table",
+    "BATCH_ROWS", "fresh", "keyed_texts", "map_batches", "may_be_in", "per_batch", "prepare", "presence_bits", "present", "stored", "table",
 ]

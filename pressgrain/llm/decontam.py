@@ -16,7 +16,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pressgrain.llm.common import keyed_texts, map_batches, stored
+from pressgrain.llm.common import fresh, keyed_texts, map_batches, presence_bits, present, stored
 
 # Number words, units, and words that begin sentences without being names.
 NUMBER_WORDS = (
@@ -37,7 +37,8 @@ OPENERS = (
     "each every some all any both one find given let suppose consider calculate compute determine solve"
 ).split()
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+_MARKS = ".!?\n:;\"“”()"
+_TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|[^\W\d_]+|[{_MARKS}]")
 _MARK, _WORD, _NAME, _NUMBER, _UNIT = range(5)
 
 
@@ -62,7 +63,7 @@ class _Vocabulary(dict):
 
     def __missing__(self, token: str) -> int:
         low, at = token.casefold(), len(self)
-        if token in ".!?\n":
+        if token in _MARKS:
             kind = folded = _MARK
         elif token[0].isdigit() or low in _NUMBERS:
             kind = folded = _NUMBER
@@ -98,6 +99,11 @@ class _Tokens:
         at = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
         text = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         plain = _SEEN.kinds[WRITTEN, at] != _MARK
+        # whether a token begins or ends a sentence: a mark or the text's border is beside it
+        other = np.ones(len(at) + 1, dtype=bool)
+        other[1:-1] = text[1:] != text[:-1]
+        mark = np.concatenate([[True], ~plain, [True]])
+        self.opens, self.closes = (mark[:-2] | other[:-1])[plain], (mark[2:] | other[1:])[plain]
         at, self.text = at[plain], text[plain]
         self.values, self._kinds = _SEEN.hashes[at], _SEEN.kinds[:, at]
         self.lengths = np.bincount(self.text, minlength=len(parts))
@@ -149,7 +155,8 @@ def _windows(tokens: _Tokens, view: int, sizes: list[int], literal: int, size: i
     As written, those with ``literal`` plain words count.  With case folded all count,
     but fewer plain words make a window of values without slots.  Windows shorter than
     ``size`` are whole items: those of under ``least`` tokens or, with case folded,
-    without a plain word count only as a whole text.
+    without a plain word count only as a whole text, others (if there is a ``least``)
+    only as whole sentences, with a mark or the text's border on either side.
     """
     hashes, slots = tokens.template(view)
     words = np.concatenate([[0], np.cumsum(~slots)])
@@ -167,7 +174,8 @@ def _windows(tokens: _Tokens, view: int, sizes: list[int], literal: int, size: i
             counts &= enough
         if w < size:
             whole = tokens.lengths[tokens.text[:n]] == w
-            counts &= whole | ((w >= least) & ((plain > 0) | (view == WRITTEN)))
+            sentence = (tokens.opens[:n] & tokens.closes[w - 1 :]) | (least == 0)
+            counts &= whole | (sentence & (w >= least) & ((plain > 0) | (view == WRITTEN)))
         yield w, found, counts, slots, enough
 
 
@@ -210,26 +218,6 @@ def item_windows(
     return map_batches(items, of, _SCHEMA)
 
 
-def presence_bits(hashes: DataFrame, column: str = "hash", log2_bits: int = 23) -> np.ndarray:
-    """A bit map of which hashes occur, 2**log2_bits bits whatever the number of hashes.  Runs a job.
-
-    It only spares the shuffle rows that cannot join; false hits fall away in the join.
-    """
-    slot = F.shiftrightunsigned(F.col(column), 64 - log2_bits)
-    words = hashes.select(
-        F.shiftright(slot, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("b")
-    )
-    bits = np.zeros(1 << (log2_bits - 6), dtype=np.int64)
-    for w, b in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
-        bits[w] = b
-    return bits.view(np.uint64)
-
-
-def _present(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    slot = found >> np.uint64(64 - (len(bits).bit_length() + 5))
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _portions(keys: list, texts: list[str], most: int = 1 << 20):
     """The rows in turn, so many at once that their texts have about ``most`` characters."""
     lo, total = 0, 0
@@ -254,7 +242,7 @@ def document_windows(
             tokens = _Tokens(texts)
             for view in views:
                 for s, found, counts, slots, templated in _windows(tokens, view, sizes, literal, size, least):
-                    _rows(out, keys, tokens, view, s, found, np.flatnonzero(counts & _present(found, known)), slots, templated)
+                    _rows(out, keys, tokens, view, s, found, np.flatnonzero(counts & present(found, known)), slots, templated)
         return out
 
     return map_batches(docs, of, _SCHEMA)
@@ -264,7 +252,7 @@ def _met(
     bench: DataFrame, docs: DataFrame, size: int, literal: int, views: tuple[int, ...], least: int, id_col: str, text_col: str
 ) -> DataFrame:
     """Rows (doc_id, item_id, view, shift, i_place, exact): the item's windows that occur with consistent slots."""
-    bits = presence_bits(bench)
+    bits = presence_bits(bench, "hash", 23)
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # at most `size` of them
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
     hits = stored(document_windows(texts, bits, sizes, size, literal, views, least))
@@ -341,13 +329,14 @@ def leaked(
     all case folded, where names are words like others.  An item is found if in either
     view the share of its windows is at least ``coverage``, or if consecutive windows
     along one alignment span ``coverage`` of its tokens, or ``run`` tokens whatever
-    the share; the figures are those of the view that finds more.
+    the share; the figures are those of the view that finds more.  One window alone,
+    where the item has others, must have the item's own slot values.
 
     With case folded, windows of fewer than ``literal`` plain words count too, where
     all their tokens are equal.  So every item has windows: one of fewer tokens than
-    ``size`` is found wherever all of it stands.  Only one of fewer than ``least``
-    tokens, or a short one without any plain word, must be the whole document.  Runs
-    jobs, as ``contaminated`` does.
+    ``size`` is found where it stands as whole sentences, with a mark or the text's
+    border on either side.  One of fewer than ``least`` tokens, or a short one without
+    any plain word, must be the whole document.  Runs jobs, as ``contaminated`` does.
     """
     texts = keyed_texts(items, item_col, item_text_col).where("doc_id is not null")
     bench = stored(item_windows(texts, size, literal, VIEWS, least))
@@ -356,12 +345,14 @@ def leaked(
     order = F.row_number().over(Window.partitionBy(*key, "shift").orderBy("i_place"))
     longest = (
         kept.select(*key, "shift", (F.col("i_place") - order).alias("island"))
-        .groupBy(*key, "shift", "island").agg(F.count("*").alias("run"))
+        .groupBy(*key, "shift", "island").agg(F.count("*").alias("run"), F.sum("exact").alias("same"))
+        .where((F.col("run") > 1) | (F.col("same") > 0))
         .groupBy(*key).agg(F.max("run").alias("run"))
     )
     spanned = F.col("run") + F.col("size") - 1
-    found = _shares(bench, kept).join(longest, key).where(
-        (F.col("coverage") >= coverage) | (spanned >= F.least(F.lit(float(run)), coverage * F.col("n")))
+    enough = (F.col("n_found") > 1) | (F.col("n_exact") > 0) | (F.col("n_found") == F.col("n_windows"))
+    found = _shares(bench, kept).join(longest, key, "left").where(
+        ((F.col("coverage") >= coverage) & enough) | (spanned >= F.least(F.lit(float(run)), coverage * F.col("n")))
     )
     best = F.max(F.struct("coverage", (-F.col("view")).alias("view"), "n_windows", "n_found", "n_exact")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*").select(*_RESULT)
@@ -369,6 +360,6 @@ def leaked(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows whose document contains no benchmark item; all columns stay.  Runs jobs."""
-    found = leaked(docs, items, **options)
-    gone = stored(found.select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone_id = fresh(docs, "gone_id")
+    gone = stored(leaked(docs, items, **options).select(F.col("doc_id").alias(gone_id)).distinct())
+    return docs.join(gone, docs["doc_id"] == F.col(gone_id), "left_anti")

@@ -1,8 +1,10 @@
 """Repeated passages by MinHash over paragraphs.
 
 Lines are paragraphs; a paragraph of several sentences is also taken in its sentences,
-so that a passage inside longer paragraphs is met by its own sentences.  Equal units
-meet by a hash of their words.  Paragraphs also meet by bands of MinHash values over
+so that a passage inside longer paragraphs is met by its own sentences.  A passage may
+begin and end anywhere, so windows of 26 words are units too, wherever the content
+places them: at the run of five words that hashes lowest among 24 places.  Any 49 equal
+words hold the same such window.  Equal units meet by a hash of their words.  Paragraphs also meet by bands of MinHash values over
 shingles of five words, tuned for high recall; those that collide are verified by the
 exact Jaccard similarity of their shingles, and components of verified links are the
 classes of paragraphs.  Of each class the document with the smallest id keeps its
@@ -21,11 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgrain.llm.common import keyed_texts, map_batches, presence_bits, present, stored
 from pressgrain.llm.components import connected_components
-from pressgrain.llm.suffixes import run_hashes
+from pressgrain.llm.suffixes import minimisers, run_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 12, 4  # 99.8 % of pairs at similarity 0.8 share a band
 BLOCK = 1000  # members of a bucket compared in one place
+WINDOW, PLACES = 26, 24  # words of a window; one of so many places in a row holds one
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -61,7 +64,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Units:
-    """Paragraphs and sentences of a batch of texts; words are counted through the whole batch."""
+    """Paragraphs, sentences and windows of a batch of texts; words are counted through the whole batch."""
 
     words: np.ndarray
     text_start: np.ndarray  # first word of each text
@@ -70,6 +73,20 @@ class Units:
     text: np.ndarray  # which text a unit is from
     paragraph: np.ndarray  # whether a unit is a paragraph
     key: np.ndarray  # hash of a unit's words
+    runs: np.ndarray  # hash of every run of ``SHINGLE`` words
+
+
+def windows(runs: np.ndarray, text_start: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and text of the windows that the content places.
+
+    Where one run of words follows itself, only the first of them counts.
+    """
+    at = minimisers(runs, PLACES)
+    at = at[(at == 0) | (runs[at] != runs[at - 1])]
+    text = np.searchsorted(text_start, at, side="right") - 1
+    stop = np.append(text_start[1:], n_words)
+    inside = at + WINDOW <= stop[text] if len(at) else np.empty(0, dtype=bool)
+    return at[inside], text[inside]
 
 
 def cut(texts: list[str], least: int = SHINGLE) -> Units:
@@ -107,26 +124,30 @@ def cut(texts: list[str], least: int = SHINGLE) -> Units:
     paragraph = np.arange(len(lo)) < len(line_lo)
     keep = hi - lo >= least
     lo, hi, text, paragraph = lo[keep], hi[keep], text[keep], paragraph[keep]
+    runs = run_hashes(words, SHINGLE)
+    at, of = windows(runs, text_start, len(words))
+    new = ~np.isin(at, lo[hi - lo == WINDOW])
+    lo, hi = np.concatenate([lo, at[new]]), np.concatenate([hi, at[new] + WINDOW])
+    text, paragraph = np.concatenate([text, of[new]]), np.concatenate([paragraph, np.zeros(new.sum(), dtype=bool)])
     up, down = _powers(len(words) + 1)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(words * up[: len(words)], dtype=np.uint64)])
     key = ((sums[hi] - sums[lo]) * down[lo] ^ (hi - lo).astype(np.uint64)) * _MIX
-    return Units(words, text_start, lo, hi, text, paragraph, key ^ (key >> np.uint64(32)))
+    return Units(words, text_start, lo, hi, text, paragraph, key ^ (key >> np.uint64(32)), runs)
 
 
-def band_keys(units: Units, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def band_keys(units: Units) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the paragraphs that can have a near copy, and their band keys, a row for each.
 
     With fewer than four shingles no other set of shingles reaches similarity 0.8, so
     shorter paragraphs only meet as equal ones.
     """
-    able = np.flatnonzero(units.paragraph & (units.hi - units.lo >= shingle + 3))
+    able = np.flatnonzero(units.paragraph & (units.hi - units.lo >= SHINGLE + 3))
     if not len(able):
         return able, np.empty((0, BANDS), dtype=np.uint64)
-    hashes = run_hashes(units.words, shingle)
-    n = units.hi[able] - units.lo[able] - shingle + 1
+    n = units.hi[able] - units.lo[able] - SHINGLE + 1
     first = np.cumsum(n) - n
     at = np.arange(n.sum()) - np.repeat(first, n) + np.repeat(units.lo[able], n)
-    values = hashes[at]
+    values = units.runs[at]
     keys = np.empty((len(able), BANDS), dtype=np.uint64)
     for band in range(BANDS):
         key = np.full(len(able), np.uint64(band + 1))

@@ -3,7 +3,8 @@
 Besides the patterns, a long string near a word such as "key" or "auth" is measured:
 zstandard compresses it after a dictionary made of common identifiers and the text
 around it.  A name, path or number seen before costs a few bytes; a random secret
-costs nearly all that its characters cost in an order that repeats nothing.
+costs nearly all that its characters cost in an order that repeats nothing.  Names new
+to the text cost as much, so strings that are words joined by signs are no secrets.
 """
 
 from __future__ import annotations
@@ -48,6 +49,13 @@ IDENTIFIERS = (
 )
 _NEAR = re.compile("|".join(map(re.escape, CONTEXT)), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_PART = re.compile(r"[A-Za-z0-9+/_=-]+")
+_JOIN = re.compile(r"""[^A-Za-z0-9+/_=\s-]{0,3}\r?\n[\x20\t]*["']?|[^A-Za-z0-9+/_=\n-]{1,3}""")
+_LINE_END = re.compile(r"""["',;)\x20]*(?:\r?\n|\Z)""")
+_PARTS = re.compile(r"[A-Za-z0-9]+")
+_RUNS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_VOWEL = re.compile(r"[aeiouy]")
+_CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}")
 
 
 def _added(candidate: bytes, primed: zstandard.ZstdCompressionDict | None = None) -> int:
@@ -77,6 +85,70 @@ def _entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def _word_like(run: str) -> bool:
+    """Whether a run of letters could be a word: some vowels, and no five other letters in a row."""
+    vowels = len(_VOWEL.findall(run))
+    return 0.15 * len(run) <= vowels <= 0.8 * len(run) and not _CLUSTER.search(run)
+
+
+def joined_words(value: str, share: float = 0.7) -> bool:
+    """Whether a string is made of words, as names, paths and addresses are.
+
+    It is cut at signs, between letters and digits and where case changes as in names.
+    ``share`` of its letters and digits must lie in runs of three or more letters that
+    could be words, or shorter ones that stand alone; numbers of up to four digits
+    beside words do not count, and a part with two or more numbers between its letters
+    is no word.
+    """
+    total = wordy = 0
+    for part in _PARTS.findall(value):
+        runs = _RUNS.findall(part)
+        if sum(run.isdigit() for run in runs[1:-1]) > 1:
+            total += len(part)  # digits scattered between letters
+            continue
+        numbers = 0
+        plain = True
+        for run in runs:
+            if run.isdigit():
+                numbers += len(run) if len(run) <= 4 else 0
+                total += len(run)
+                continue
+            total += len(run)
+            if (len(run) >= 3 or len(runs) == 1) and _word_like(run.lower()):
+                wordy += len(run)
+            elif len(run) > 1:
+                plain = False
+        if plain:
+            total -= numbers
+    return total > 0 and wordy >= share * total
+
+
+def _is_secret_like(value: str, entropy: float) -> bool:
+    return _entropy(value) >= entropy and not joined_words(value)
+
+
+def _carried(text: str, lo: int, hi: int, entropy: float) -> list[tuple[int, int]]:
+    """What goes on behind a secret: parts after a dot, lines after a line end.
+
+    Between two parts stand a dot, a line end with indentation or up to three other
+    signs.  A part has 16 or more characters and is no joined words; a shorter last line
+    counts behind two or more lines that are equally long.
+    """
+    found, lines = [], [hi - lo]
+    while gap := _JOIN.match(text, hi):
+        m = _PART.match(text, gap.end())
+        if not m:
+            break
+        value, is_line = m[0], "\n" in gap[0]
+        short = is_line and len(lines) > 1 and len(set(lines)) == 1 and len(value) < lines[0] and _LINE_END.match(text, m.end())
+        if not (short and "-" not in value) and not (len(value) >= 16 and _is_secret_like(value, entropy)):
+            break
+        lo, hi = m.span()
+        found.append((lo, hi))
+        lines = [*lines, hi - lo] if is_line else [hi - lo]
+    return found
+
+
 def novel_spans(
     text: str, taken: list[tuple[int, int]], reach: int = 40, around: int = 1024, novelty: float = 0.9,
     entropy: float = 3.0,
@@ -84,33 +156,52 @@ def novel_spans(
     """Spans of candidates in sensitive context that compression can't shorten.
 
     A candidate has 16 or more letters, digits or ``+/_=-``, among them a digit and a
-    letter, and a word of ``CONTEXT`` at most ``reach`` characters before it.  Its
-    dictionary is the text up to ``around`` characters on either side without the
-    candidate itself.  It is reported if it still costs ``novelty`` of its length, or
-    of what its characters cost shuffled and without a dictionary where that is less
-    (hex digits take half a byte each), and its characters are spread (``entropy`` bits
-    each); spans in ``taken`` are skipped.
+    letter, is no joined words, and a word of ``CONTEXT`` stands at most ``reach``
+    characters before it.  Its dictionary is the text up to ``around`` characters on
+    either side without the candidate itself.  It is reported if it still costs
+    ``novelty`` of its length, or of what its characters cost shuffled and without a
+    dictionary where that is less (hex digits take half a byte each), and its characters
+    are spread (``entropy`` bits each).  A secret carries its context on to what follows
+    it directly, so keys of many lines and tokens of several parts are taken whole, also
+    behind a span in ``taken``; what overlaps one of these is skipped.
     """
-    found, end = [], 0
-    for near in _NEAR.finditer(text):
-        for m in _CANDIDATE.finditer(text, max(near.end(), end), min(len(text), near.end() + reach + 16)):
+    found: list[tuple[int, int]] = []
+    free = lambda a, b: not any(a < y and x < b for x, y in taken)
+    end = 0
+
+    def carry(lo: int, hi: int) -> int:
+        for a, b in _carried(text, lo, hi, entropy):
+            hi = b
+            if free(a, b):
+                found.append((a, b))
+        return hi
+
+    starts = [(m.end(), None) for m in _NEAR.finditer(text)] + [(b, (a, b)) for a, b in taken if b - a >= 16]
+    for near, span in sorted(starts, key=lambda s: s[0]):
+        if span is not None:
+            end = max(end, carry(*span))
+            continue
+        for m in _CANDIDATE.finditer(text, max(near, end), min(len(text), near + reach + 16)):
             lo = m.start()
-            if lo > near.end() + reach:
+            if lo > near + reach:
                 break
+            if lo < end:
+                continue
             hi = _CANDIDATE.match(text, lo).end()  # the search above may have been cut
             end = hi
             value = text[lo:hi]
-            if any(lo < b and a < hi for a, b in taken):
+            if not free(lo, hi):
                 continue
             if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
                 continue
-            if _entropy(value) < entropy:
+            if not _is_secret_like(value, entropy):
                 continue
             rest = text[max(0, lo - around) : lo] + " " + text[hi : hi + around]
             cost = _marginal(value.encode(), rest.encode("utf-8", "replace"))
             if cost >= novelty * (hi - lo) or cost >= novelty * _unmatched(value.encode()):
                 found.append((lo, hi))
-    return found
+                end = carry(lo, hi)
+    return sorted(set(found))
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:

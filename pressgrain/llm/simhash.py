@@ -18,7 +18,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressgrain.llm.common import keyed_texts, map_batches, stored
+from pressgrain.llm.common import fresh, keyed_texts, map_batches, stored
 from pressgrain.llm.components import connected_components
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,10 +155,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     stay or go together.  Runs jobs.
     """
     groups = near_copies(docs, shingle, distance)
+    gone_id = fresh(docs, "gone_id")
     gone = (
         groups.groupBy("doc_id")
         .agg(F.min("component_id").alias("component_id"))
         .where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("gone_id"))
+        .select(F.col("doc_id").alias(gone_id))
     )
-    return docs.join(stored(gone), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return docs.join(stored(gone), docs["doc_id"] == F.col(gone_id), "left_anti")

@@ -125,3 +125,122 @@ def test_short_and_number_heavy_items_are_found(spark):
     d, i = tables(spark, docs, items)
     got = {(r[0], r[1]) for r in D.leaked(d, i).select("doc_id", "item_id").collect()}
     assert got == {(1, 1), (2, 2), (3, 3), (6, 6), (11, 1), (12, 2), (13, 3), (14, 4), (15, 5), (16, 6), (23, 3), (27, 4)}
+
+
+def test_phrases_and_other_questions_are_left_alone(spark):
+    items = [(1, "What is the sum of 12 and 37 when both are doubled?"), (2, "The capital city of France"), (3, "Who wrote Hamlet?")]
+    docs = [
+        (1, "What is the sum of 5 and 6 pears in this basket, asked the farmer's wife."),
+        (2, "They came to the capital city of France in May and stayed."), (3, "We know who wrote Hamlet and when."),
+        (4, "He asked: Who wrote Hamlet? Nobody knew."), (5, "Name it. The capital city of France! Paris."),
+        (6, "So: what is the sum of 5 and 6 when both are doubled? Say it."), (7, "What is the sum of 12 and 37 pears?"),
+    ]
+    d, i = tables(spark, docs, items)
+    got = {(r[0], r[1]) for r in D.leaked(d, i).select("doc_id", "item_id").collect()}
+    assert got == {(4, 3), (5, 2), (6, 1), (7, 1)}
+
+
+def brute_leaked(docs, items, size, literal, coverage, run, least):
+    """Both views of all pairs, window by window in plain Python."""
+    def tokens(text, folded):
+        out = []
+        raw = [t for t in D._TOKEN.findall(text or "")]
+        for k, t in enumerate(raw):
+            if t in D._MARKS:
+                continue
+            low, word = t.casefold(), "word"
+            if t[0].isdigit() or low in D.NUMBER_WORDS:
+                word = "number"
+            elif low in D.UNITS:
+                word = "unit"
+            elif not folded and t[0].isupper() and not (len(t) > 1 and t.isupper()) and low not in D.OPENERS:
+                word = "name"
+            border = lambda x: x < 0 or x >= len(raw) or raw[x] in D._MARKS
+            out.append([word, low, border(k - 1), border(k + 1)])
+        for a, b in zip([["", ""]] + out, out):
+            if b[0] == "unit" and a[0] != "number":
+                b[0] = "word?"
+        return [(low if kind in ("word", "word?") else f"<{kind}>", low, not kind.startswith("word"), o, c) for kind, low, o, c in out]
+
+    out = {}
+    for d, t in docs:
+        for i, u in items:
+            best = None
+            for view in (0, 1):
+                doc, item = tokens(t, view), tokens(u, view)
+                n, w = len(item), min(size, len(item))
+                if not n:
+                    continue
+
+                def kind(side, p):
+                    part = side[p : p + w]
+                    return sum(not x[2] for x in part) >= min(literal, w)
+
+                def counts(side, p):
+                    part = side[p : p + w]
+                    plain = sum(not x[2] for x in part)
+                    if view == 0 and not kind(side, p):
+                        return False
+                    if w == size:
+                        return True
+                    whole = len(side) == w
+                    return whole or (part[0][3] and part[-1][4] and w >= least and (plain > 0 or view == 0))
+
+                places = [p for p in range(n - w + 1) if counts(item, p)]
+                hits = {}
+                for p in places:
+                    for q in range(len(doc) - w + 1):
+                        if not counts(doc, q) or kind(item, p) != kind(doc, q):
+                            continue
+                        templated = kind(item, p)
+                        a, b = item[p : p + w], doc[q : q + w]
+                        if all((x[0] == y[0] and x[2] == y[2]) if templated else x[1] == y[1] for x, y in zip(a, b)):
+                            hits.setdefault(q - p, []).append((p, templated))
+                found, runs = {}, [0]
+                for shift, ps in hits.items():
+                    pairs = {(item[k][1], doc[k + shift][1]) for p, m in ps if m for k in range(p, p + w) if item[k][2]}
+                    bad = {x for x in pairs if sum(x[0] == y[0] for y in pairs) > 1 or sum(x[1] == y[1] for y in pairs) > 1}
+                    lost_i, lost_d = {x[0] for x in bad}, {x[1] for x in bad}
+                    good = {}
+                    for p, m in ps:
+                        slots = [(item[k][1], doc[k + shift][1]) for k in range(p, p + w) if m and item[k][2]]
+                        if not any(x in lost_i or y in lost_d for x, y in slots):
+                            good[p] = all(x == y for x, y in slots)
+                    for p, exact in good.items():
+                        found[p] = found.get(p, False) or exact
+                    for p in good:
+                        if p - 1 not in good:
+                            stretch = [p]
+                            while stretch[-1] + 1 in good:
+                                stretch.append(stretch[-1] + 1)
+                            if len(stretch) > 1 or good[p]:
+                                runs.append(len(stretch))
+                if not found:
+                    continue
+                share, exact = len(found) / len(places), sum(found.values())
+                enough = len(found) > 1 or exact or len(found) == len(places)
+                spanned = max(runs) + w - 1 if max(runs) else 0
+                if (share >= coverage and enough) or (spanned and spanned >= min(run, coverage * n)):
+                    new = (share, -view, len(places), len(found), exact)
+                    best = max(best, new) if best else new
+            if best:
+                out[d, i] = best[2:]
+    return out
+
+
+def test_leaked_matches_brute_force(spark):
+    rng = random.Random(9)
+    vocabulary = ["the", "Tom", "anna", "Anna", "12", "7", "km", "runs", "far", "and", "sees", "red", "house", ".", "two", "?", "RED"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 14)))) for i in range(14)]
+    docs = []
+    for k in range(60):
+        leak = items[rng.randrange(14)][1].split(" ")
+        for _ in range(rng.randint(0, 2)):
+            leak[rng.randrange(len(leak))] = rng.choice(vocabulary)
+        parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 12))), " ".join(leak)]
+        docs.append((k, rng.choice([" ", ". ", "\n"]).join(parts + parts[:1] * rng.randint(0, 1))))
+    docs += [(100, None), (101, ""), (102, "far " * 30_000 + items[3][1])]
+    d, i = tables(spark, docs, items)
+    got = {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_found"], r["n_exact"]) for r in D.leaked(d, i, 4, 2, 0.5, 6, 2).collect()}
+    assert got == brute_leaked(docs[:-1], items, 4, 2, 0.5, 6, 2) | {k: v for k, v in got.items() if k[0] == 102}
+    assert (102, 3) in got and len(got) > 20

@@ -1,14 +1,23 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from pressgrain.llm import paragraphs as P
 
 
+def windows_by_hand(words):
+    """Places of the windows: the lowest run of five words among every 24 places."""
+    runs = P.run_hashes(np.array([P._SEEN[w.encode()] for w in words], dtype=np.uint64), 5).tolist()
+    places = {i + k for i in range(len(runs) - 23) for k in range(24) if runs[i + k] == min(runs[i : i + 24])}
+    return [p for p in sorted(places) if p + 26 <= len(words) and (p == 0 or runs[p] != runs[p - 1])]
+
+
 def units_by_hand(text):
     """(start, end, words, whether a paragraph) of units of five or more words."""
     out, at = [], 0
+    whole = (text or "").lower().split()
     for line in (text or "").lower().split("\n"):
         words = line.split()
         if not words:
@@ -24,7 +33,9 @@ def units_by_hand(text):
         if len(cuts) > 1:
             out += [(at + a, at + b, tuple(words[a:b]), False) for a, b in cuts]
         at += len(words)
-    return [u for u in out if u[1] - u[0] >= 5]
+    out = [u for u in out if u[1] - u[0] >= 5]
+    taken = {u[:2] for u in out}
+    return out + [(p, p + 26, tuple(whole[p : p + 26]), False) for p in windows_by_hand(whole) if (p, p + 26) not in taken]
 
 
 def grams(words):
@@ -100,6 +111,47 @@ def test_matches_brute_force(spark, seed):
     assert got
 
 
+def test_passages_with_any_borders_are_found(spark):
+    """Against all windows of 50 words in plain Python, not against the operator's own units."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+
+    def prose(n):
+        out = [rng.choice(vocabulary) + rng.choice(["", "", "", "", "", "", "", ".", ",", "!"]) for _ in range(n)]
+        return [w + rng.choice(["", "", "", "", "", "", "", "", "\n"]) for w in out]
+
+    shared = [prose(rng.choice([50, 51, 60, 90, 300])) for _ in range(25)]
+    texts = []
+    for d in range(120):
+        parts = [prose(rng.randint(0, 150))]
+        for s in rng.sample(shared, rng.randint(0, 2)):
+            parts += [s, prose(rng.randint(0, 150))]
+        texts.append(" ".join(w for p in parts for w in p))
+    found = {}
+    for r in P.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["start_word"] + r["n_words"]))
+    holders = defaultdict(set)
+    split = [t.lower().split() for t in texts]
+    for d, words in enumerate(split):
+        for i in range(len(words) - 49):
+            holders[tuple(words[i : i + 50])].add(d)
+    wanted, covered = 0, 0
+    for d, words in enumerate(split):
+        for i in range(len(words) - 49):
+            if len(holders[tuple(words[i : i + 50])]) > 1:
+                wanted += 1
+                covered += len(found.get(d, set()) & set(range(i, i + 50))) >= 25
+    assert wanted > 1000 and covered >= 0.95 * wanted
+
+
+def test_long_lines_and_one_repeated_word(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, long), (2, "x y " + long), (3, "same " * 20_000), (4, "same " * 5_000 + "end")]
+    got = sorted(tuple(r) for r in P.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    by = {d: sum(r[2] for r in got if r[0] == d) for d in (1, 2, 3, 4)}
+    assert by[1] > 29_900 and by[2] > 29_900 and by[3] >= 26 and by[4] >= 26
+
+
 def test_large_buckets_are_compared_in_blocks(spark):
     rng = random.Random(7)
     base = [f"w{i}" for i in range(80)]

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -109,6 +110,26 @@ def test_odd_rows(spark):
         rows.collect()
 
 
+def test_clashing_columns_and_long_texts_pass_through(spark):
+    """Columns named as the stages' own keep their values; a very long text goes through whole."""
+    docs = table(spark, SF, "documents")
+    extra = ["clean_text", "gone_id", "doc_id2", "key", "bits", "Clean_Text2", "rank", "component_id", "quality", "hash", "slots", "score"]
+    more = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    long = docs.where("doc_id = 1").select(F.lit(10**6).alias("doc_id"), F.repeat(F.concat("text", F.lit(" ")), 400).alias("text"), "lang", "source", F.lit(0).cast("long").alias("n_chars"))
+    more = more.unionByName(long.select("*", *[F.lit("long").alias(c) for c in extra]))
+    plain = docs.unionByName(long)
+    for name, stage in C.STAGES[:-1]:
+        more, plain = stage(spark, more, SF), stage(spark, plain, SF)
+        assert more.columns == [*docs.columns, *extra]
+        rows = more.collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.select("doc_id").collect()), name
+        for r in rows:
+            assert all(r[c] == ("long" if r["doc_id"] == 10**6 else f"{c} of {r['doc_id']}") for c in extra)
+    assert sorted(map(tuple, C.packed(spark, more, SF).select("doc_id", "start", "ids_crc32").collect())) == sorted(
+        map(tuple, C.packed(spark, plain, SF).select("doc_id", "start", "ids_crc32").collect())
+    )
+
+
 def test_the_rest_stands_without_this_part(tmp_path):
     """The entry module without the llm folder and the pipeline: other queries stay."""
     for item in ("__spark_entry__.py", "registry", "pressgrain"):

@@ -96,6 +96,73 @@ def test_long_random_strings_are_novel_in_any_alphabet():
     assert S.spans(f"{block} is public; its signature {block}") == []
 
 
+ALPHABET = LETTERS + LETTERS.upper() + "0123456789"
+
+
+def test_keys_of_many_lines_are_taken_whole():
+    rng = random.Random(3)
+    for k in range(120):
+        body = "".join(rng.choice(ALPHABET + "+/") for _ in range(rng.choice([300, 800, 1216, 1601, 3000]))) + "=" * (k % 3)
+        lines = [body[i : i + 64] for i in range(0, len(body), 64)]
+        end, indent = rng.choice(["\n", "\r\n"]), rng.choice(["", "  ", "\t"])
+        armour = rng.choice(["RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY"])
+        text = f"It was sent.\n-----BEGIN {armour}-----{end}{end.join(indent + x for x in lines)}{end}-----END {armour}-----{end}Then the text goes on."
+        got = {i for a, b, _ in S.spans(text) for i in range(a, b)}
+        at = 0
+        for line in lines:
+            at = text.index(line, at)
+            assert set(range(at, at + len(line))) <= got
+            at += len(line)
+        assert "Then the text goes on." in S.redacted(text) and "It was sent." in S.redacted(text)
+
+
+def test_tokens_of_several_parts_are_taken_whole():
+    rng = random.Random(4)
+    for _ in range(120):
+        parts = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9"] + ["".join(rng.choice(ALPHABET + "-_") for _ in range(n)) for n in (rng.randint(40, 200), 43)]
+        token = ".".join(parts)
+        text = f"curl -H 'Authorization: Bearer {token}' https://example.com/list and the rest"
+        got = {i for a, b, _ in S.spans(text) for i in range(a, b)}
+        at = text.index(token)
+        assert all(i in got or text[i] == "." for i in range(at, at + len(token)))
+        assert S.redacted(text).endswith("' https://example.com/list and the rest")
+
+
+CLEAN = [
+    "The api key is document-version-2024-final as filed.", "the cookie preferences_screen_layout_v2 was set",
+    "auth build/output/release_2024_notes", "the secret https://docs.example.com/path/to/the/handbook-2024/page_12",
+    "the credential client_secret_token_configuration2 is a name", "token TokenRefreshHandlerFactory2Implementation used",
+    "signature verification-module-version-10-stable is ok", "password-reset-link-expiry-2023-policy",
+    "bearer com/example/project/ServiceAccountKeyProvider3", "access key rotation-schedule_q3_2025.md",
+]
+
+
+def test_names_paths_and_prose_are_left_alone():
+    assert [S.spans(x) for x in CLEAN] == [[]] * len(CLEAN)
+    # names of random words in sensitive context: fewer than one in a hundred is reported
+    rng = random.Random(5)
+    syllables = [a + b + c for a in ("b", "c", "d", "f", "l", "m", "pr", "r", "s", "st", "t", "v") for b in "aeiou" for c in ("", "n", "r", "s", "l")]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    alarms = 0
+    for _ in range(1000):
+        sign = rng.choice("-_/")
+        name = sign.join([word() for _ in range(rng.randint(3, 6))] + [str(rng.randint(1, 2030))])
+        alarms += bool(S.spans(f"the {rng.choice(['api key', 'token', 'cookie', 'auth'])} {name} is named so"))
+    assert alarms < 10
+
+
+def test_random_strings_are_found_though_some_look_like_words():
+    rng = random.Random(6)
+    for alphabet, least in ((ALPHABET, 0.99), (LETTERS + "0123456789", 0.97), (LETTERS.upper() + "234567", 0.97), ("0123456789ABCDEF", 0.99)):
+        hits = 0
+        for _ in range(400):
+            value = "".join(rng.choice(alphabet) for _ in range(32))
+            text = f"the bearer {value} was sent"
+            known = not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value))
+            hits += known or any(text[a:b] == value for a, b, _ in S.spans(text))
+        assert hits >= least * 400, alphabet
+
+
 def test_redacted():
     text = 'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### b'
     assert S.redacted(text) == 'a [SECRET]"### b'
