@@ -344,7 +344,7 @@ def leaked(
     key = ["doc_id", "item_id", "view"]
     order = F.row_number().over(Window.partitionBy(*key, "shift").orderBy("i_place"))
     longest = (
-        kept.select(*key, "shift", (F.col("i_place") - order).alias("island"))
+        kept.select(*key, "shift", "exact", (F.col("i_place") - order).alias("island"))
         .groupBy(*key, "shift", "island").agg(F.count("*").alias("run"), F.sum("exact").alias("same"))
         .where((F.col("run") > 1) | (F.col("same") > 0))
         .groupBy(*key).agg(F.max("run").alias("run"))
