@@ -7,14 +7,21 @@ sorts and merges, splitting skewed partitions of the large side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pressgrain.functions.columns import bind
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MANY_TERMS = 100  # beyond it, texts are searched for all terms at once
+
 
 def lookup_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A short list held by the driver as a table whose size the planner knows.
@@ -49,12 +56,15 @@ def topics_table(spark: SparkSession, topics: Sequence[str | Sequence[str]]) ->
 def matching_topics(text: Column, topics: Sequence[str | Sequence[str]]) -> Column:
     """array<string> of the topics whose terms all occur in the text.
 
-    Terms are phrases, matched anywhere in any case.  The topics are one
-    literal, so a table is scanned once however many there are.
+    Terms are phrases, matched anywhere in any case.  A table is scanned once however
+    many topics there are: a few are one literal and searched for in turn, more than
+    ``MANY_TERMS`` terms are searched for in one pass over each text.
     """
     queries = [topic_query(t) for t in topics]
     if not queries:
         return F.array().cast("array<string>")
+    if sum(len(topic_terms(q)) for q in queries) > MANY_TERMS:
+        return _matching_many(F.lower(text), queries)
     catalogue = F.array(
         *[
             F.struct(
@@ -73,6 +83,38 @@ def matching_topics(text: Column, topics: Sequence[str | Sequence[str]]) -> Colu
     )
 
 
+def _matching_many(low: Column, queries: Sequence[str]) -> Column:
+    """The same, by an automaton of all terms and an inverted list from each term to its topics.
+
+    A text costs its length and its hits, whatever the number of topics.
+    """
+    needed = [sorted({t.lower() for t in topic_terms(q)}) for q in queries]
+    of_term: dict[str, list[int]] = {}
+    for topic, terms in enumerate(needed):
+        for term in terms:
+            of_term.setdefault(term, []).append(topic)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for term in of_term:
+            automaton.add_word(term, term)
+        automaton.make_automaton()
+
+        def topics_of(text: str | None) -> list[str]:
+            left = {topic: len(terms) for topic, terms in enumerate(needed) if not terms}
+            for term in {term for _, term in automaton.iter(text or "")}:
+                for topic in of_term[term]:
+                    left[topic] = left.get(topic, len(needed[topic])) - 1
+            return [queries[topic] for topic in sorted(t for t, n in left.items() if n == 0)]
+
+        for texts in batches:
+            yield pd.Series([topics_of(t) for t in texts])
+
+    return F.pandas_udf(run, "array<string>").asNondeterministic()(low)
+
+
 def tag_topics(
     df: DataFrame,
     topics: Sequence[str | Sequence[str]],

@@ -62,13 +62,42 @@ def filter_report(df: DataFrame, kept: Column) -> DataFrame:
     )
 
 
-def drop_repeated_rows(df: DataFrame) -> DataFrame:
+def drop_repeated_rows(df: DataFrame, *, rare: bool = False) -> DataFrame:
     """One copy of each row over all columns; nulls equal each other.
 
     All columns are grouping keys, so copies collapse inside each map task
     before the shuffle and a row copied many times never piles up in one task.
+
+    With ``rare``, for stored tables of wide rows of which few are repeated: only
+    digests are shuffled to find the repeated ones, and only rows that may have a
+    repeated digest are shuffled whole and compared.  The result is the same; the
+    table is read three times instead of once.
     """
-    return df.dropDuplicates()
+    return _drop_rare_repeats(df) if rare else df.dropDuplicates()
+
+
+FILTER_LOG2 = 26  # bits of the filter of repeated digests: at most 2**20 words of 64
+
+
+def _drop_rare_repeats(df: DataFrame) -> DataFrame:
+    # -0.0 and 0.0 are one value to a comparison, so they must be one to the digest
+    zero = {c: F.lit(0.0).cast(kind) for c, kind in df.dtypes if kind in ("double", "float")}
+    names = [(F.col(f"`{c}`") + zero[c]).alias(c) if c in zero else F.col(f"`{c}`") for c in df.columns]
+    digest = F.xxhash64(*names)
+    word = F.shiftrightunsigned(digest, 70 - FILTER_LOG2).alias("_word")
+    place = F.shiftrightunsigned(digest, 64 - FILTER_LOG2).bitwiseAND(F.lit(63)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    repeated = df.select(digest.alias("d")).groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d")
+    d = F.col("d")
+    bits = repeated.select(
+        F.shiftrightunsigned(d, 70 - FILTER_LOG2).alias("_of"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(d, 64 - FILTER_LOG2).bitwiseAND(F.lit(63)).cast("int")).alias("b"),
+    ).groupBy("_of").agg(F.bit_or("b").alias("_bits"))
+    # at most 2**20 rows of two numbers, whatever the table: 16 MB
+    marked = df.select("*", word, bit.alias("_bit")).join(F.broadcast(bits), F.col("_word") == F.col("_of"), "left")
+    may_repeat = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    once = marked.where(~may_repeat).select(*names)
+    return once.unionByName(marked.where(may_repeat).select(*names).dropDuplicates())
 
 
 def repeated_rows_report(df: DataFrame) -> DataFrame:

@@ -24,6 +24,24 @@ def token_valences(df: DataFrame, key: str, text: Column, lexicon: DataFrame) ->
     )
 
 
+def _listed_words(df: DataFrame, text: Column, lexicon: DataFrame) -> DataFrame:
+    """Adds ``_listed``: the text's words that the lexicon has, with their valence, as a map.
+
+    Only (digest, distinct word) rows meet the lexicon and only the words found are
+    shuffled to their digest; a text moves once at most, to its map, and not at all
+    where the maps are small enough to be broadcast.
+    """
+    keyed = df.withColumn("_text", F.md5(text))
+    low = F.array_distinct(F.transform(sentiment_words(text), F.lower))
+    words = keyed.select("_text", F.explode(low).alias("token"))
+    found = words.join(lexicon.groupBy("token").agg(F.max("valence").alias("valence")), "token")
+    # rows with equal texts name the same words: a set holds each once
+    listed = found.groupBy(F.col("_text").alias("_of")).agg(
+        F.map_from_entries(F.collect_set(F.struct("token", "valence"))).alias("_listed")
+    )
+    return keyed.join(listed, F.col("_text") == F.col("_of"), "left").drop("_text", "_of")
+
+
 def score_lexicon(
     df: DataFrame,
     text_column: str,
@@ -43,15 +61,9 @@ def score_lexicon(
     if isinstance(lexicon, Mapping):
         scored = df.withColumn("_scores", polarity(text, literal_valence(dict(lexicon)), rules))
     else:
-        keyed = df.withColumn("_text", F.md5(text))
-        listed = (
-            token_valences(keyed.select("_text", text_column).dropDuplicates(["_text"]), "_text", text, lexicon)
-            .groupBy("_text")
-            .agg(F.map_from_entries(F.collect_list(F.struct("token", "valence"))).alias("_listed"))
-        )
-        scored = keyed.join(listed, "_text", "left").withColumn(
+        scored = _listed_words(df, text, lexicon).withColumn(
             "_scores", polarity(text, lambda t: F.try_element_at(F.col("_listed"), t), rules)
-        ).drop("_listed", "_text")
+        ).drop("_listed")
     return scored.withColumns(
         {
             f"emotion_tone_scores_{suffix}": F.col("_scores"),

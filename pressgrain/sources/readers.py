@@ -54,8 +54,8 @@ def read_recursive(spark: SparkSession, root: str, name: str, schema: T.StructTy
 
 
 def read_combined(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """:func:`read_recursive` with one copy of each repeated row."""
-    return drop_repeated_rows(read_recursive(spark, root, name, schema))
+    """:func:`read_recursive` with one copy of each repeated row; rows that occur once are not shuffled."""
+    return drop_repeated_rows(read_recursive(spark, root, name, schema), rare=True)
 
 
 def read_keyed_folder(spark: SparkSession, folder: str, pattern: str = "*.parquet", key: str = "table_key") -> DataFrame:

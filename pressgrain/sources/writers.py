@@ -14,23 +14,36 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_topics_json(df: DataFrame, path: str, tag: str = "search_keyword") -> None:
-    """One JSON folder per topic, ``topic_slug=<slug>``; rows keep their tag.
+ROWS_PER_FILE = 1_000_000
 
-    Rows are not shuffled: a topic may hold most of them, and each task writes
-    its own files.
+
+def _by_value(df: DataFrame, column: str, rows_per_file: int):
+    """A writer of one folder per value.
+
+    Rows are rebalanced by value: small values share a task, so that each has one
+    file, and a large one is split over tasks of the advisory partition size.  So
+    there are about as many files as values and as the size asks for, not one for
+    each task and value.  No file has more than ``rows_per_file`` rows.
     """
-    (
-        df.withColumn("topic_slug", F.concat(F.lit("news_articles_"), topic_slug(F.col(tag))))
-        .write.mode("overwrite")
-        .partitionBy("topic_slug")
-        .json(path)
+    return (
+        df.hint("rebalance", column).write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file).partitionBy(column)
     )
 
 
-def write_by_value(df: DataFrame, path: str, column: str = "editorial_stance") -> None:
+def write_topics_json(
+    df: DataFrame, path: str, tag: str = "search_keyword", rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """One JSON folder per topic, ``topic_slug=<slug>``; rows keep their tag."""
+    slug = F.concat(F.lit("news_articles_"), topic_slug(F.col(tag)))
+    _by_value(df.withColumn("topic_slug", slug), "topic_slug", rows_per_file).json(path)
+
+
+def write_by_value(
+    df: DataFrame, path: str, column: str = "editorial_stance", rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """One Parquet folder per value of the column."""
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
+    _by_value(df, column, rows_per_file).parquet(path)
 
 
 def write_summaries(df: DataFrame, path: str, group: str, text: str = "summary") -> None:
@@ -48,14 +61,19 @@ def save_prefixed_tables(spark: SparkSession, prefix: str, folder: str) -> list[
     return sorted(saved)
 
 
+MOST_VIEWS = 1000
+
+
 def publish_views(df: DataFrame, column: str, values: Iterable | None = None) -> list[str]:
     """A temporary view ``df_<value>`` for each of the values, or for all that occur.
 
-    Views are names that the session holds.  For a column of very many values name
-    the ones needed, or write the table by value.  Without names a job finds them.
+    Views are names that the session holds.  Without names a job finds the values, and
+    more than ``MOST_VIEWS`` are an error: :func:`publish_by_value` serves any number.
     """
     if values is None:
-        values = [r[0] for r in df.select(column).distinct().collect()]
+        values = [r[0] for r in df.select(column).distinct().limit(MOST_VIEWS + 1).collect()]
+        if len(values) > MOST_VIEWS:
+            raise ValueError(f"{column} has more than {MOST_VIEWS} values; use publish_by_value")
     names = []
     for value in values:
         match = F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
@@ -64,6 +82,25 @@ def publish_views(df: DataFrame, column: str, values: Iterable | None = None) ->
     return sorted(names)
 
 
+def publish_by_value(df: DataFrame, column: str, name: str = "df_by") -> str:
+    """One SQL table function over the value: ``SELECT * FROM df_by('MAGA')``.
+
+    It serves every value, however many there are, and none is looked up to make it:
+    the value becomes a filter on the table, which reaches the scan.  Null gives the
+    rows without a value.
+    """
+    spark = df.sparkSession
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    df.createOrReplaceTempView(f"{name}_rows")
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+    kind = df.schema[column].dataType.simpleString()
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted {kind}) RETURNS TABLE({columns}) "
+        f"RETURN SELECT {', '.join(quoted(c) for c in df.columns)} FROM {name}_rows WHERE {quoted(column)} <=> wanted"
+    )
+    return name
+
+
 def route_outputs(files: DataFrame, folders: DataFrame) -> DataFrame:
     """(file_name, folder): the first folder whose name holds all the file's topic words.
 

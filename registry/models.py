@@ -23,7 +23,8 @@ from pressgrain.operators import (
 )
 from pressgrain.operators.grid import grid_accuracy
 from pressgrain.session import shared_dir
-from pressgrain.sources import readers, writers
+from pressgrain.sources import growing, readers, writers
+from pressgrain.sources.stored import stored
 from registry.base import (
     LABELLED_SQL,
     class_report_sql,
@@ -220,7 +221,7 @@ def ml08_naive_bayes_tables(spark, sf):
     {class_report_sql("SELECT label AS l, prediction AS p FROM art JOIN pred USING (doc_id)")}
 """)
 def ml08_naive_bayes_report(spark, sf):
-    """Held-out report of the MLlib pipeline without grid search."""
+    """Held-out report of the model without grid search."""
     trained = NB.train(
         _labelled_articles(spark, sf), "content", "label_model", "doc_id", grid_search=False, stop_words=STOP
     )
@@ -317,7 +318,8 @@ def prj15_label_codes(spark, sf):
 
 
 def _topics(spark, sf):
-    return TO.fit_topics(_articles(spark, sf), "content", stop_words=STOP)
+    articles = _articles(spark, sf)
+    return articles, TO.fit_topics(articles, "content", stop_words=STOP)
 
 
 @query(f"""
@@ -328,14 +330,12 @@ def _topics(spark, sf):
 """)
 def ml12_lda_topics(spark, sf):
     """Each text's counted words and topic shares: every word is counted, shares sum to one (to zero without words)."""
-    topics, counter, counted = _topics(spark, sf)
-    scored = topics.model.transform(counted).select(
-        "doc_id", F.unwrap_udt("counts")["values"].alias("v"), vector_to_array("topicDistribution").alias("share")
-    )
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    articles, topics = _topics(spark, sf)
+    words = F.size(TO.topic_tokens("content", STOP)).cast("long")
+    scored = TO.topic_shares(articles, topics, "share").select("doc_id", words.alias("n_words"), "share")
     return scored.select(
-        "doc_id", total("v").cast("long").alias("n_words"), F.lit(len(counter.vocabulary)).cast("long").alias("n_vocabulary"),
-        r6(total("share")).alias("mass"),
+        "doc_id", "n_words", F.lit(topics.model.weights.count()).alias("n_vocabulary"),
+        r6(F.aggregate("share", F.lit(0.0), lambda x, y: x + y)).alias("mass"),
         F.forall("share", lambda s: (s > 0) & (s < 1)).alias("proper"),
     )
 
@@ -347,13 +347,12 @@ def ml12_lda_topics(spark, sf):
 """)
 def tk02_topic_words(spark, sf):
     """Ten words for each topic, heaviest first, all of them words of the texts."""
-    words = _topics(spark, sf)[0].words
-    tokens = T.without(T.alpha_tokens(F.col("content")), STOP)
-    known = _articles(spark, sf).select(F.explode(tokens).alias("word")).distinct().withColumn("occurs", F.lit(True))
+    articles, topics = _topics(spark, sf)
+    known = articles.select(F.explode(TO.topic_tokens("content", STOP)).alias("word")).distinct()
     before = F.lag("weight").over(Window.partitionBy("topic").orderBy("position"))
     return (
-        words.withColumn("ordered", F.coalesce(F.col("weight") <= before, F.lit(True)))
-        .join(known, "word", "left")
+        topics.words.withColumn("ordered", F.coalesce(F.col("weight") <= before, F.lit(True)))
+        .join(known.withColumn("occurs", F.lit(True)), "word", "left")
         .select("topic", F.col("position").cast("int").alias("position"), F.coalesce("occurs", F.lit(False)).alias("occurs"), "ordered")
     )
 
@@ -361,27 +360,92 @@ def tk02_topic_words(spark, sf):
 @query("SELECT doc_id, 10::BIGINT AS n_words, true AS heaviest FROM documents")
 def ml12a_topic_labels(spark, sf):
     """Each text's label is the word list of its heaviest topic."""
-    topics, _, counted = _topics(spark, sf)
-    labelled_rows = TO.label_topics(counted, topics).select("doc_id", "LDA_label")
-    share = vector_to_array("topicDistribution")
-    shares = topics.model.transform(counted).select("doc_id", F.posexplode(share).alias("topic", "share"))
+    articles, topics = _topics(spark, sf)
+    labelled_rows = TO.label_topics(articles, topics).select("doc_id", "LDA_label")
+    shares = TO.topic_shares(articles, topics, "share").select("doc_id", F.posexplode("share").alias("topic", "share"))
     named = shares.join(topics.labels(), "topic").groupBy("doc_id").agg(
         F.max("share").alias("most"), F.map_from_entries(F.collect_list(F.struct("topic_label", "share"))).alias("of")
     )
     return labelled_rows.join(named, "doc_id").select(
         "doc_id", F.size(F.split("LDA_label", ", ")).cast("long").alias("n_words"),
-        (F.element_at("of", F.col("LDA_label")) == F.col("most")).alias("heaviest"),
+        (F.element_at("of", F.col("LDA_label")) >= F.col("most") - 1e-9).alias("heaviest"),
     )
 
 
+TOPICS, STEPS = 5, 3
+
+
+def _digamma_sql(x: str) -> str:
+    y, z = f"({x} + 6)", f"(1 / (({x} + 6) * ({x} + 6)))"
+    shift = " + ".join(f"1 / ({x} + {i})" for i in range(6))
+    series = f"{z} * (1.0 / 12 - {z} * (1.0 / 120 - {z} * (1.0 / 252 - {z} * (1.0 / 240 - {z} / 132.0))))"
+    return f"(ln({y}) - 0.5 / {y} - {series} - ({shift}))"
+
+
+def _inference_sql(name: str, weights: str) -> str:
+    """Expected counts ``{name}c`` and topic weights ``{name}g`` of each text, from (token, j, w) weights."""
+    psi = _digamma_sql
+    parts = [f"""
+        {name}t AS MATERIALIZED (SELECT j, sum(w) AS t FROM {weights} GROUP BY j),
+        {name}b AS MATERIALIZED (SELECT token, j, exp({psi('w')} - {psi('t')}) AS e FROM {weights} JOIN {name}t USING (j)),
+        {name}g0 AS MATERIALIZED (SELECT doc_id, j, 1.0::DOUBLE AS g FROM (SELECT DISTINCT doc_id FROM tc), (SELECT unnest(range({TOPICS})) AS j))"""]
+    for s in range(STEPS):
+        parts.append(f"""
+        {name}h{s} AS MATERIALIZED (SELECT doc_id, j, exp({psi('g')} - {psi('s')}) AS e FROM (SELECT *, sum(g) OVER (PARTITION BY doc_id) AS s FROM {name}g{s})),
+        {name}c{s} AS MATERIALIZED (SELECT doc_id, token, j, p * (tf / sum(p) OVER (PARTITION BY doc_id, token)) AS c
+            FROM (SELECT tc.doc_id, tc.token, b.j, tf, h.e * b.e AS p FROM tc JOIN {name}b b USING (token) JOIN {name}h{s} h ON h.doc_id = tc.doc_id AND h.j = b.j)),
+        {name}g{s + 1} AS MATERIALIZED (SELECT doc_id, j, sum(c) + {1 / TOPICS} AS g FROM {name}c{s} GROUP BY doc_id, j)""")
+    return ",".join(parts) + f""",
+        {name}c AS (SELECT * FROM {name}c{STEPS - 1}), {name}g AS (SELECT * FROM {name}g{STEPS})"""
+
+
+ITERATION_SQL = f"""
+    {TOK_STOP}, tc AS MATERIALIZED (SELECT doc_id, token, count(*) AS tf FROM tok GROUP BY 1, 2),
+    w0 AS MATERIALIZED (SELECT token, j, 0.1 - ln((('0x' || substr(md5(token || ':' || j || ':42'), 1, 8))::BIGINT + 0.5) / 4294967296) AS w
+           FROM (SELECT DISTINCT token FROM tc), (SELECT unnest(range({TOPICS})) AS j)),
+    {_inference_sql("x", "w0")},
+    w1 AS MATERIALIZED (SELECT token, j, sum(c) + {1 / TOPICS} AS w FROM xc GROUP BY token, j)
+"""
+
+
+def _after_one_iteration(spark, sf):
+    articles = _articles(spark, sf)
+    blocks = TO.text_blocks(articles, "content", STOP)
+    weights = TO.improved(blocks, TO.first_weights(blocks.words, TOPICS), TOPICS, 1 / TOPICS, STEPS)
+    model = TO.TopicModel(stored(weights), TOPICS, 1 / TOPICS, STEPS)
+    return articles, TO.Topics(model, model.top_words(10), blocks, "content")
+
+
+@query(f"""
+    WITH {ITERATION_SQL} SELECT token, {", ".join(f"round(max(w) FILTER (j = {j}), 6) AS w{j}" for j in range(TOPICS))} FROM w1 GROUP BY token
+""")
+def ml12_topic_iteration(spark, sf):
+    """Every word's weight in every topic, after one iteration from the first weights."""
+    _, topics = _after_one_iteration(spark, sf)
+    return topics.model.weights.select("token", *[r6(F.get("weights", F.lit(j))).alias(f"w{j}") for j in range(TOPICS)])
+
+
+@query(f"""
+    WITH {ITERATION_SQL}, {_inference_sql("y", "w1")},
+    top AS (SELECT j, string_agg(token, ', ' ORDER BY r) AS label FROM
+            (SELECT *, row_number() OVER (PARTITION BY j ORDER BY w DESC, token) AS r FROM w1) WHERE r <= 10 GROUP BY j),
+    best AS (SELECT doc_id, j FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(g / s, 9) DESC, j) AS r
+             FROM (SELECT *, sum(g) OVER (PARTITION BY doc_id) AS s FROM yg)) WHERE r = 1)
+    SELECT d.doc_id, label AS "LDA_label" FROM documents d LEFT JOIN best USING (doc_id) JOIN top ON top.j = coalesce(best.j, 0)
+""")
+def ml12a_labels_after_one_iteration(spark, sf):
+    """Every text's label from the ten heaviest words of its dominant topic."""
+    articles, topics = _after_one_iteration(spark, sf)
+    return TO.label_topics(articles, topics).select("doc_id", "LDA_label")
+
+
 @query("SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INT AS dominant FROM embeddings")
 def tk05_vector_argmax(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", TO.argmax(F.col("embedding")).alias("dominant"))
 
 
-def _trees(spark, sf, depths=TR.DEPTHS):
-    features = TR.tree_features(_labelled_articles(spark, sf), "content", "label_model")
-    return TR.train_trees(TR.training_rows(features, "doc_id"), depths=depths)
+def _tree_data(spark, sf):
+    return TR.tree_features(_labelled_articles(spark, sf), "content", "label_model", "doc_id")
 
 
 TREE_TOK = f"tok AS (SELECT unnest({tokens_sql('content')}) AS token FROM ({LABELLED_SQL}))"
@@ -392,28 +456,25 @@ TREE_TOK = f"tok AS (SELECT unnest({tokens_sql('content')}) AS token FROM ({LABE
     most AS (SELECT max(n) / sum(n) AS share FROM (SELECT count(*) AS n FROM art GROUP BY label))
     SELECT max_depth, depth_limit, least(1000, (SELECT count(DISTINCT token) FROM tok))::BIGINT AS n_features,
            true AS odd, true AS within, share IS NOT NULL AS better
-    FROM (VALUES ('None', 30), ('10', 10), ('5', 5)) v(max_depth, depth_limit), most
+    FROM (VALUES ('None', NULL::INT), ('10', 10), ('5', 5)) v(max_depth, depth_limit), most
 """)
 def ml15_decision_trees(spark, sf):
     """Trees at three depths: binary, within their limit, no worse than the most frequent label."""
-    features = TR.tree_features(_labelled_articles(spark, sf), "content", "label_model")
-    rows = TR.training_rows(features, "doc_id")
+    data = _tree_data(spark, sf)
+    rows = TR.training_rows(data)
     trees = TR.train_trees(rows)
-    largest = rows.groupBy("label").count().agg((F.max("count") / F.sum("count"))).scalar()
-    checked = []
-    for depth, tree in trees.items():
-        hits = tree.transform(rows).agg(
-            F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
-        )
-        checked.append(hits.select(
-            F.lit("None" if depth is None else str(depth)).alias("max_depth"),
-            F.lit(tree.numFeatures).cast("long").alias("n_features"), (F.col("accuracy") >= largest).alias("better"),
-        ))
-    metrics = TR.tree_metrics(spark, trees).withColumn("odd", F.col("n_nodes") % 2 == 1).withColumn(
-        "within", F.col("depth") <= F.col("depth_limit")
+    largest = rows.rows.groupBy("code").count().agg((F.max("count") / F.sum("count"))).scalar()
+    n_features = data.values.select(F.count_distinct("feature")).scalar()
+    leaf_rows = F.sum(F.when(F.col("feature").isNull(), F.greatest("n0", "n1"))) / F.sum(
+        F.when(F.col("feature").isNull(), F.col("n0") + F.col("n1"))
     )
-    return metrics.join(R.union_by_name(*checked), "max_depth").select(
-        "max_depth", "depth_limit", "n_features", "odd", "within", "better"
+    right = R.union_by_name(*[
+        nodes.agg(leaf_rows.alias("accuracy")).select(F.lit("None" if d is None else str(d)).alias("max_depth"), "accuracy")
+        for d, nodes in trees.items()
+    ])
+    return TR.tree_metrics(trees).join(right, "max_depth").select(
+        "max_depth", "depth_limit", n_features.alias("n_features"), (F.col("n_nodes") % 2 == 1).alias("odd"),
+        F.coalesce(F.col("depth") <= F.col("depth_limit"), F.lit(True)).alias("within"), (F.col("accuracy") >= largest).alias("better"),
     )
 
 
@@ -425,23 +486,56 @@ def ml15_decision_trees(spark, sf):
 """)
 def ml15b_tree_nodes(spark, sf):
     """Node tables of three trees: 2 n - 1 nodes for n leaves, every training row in one leaf."""
+    data = _tree_data(spark, sf)
     parts = []
-    for depth, tree in _trees(spark, sf).items():
-        path = f"{_folder(spark)}/tree"
-        tree.write().overwrite().save(path)
-        nodes = TR.node_table(spark, path).join(
-            spark.read.parquet(f"{path}/data").select("id", "rawCount", "impurityStats"), "id"
-        )
+    for depth, nodes in TR.train_trees(TR.training_rows(data)).items():
         leaf = F.col("is_leaf")
-        parts.append(nodes.agg(
+        parts.append(TR.node_table(nodes, data.classes).agg(
             (F.count(F.lit(1)) - 2 * F.count_if(leaf)).alias("nodes_less_leaves"),
-            F.sum(F.when(leaf, F.col("rawCount"))).cast("long").alias("leaf_rows"),
-            F.max(F.when(F.col("depth") == 0, F.get("impurityStats", F.lit(0)))).cast("long").alias("root_negative"),
+            F.sum(F.when(leaf, F.col("n0") + F.col("n1"))).alias("leaf_rows"),
+            F.max(F.when(F.col("depth") == 0, F.col("n0"))).alias("root_negative"),
             (F.count_if(F.col("x").isNull() | (F.col("x") < 0)) == 0).alias("placed"),
         ).select(F.lit("None" if depth is None else str(depth)).alias("max_depth"), "*"))
     return R.union_by_name(*parts)
 
 
+def _level_sql(d: int) -> str:
+    """Best splits ``b{d}`` of the nodes of level d, and where they send the rows, ``p{d + 1}``."""
+    return f"""
+    n{d} AS MATERIALIZED (SELECT path, count(*) FILTER (code = 0) AS n0, count(*) FILTER (code = 1) AS n1 FROM p{d} GROUP BY path),
+    v{d} AS (SELECT path, feature, value, count(*) FILTER (code = 0) AS m0, count(*) FILTER (code = 1) AS m1
+             FROM p{d} JOIN val USING (doc_id) GROUP BY ALL),
+    r{d} AS (SELECT path, feature, value, coalesce(lead(value) OVER w, 0) AS lower, sum(m0) OVER w AS r0, sum(m1) OVER w AS r1
+             FROM v{d} WINDOW w AS (PARTITION BY path, feature ORDER BY value DESC)),
+    c{d} AS (SELECT path, feature, (value + lower) / 2 AS threshold, (n0 - r0)::DOUBLE AS l0, (n1 - r1)::DOUBLE AS l1, r0::DOUBLE AS r0, r1::DOUBLE AS r1
+             FROM r{d} JOIN n{d} USING (path) WHERE n0 + n1 > r0 + r1 AND n0 > 0 AND n1 > 0),
+    s{d} AS (SELECT *, (l0 * l0 + l1 * l1) / (l0 + l1) + (r0 * r0 + r1 * r1) / (r0 + r1) AS score FROM c{d}),
+    b{d} AS MATERIALIZED (SELECT path, feature, threshold FROM
+             (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, feature, threshold) AS k FROM s{d}) WHERE k = 1),
+    p{d + 1} AS MATERIALIZED (SELECT p.doc_id, p.code, p.path || CASE WHEN coalesce(val.value, 0) <= b.threshold THEN 'L' ELSE 'R' END AS path
+             FROM p{d} p JOIN b{d} b USING (path) LEFT JOIN val ON val.doc_id = p.doc_id AND val.feature = b.feature)"""
+
+
+@query(f"""
+    WITH art AS (SELECT doc_id, label_model AS label, {tokens_sql('content')} AS ts, {SPLIT_SQL} AS test FROM ({LABELLED_SQL})),
+    tok AS (SELECT doc_id, unnest(list_filter(ts, lambda w: length(w) >= 2)) AS token FROM art),
+    tc AS (SELECT doc_id, token, count(*) AS tf FROM tok GROUP BY 1, 2), nd AS (SELECT count(*) AS n FROM art),
+    fr AS (SELECT token, count(*) AS df, sum(tf)::BIGINT AS total FROM tc GROUP BY 1),
+    vocab AS (SELECT * FROM fr ORDER BY total DESC, token LIMIT 1000), {WEIGH},
+    val AS MATERIALIZED (SELECT doc_id, token AS feature, round(weight, 9) AS value FROM wt WHERE round(weight, 9) > 0),
+    p0 AS MATERIALIZED (SELECT doc_id, (label = 'positive')::INT AS code, '' AS path FROM art WHERE NOT test),
+    {_level_sql(0)}, {_level_sql(1)},
+    n2 AS (SELECT path, count(*) FILTER (code = 0) AS n0, count(*) FILTER (code = 1) AS n1 FROM p2 GROUP BY path)
+    SELECT path, n0, n1, feature, round(threshold, 6) AS threshold FROM
+    (SELECT n0.*, feature, threshold FROM n0 LEFT JOIN b0 USING (path) UNION ALL SELECT n1.*, feature, threshold FROM n1 LEFT JOIN b1 USING (path)
+     UNION ALL SELECT *, NULL, NULL FROM n2)
+""")
+def ml15b_first_levels(spark, sf):
+    """The first two levels of exact splits and the nodes below them, each level split by one plan."""
+    nodes = TR.grow(TR.training_rows(_tree_data(spark, sf)), max_depth=2, local_entries=0)
+    return nodes.select("path", "n0", "n1", "feature", r6("threshold").alias("threshold"))
+
+
 # --- themes and summaries -------------------------------------------------------
 
 WORDS_SQL = f"""
@@ -673,9 +767,9 @@ def src14_saved_model(spark, sf):
         _labelled_articles(spark, sf), "content", "label_model", "doc_id", grid_search=False, stop_words=STOP
     )
     path = f"{_folder(spark)}/model"
-    writers.save_model(trained.model, path)
+    NB.save_model(trained.model, path)
     return NB.add_prediction(
-        _labelled_articles(spark, sf), "content", writers.load_model(path), stop_words=STOP
+        _labelled_articles(spark, sf), "content", NB.load_model(spark, path), stop_words=STOP
     ).drop("content")
 
 
@@ -688,8 +782,45 @@ def src15_write_summaries(spark, sf):
 
 @query("SELECT 'df_' || lang AS view_name, count(*) AS n FROM documents GROUP BY 1")
 def ml20_views_by_value(spark, sf):
-    names = writers.publish_views(table(spark, sf, "documents").select("doc_id", "lang"), "lang")
+    """Each language's documents through one table function over the value."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    name = writers.publish_by_value(docs, "lang", f"df_{uuid.uuid4().hex[:8]}")
+    langs = docs.select(F.col("lang").alias("wanted")).distinct()
+    return spark.sql(
+        f"SELECT concat('df_', wanted) AS view_name, count(*) AS n FROM {{langs}}, LATERAL {name}(wanted) d GROUP BY wanted",
+        langs=langs,
+    )
+
+
+@query("SELECT 'df_' || lang AS view_name, count(*) AS n FROM documents WHERE lang IN ('de', 'en', 'xx') GROUP BY 1 UNION ALL SELECT 'df_xx', 0")
+def ml20_named_views(spark, sf):
+    names = writers.publish_views(table(spark, sf, "documents").select("doc_id", "lang"), "lang", ["en", "de", "xx"])
     counts = [
         spark.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("view_name"), "n") for n in names
     ]
     return R.union_by_name(*counts)
+
+
+@query("""
+    SELECT files <= 2 * n_lang AS bounded, n_rows, n_lang FROM
+    (SELECT count(*) AS n_rows, count(DISTINCT lang) AS n_lang FROM documents), (SELECT 0 AS files)
+""")
+def src11_files_by_value(spark, sf):
+    """However many tasks write, there are about as many files as values."""
+    path = f"{_folder(spark)}/by_lang"
+    docs = table(spark, sf, "documents").select("doc_id", "lang").repartition(16)
+    writers.write_by_value(docs, path, "lang")
+    written = readers.read_partitioned(spark, path).withColumn("file", F.input_file_name())
+    return written.agg(
+        F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("lang").alias("n_lang")
+    ).select((F.col("files") <= 2 * F.col("n_lang")).alias("bounded"), "n_rows", "n_lang")
+
+
+@query("SELECT DISTINCT text, lang FROM documents")
+def st02_growing_corpus(spark, sf):
+    """Overlapping batches appended to one table, one of them twice."""
+    path = f"{_folder(spark)}/grown"
+    docs = table(spark, sf, "documents").select("text", "lang", "source")
+    for batch, kept in (("first", "lang <> 'de'"), ("second", "lang <> 'en'"), ("third", "true"), ("second", "lang <> 'en'")):
+        growing.append_new(docs.where(kept).select("text", "lang"), path, batch)
+    return growing.read_grown(spark, path)

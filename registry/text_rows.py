@@ -178,23 +178,29 @@ EDITED_PAGES_SQL = r"""
                   || CASE WHEN page_id % 5 = 0 THEN '<meta name="publish-date" content="2024-01-0' || (page_id % 9 + 1) || '">' ELSE '' END) AS h
            FROM pages))
 """
-KEPT_PAGES_SQL = f"(SELECT * FROM {EDITED_PAGES_SQL} WHERE status = 200 AND page_id % 11 <> 3)"
 EDITED_AUTHOR_SQL = f"CASE WHEN page_id % 3 = 0 THEN 'Ann ' || page_id ELSE {AUTHOR_SQL} END"
 EDITED_DATE_SQL = "CASE WHEN page_id % 5 = 0 THEN '2024-01-0' || (page_id % 9 + 1) END"
 
 
-def edited_pages(spark, sf):
+def tagged_pages(spark, sf):
+    """All pages; some get an author and a date, which the given ones lack."""
     number = F.col("page_id")
     author = F.concat(F.lit('<meta name="author" content="Ann '), number.cast("string"), F.lit('"><meta name="author">'))
     date = F.concat(F.lit('<meta name="publish-date" content="2024-01-0'), (number % 9 + 1).cast("string"), F.lit('">'))
     head = F.concat(
         F.lit("<head>"), F.when(number % 3 == 0, author).otherwise(""), F.when(number % 5 == 0, date).otherwise("")
     )
-    html = F.replace("html", F.lit("<head>"), head)
-    bare = F.regexp_replace(html, "(?is)<title[^>]*>.*?</title>", "")
     return texts(spark, sf, "pages").select(
-        "page_id", "url", F.when(number % 7 == 2, 404).otherwise(200).alias("status"),
-        F.when(number % 11 == 3, bare).otherwise(html).alias("html"),
+        "page_id", "url", F.lit(200).alias("status"), F.replace("html", F.lit("<head>"), head).alias("html")
+    )
+
+
+def edited_pages(spark, sf):
+    """All pages, some of them as if they had not been found or had no title."""
+    bare = F.regexp_replace("html", "(?is)<title[^>]*>.*?</title>", "")
+    return tagged_pages(spark, sf).select(
+        "page_id", "url", F.when(F.col("page_id") % 7 == 2, 404).otherwise(200).alias("status"),
+        F.when(F.col("page_id") % 11 == 3, bare).otherwise(F.col("html")).alias("html"),
     )
 
 
@@ -202,15 +208,15 @@ def edited_pages(spark, sf):
     SELECT page_id, {DECODED_TITLE_SQL} AS title, {EDITED_AUTHOR_SQL} AS author,
            {EDITED_DATE_SQL} AS publish_date, {PARAGRAPHS_SQL} AS content,
            NULL::VARCHAR AS theme, url, {PUBLISHER_SQL} AS publisher
-    FROM {KEPT_PAGES_SQL}
+    FROM pages
 """)
 def prj04_page_fields(spark, sf):
-    return P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+    return P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
 
 
-@query(f"SELECT page_id, {EDITED_DATE_SQL} AS publish_date FROM {KEPT_PAGES_SQL} WHERE page_id % 5 = 0")
+@query(f"SELECT page_id, {EDITED_DATE_SQL} AS publish_date FROM pages WHERE page_id % 5 = 0")
 def prj04c_publish_date(spark, sf):
-    articles = P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+    articles = P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
     return articles.select("page_id", "publish_date").where("publish_date is not null")
 
 
@@ -250,10 +256,10 @@ def prj04a_page_title(spark, sf):
     )
 
 
-@query(f"SELECT page_id, {EDITED_AUTHOR_SQL} AS author FROM {KEPT_PAGES_SQL}")
+@query(f"SELECT page_id, {EDITED_AUTHOR_SQL} AS author FROM pages")
 def prj04b_page_authors(spark, sf):
     """From the first author tag, else from a by-line."""
-    articles = P.extract_articles(edited_pages(spark, sf), status="status", keep=("page_id",))
+    articles = P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
     return articles.select("page_id", "author")
 
 
@@ -497,6 +503,12 @@ def ag10_drop_repeated_rows(spark, sf):
     return R.drop_repeated_rows(table(spark, sf, "documents").select("text", "lang"))
 
 
+@query("SELECT DISTINCT text, lang FROM documents")
+def ag10_rarely_repeated_rows(spark, sf):
+    """Only rows that may be repeated are shuffled whole."""
+    return R.drop_repeated_rows(table(spark, sf, "documents").select("text", "lang"), rare=True)
+
+
 @query("""
     SELECT (SELECT count(*) FROM documents) AS rows_before,
            (SELECT count(*) FROM (SELECT DISTINCT text, lang FROM documents)) AS rows_after,
@@ -546,6 +558,24 @@ def jn05_topic_articles(spark, sf):
     return L.tag_topics(table(spark, sf, "documents"), TOPICS, ["text"]).select("doc_id", "search_keyword")
 
 
+SYLLABLES = [a + b for a in "bcdfglmnprst" for b in ("a", "e", "i", "o", "an", "er", "is", "on", "th", "st")]
+# single syllables, pairs of them that must both occur, and phrases over a word border
+MANY_TOPICS = SYLLABLES + [f"{a} AND {b}x" for a in SYLLABLES[::3] for b in SYLLABLES[::40]] + [f"{a} {b}" for a in SYLLABLES[::6] for b in SYLLABLES[1::11]]
+MANY_TERMS_SQL = sql_values([(q, t) for q in MANY_TOPICS for t in L.topic_terms(q)], "query", "term")
+
+
+@query(f"""
+    WITH t AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY query) AS needed FROM {MANY_TERMS_SQL}),
+    hit AS (SELECT doc_id, t.query, needed FROM documents d JOIN t ON contains(lower(d.text), t.term))
+    SELECT query AS search_keyword, count(*) AS n_articles FROM
+    (SELECT doc_id, query FROM hit GROUP BY doc_id, query, needed HAVING count(*) = needed) GROUP BY query
+""")
+def jn05_many_topics(spark, sf):
+    """Several hundred topics, all searched for in one pass over each text."""
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    return L.topic_counts(docs, MANY_TOPICS, ["text"])
+
+
 @query("""
     SELECT d.doc_id, d.source, l.quality, l.toxic, l2.quality AS quality_bert
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN labels l2 ON d.doc_id = l2.doc_id

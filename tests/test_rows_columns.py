@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +35,42 @@ def test_repeated_rows_with_nulls(spark):
     assert tuple(R.repeated_rows_report(df.where("false")).first()) == (0, 0, 0)
 
 
+def test_rarely_repeated_rows_give_the_same(spark, monkeypatch):
+    rng = random.Random(1)
+    value = lambda: rng.choice([None, 0.0, -0.0, 1.5, float("nan")])
+    data = [(rng.choice("abc"), rng.choice([None, "a", "b"]), value(), [rng.randrange(3)], i if i % 4 else 0) for i in range(300)]
+    df = spark.createDataFrame(data, "x string, `odd.name` string, d double, l array<int>, i int").repartition(5)
+    for bits in (26, 7):  # a filter that is nearly exact, and one that is nearly full
+        monkeypatch.setattr(R, "FILTER_LOG2", bits)
+        assert str(rows(R.drop_repeated_rows(df, rare=True))) == str(rows(R.drop_repeated_rows(df)))
+    assert rows(R.drop_repeated_rows(df.where("false"), rare=True)) == []
+
+
+def test_only_repeated_rows_are_shuffled_whole(spark, tmp_path):
+    wide = spark.range(4000).select(F.when(F.col("id") < 40, F.col("id") % 4).otherwise(F.col("id")).alias("id")).select(
+        "id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("text")
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    got = R.drop_repeated_rows(spark.read.parquet(str(tmp_path / "wide")), rare=True)
+    assert got.count() == 3964
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan()
+    moved, todo = [], [plan.executedPlan()]
+    while todo:  # the rows that each exchange writes
+        node = todo.pop()
+        if "ShuffleQueryStage" in node.nodeName():
+            node = node.plan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if node.nodeName() == "Exchange":
+            columns = node.output().size()
+            wide_row = "text" in node.output().toString()
+            moved.append((wide_row, columns, node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    assert moved and all(n <= 60 for wide_row, _, n in moved if wide_row)
+
+
 def test_union_order_fill(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([("y", 2.0)], "s string, d double")
@@ -108,6 +146,19 @@ def test_topic_articles(spark):
     assert "Join" not in final_plan(got)
 
 
+def test_many_topics_match_as_few(spark, monkeypatch):
+    rng = random.Random(2)
+    words = ["visa", "Visas", "İstanbul", "policy", "ai", "a", "of", "border control", "control", "ß", "x.y", "(a)"]
+    topics = [rng.choice(words) for _ in range(40)] + [[rng.choice(words), rng.choice(words)] for _ in range(60)] + ["", " AND "]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 8))).swapcase() for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "id int, t string")
+    found = lambda: [(r[0], list(r[1])) for r in rows(df.select("id", L.matching_topics(F.col("t"), topics)))]
+    many = found()
+    monkeypatch.setattr(L, "MANY_TERMS", 10**6)
+    assert many == found()
+    assert max(len(t) for _, t in many) > 3
+
+
 def test_merge_scores(spark):
     base = spark.createDataFrame([("a", 1), ("b", 2)], "unique_id string, n int")
     one = spark.createDataFrame([("a", 0.5)], "unique_id string, score double")

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from pressgrain.plans import corpus, digest, labelling, modelling
 from pressgrain.session import shared_dir
 from pressgrain.schemas import ENRICHED_ORDER
-from pressgrain.sources import readers, writers
+from pressgrain.sources import growing, readers, writers
 from pressgrain.sources.stored import stored
 from pressgrain.streaming import ingest
 from tests.conftest import rows
@@ -76,6 +76,66 @@ def test_views_and_prefixed_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "keepme_one")).count() == 3
 
 
+def test_more_values_than_views(spark, monkeypatch):
+    monkeypatch.setattr(writers, "MOST_VIEWS", 2)
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(3)], "id int, s string")
+    with pytest.raises(ValueError):
+        writers.publish_views(df, "s")
+
+
+def test_one_table_function_serves_ten_thousand_values(spark):
+    df = spark.range(30_000).select("id", F.when(F.col("id") >= 3, F.concat(F.lit("v"), F.col("id") % 10_000)).alias("odd name"))
+    name = writers.publish_by_value(df, "odd name", "rows_of")
+    assert name == "rows_of"
+    assert rows(spark.sql("SELECT id FROM rows_of('v9999')")) == [(19999,), (29999,), (9999,)]
+    assert spark.sql("SELECT * FROM rows_of(NULL)").columns == ["id", "odd name"]
+    assert rows(spark.sql("SELECT id FROM rows_of(NULL)")) == [(0,), (1,), (2,)]
+    assert spark.sql("SELECT * FROM rows_of('none')").count() == 0
+    every = spark.sql("SELECT count(*) FROM (SELECT DISTINCT `odd name` AS v FROM rows_of_rows) w, LATERAL rows_of(v)")
+    assert every.first()[0] == 30_000
+
+
+def test_value_filter_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string").write.parquet(str(tmp_path / "t"))
+    writers.publish_by_value(spark.read.parquet(str(tmp_path / "t")), "s", "of_s")
+    plan = spark.sql("SELECT id FROM of_s('b')")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualNullSafe(s,b)" in plan or "EqualTo(s,b)" in plan
+
+
+def files_of(folder):
+    return {p.name: len(list(p.glob("part-*"))) for p in folder.iterdir() if p.is_dir()}
+
+
+def test_files_do_not_multiply_with_tasks(spark, tmp_path):
+    df = spark.range(4000).select("id", F.when(F.col("id") < 3900, "large").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("v")).repartition(24)
+    writers.write_by_value(df, str(tmp_path / "t"), "v")
+    found = files_of(tmp_path / "t")
+    assert len(found) == 51 and sum(found.values()) <= 60
+    writers.write_by_value(df, str(tmp_path / "u"), "v", rows_per_file=500)
+    assert 8 <= files_of(tmp_path / "u")["v=large"] <= 16
+    assert all(len(r) for r in rows(readers.read_partitioned(spark, str(tmp_path / "u"))))
+    assert readers.read_partitioned(spark, str(tmp_path / "u")).count() == 4000
+    topics = df.select("id", F.col("v").alias("search_keyword"))
+    writers.write_topics_json(topics, str(tmp_path / "j"))
+    assert sum(files_of(tmp_path / "j").values()) <= 60
+
+
+def test_growing_table_is_the_same_when_a_batch_comes_again(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    one = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, None)], "t string, n int")
+    two = spark.createDataFrame([("b", None), ("c", 3), ("a", 2)], "t string, n int")
+    growing.append_new(one, path, "one")
+    assert rows(growing.read_grown(spark, path)) == [("a", 1), ("b", None), (None, None)]
+    growing.append_new(two, path, "two")
+    expected = [("a", 1), ("a", 2), ("b", None), ("c", 3), (None, None)]
+    assert rows(growing.read_grown(spark, path)) == expected
+    for batch, name in ((two, "two"), (one, "one"), (two, "two")):
+        growing.append_new(batch, path, name)
+        assert rows(growing.read_grown(spark, path)) == expected
+    growing.append_new(one, path, "three")  # nothing new
+    assert rows(growing.read_grown(spark, path)) == expected
+
+
 def test_route_outputs(spark):
     files = spark.createDataFrame(
         [("df_border_security_x.xlsx",), ("df_x.xlsx",), ("df_Visa_y.xlsx",), ("df_visa_policy_new.xlsx",), ("df_moon_base_x.xlsx",), ("a__b_c",)],
