@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressgrain.llm import decontam, packing, quality, secret_scan, simhash
-from pressgrain.llm.common import prepare, table
+from pressgrain.llm.common import fresh, prepare, table
 from pressgrain.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,11 +35,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced and ``n_chars`` counted anew where text changed."""
     prepare(spark)
-    clean = docs.withColumn("clean_text", secret_scan.redact(F.col("text")))
-    n_chars = F.when(F.col("clean_text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(
-        F.length("clean_text").cast("long")
-    )
-    return clean.withColumn("n_chars", n_chars).withColumn("text", F.col("clean_text")).select(*docs.columns)
+    name = fresh(docs, "clean_text")
+    clean = docs.withColumn(name, secret_scan.redact(F.col("text")))
+    n_chars = F.when(F.col(name).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(name).cast("long"))
+    return clean.withColumn("n_chars", n_chars).withColumn("text", F.col(name)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
