@@ -24,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -44,23 +45,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         for lang, held in holders.items():
-            where = {term: ([], []) for term in held}
-            for (of, source), terms in counts.items():
-                if of == lang:
-                    for term, n in terms.items():
-                        sources, times = where[term]
-                        sources.append(source)
-                        times.append(n)
-            names = list(where)
+            number = dict(zip(held, range(len(held))))
+            groups = [(source, terms) for (of, source), terms in counts.items() if of == lang]
+            term = np.concatenate([np.fromiter(map(number.__getitem__, t), np.int64, len(t)) for _, t in groups])
+            times = np.concatenate([np.fromiter(t.values(), np.int64, len(t)) for _, t in groups])
+            source = np.repeat(np.arange(len(groups)), [len(t) for _, t in groups])
+            order = np.argsort(term, kind="stable")  # a term's sources one after the other
+            names, docs = list(held), np.fromiter(held.values(), np.int64, len(held))
+            sources = pa.array([s for s, _ in groups], pa.string()).take(pa.array(source[order]))
+            times, stop = pa.array(times[order]), np.cumsum(np.bincount(term, minlength=len(names)))
             for at in range(0, len(names), 1 << 15):
-                part = names[at : at + (1 << 15)]
+                end = min(len(names), at + (1 << 15))
+                low = int(stop[at - 1]) if at else 0
+                offsets = pa.array(np.concatenate([[low], stop[at:end]]) - low, pa.int32())
+                size = int(stop[end - 1]) - low
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array([held[t] for t in part], pa.int64()),
-                        pa.array([where[t][0] for t in part], pa.list_(pa.string())),
-                        pa.array([where[t][1] for t in part], pa.list_(pa.int64())),
+                        pa.array([lang] * (end - at), pa.string()),
+                        pa.array(names[at:end], pa.binary()).cast(pa.string()),
+                        pa.array(docs[at:end]),
+                        pa.ListArray.from_arrays(offsets, sources.slice(low, size)),
+                        pa.ListArray.from_arrays(offsets, times.slice(low, size)),
                     ],
                     names=["lang", "term", "docs", "sources", "times"],
                 )
