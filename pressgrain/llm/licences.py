@@ -168,11 +168,13 @@ def scan_text(text: str) -> dict:
     line = b" " + b" ".join(words) + b" "
     base, labels, places, burdens = set(), set(), [], []
     joined = line.decode("utf-8", "replace")
+    spaces, seen = 0, 0  # of the line up to the last end
     for end, (phrase, label) in _phrases().iter(joined):
         labels.add(label)
         burdens.append(BURDEN.get(label, UNKNOWN_BURDEN))
         if phrase in BASE:
-            places.append(joined.count(" ", 0, end - len(phrase) - 1))
+            spaces, seen = spaces + joined.count(" ", seen, end), end
+            places.append(spaces - 1 - phrase.count(" "))
             base.add(label)
     low = text.translate(_LOWER)
     expressions, at = [], low.find(TAG)

@@ -93,3 +93,16 @@ def test_tags_and_notices():
     assert L.scan_text("Licensed under CC BY-NC 4.0.")["labels"] == "cc-by,cc-by-nc"
     assert L.scan_text("GNU Lesser General Public License")["labels"] == "gpl,lgpl"
     assert L.scan_text("SPDX-License-Identifier: )(")["labels"] == ""
+
+
+def test_very_many_places_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        found = L.scan_text("under the mit license and the apache license or the gnu general public license " * n)
+        assert (found["n_base"], found["first_word"], found["last_word"]) == (3 * n, 2, 14 * n - 3)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.01)
