@@ -69,11 +69,13 @@ def _cut(bits: Column, segment: tuple[int, int]) -> Column:
     return F.shiftrightunsigned(bits, segment[0]).bitwiseAND(F.lit((1 << segment[1]) - 1))
 
 
-def near_pairs(prints: DataFrame, distance: int = 4) -> DataFrame:
-    """Pairs (a, b), a < b, of the distinct values in ``bits`` that differ in 1 to ``distance`` bits.
+_KEY = ["i", "head", "second"]  # a chain's start, its first segment and the next one
+
 
-    The key of a chain holds its start, the first segment and the second, so values
-    meet only if about two segments agree.  Nulls meet nothing.
+def _entries(prints: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Each distinct value ``a`` under the keys of its chains, and ``b`` also under their one-bit variants.
+
+    Values meet only if about two segments agree.  Nulls meet nothing.
     """
     if not 0 < distance < 32:
         raise ValueError("distance must lie between 1 and 31")
@@ -94,6 +96,13 @@ def near_pairs(prints: DataFrame, distance: int = 4) -> DataFrame:
         F.col("bits").alias("b"),
         F.inline(F.array(*(key(i, f) for i in range(n) for f in [None, *range(ring[(i + 1) % n][1])]))),
     )
+    return plain, varied
+
+
+def _met(plain: DataFrame, varied: DataFrame, distance: int, wanted: Column) -> DataFrame:
+    """Pairs a < b under one key that every longer chain and then the full distance let through."""
+    ring = segments(distance)
+    n = len(ring)
     differ = F.col("a").bitwiseXOR(F.col("b"))
     chains = F.lit(False)
     for i in range(n):
@@ -107,18 +116,47 @@ def near_pairs(prints: DataFrame, distance: int = 4) -> DataFrame:
             within = F.bit_count(differ.bitwiseAND(F.lit(mask).cast("long"))) <= length * distance // n
             kept = kept & within
         chains = chains | ((F.col("p.i") == i) & kept)
-    plain, varied = plain.alias("p"), varied.alias("v")
     on = (
         (F.col("p.i") == F.col("v.i"))
         & (F.col("p.head") == F.col("v.head"))
         & (F.col("p.second") == F.col("v.second"))
         & (F.col("a") < F.col("b"))
+        & wanted
         & chains
         & (F.bit_count(differ) <= distance)
     )
-    return plain.join(varied, on).select("a", "b").distinct()
+    return plain.alias("p").join(varied.alias("v"), on).select("a", "b")
 
 
+def near_pairs(prints: DataFrame, distance: int = 4) -> DataFrame:
+    """All pairs (a, b), a < b, of the distinct values in ``bits`` that differ in 1 to ``distance`` bits."""
+    plain, varied = _entries(prints, distance)
+    return _met(plain, varied, distance, F.lit(True)).distinct()
+
+
+def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
+    """Links (a, b) of 1 to ``distance`` differing bits that connect what ``near_pairs`` connects.
+
+    Each key has a representative, its smallest value.  Other pairs of a key meet only
+    if one of the two is not near it.  A value near several representatives keeps its
+    link to the smallest of them, and to others only where those do not have the same
+    smallest one.  So a dense group of values gives about as many links as values.
+    """
+    near = lambda x: F.bit_count(F.col(x).bitwiseXOR(F.col("rep"))) <= distance
+    plain, varied = _entries(prints, distance)
+    reps = plain.groupBy(*_KEY).agg(F.min("a").alias("rep"))
+    plain = plain.join(reps, _KEY).select("a", *_KEY, near("a").alias("near_a"))
+    varied = varied.join(reps, _KEY).withColumn("near_b", near("b"))
+    stars = varied.where(F.col("near_b") & (F.col("b") != F.col("rep"))).select("b", "rep").distinct()
+    centres = stars.groupBy("b").agg(F.min("rep").alias("least")).select("b", F.least("b", "least").alias("centre"))
+    of_rep = centres.select(F.col("b").alias("rep"), F.col("centre").alias("rep_centre"))
+    kept = stars.join(centres, "b").join(of_rep, "rep", "left").where(
+        (F.col("rep") == F.col("centre")) | (F.col("centre") != F.coalesce("rep_centre", "rep"))
+    )
+    links = kept.select(F.least("b", "rep").alias("a"), F.greatest("b", "rep").alias("b"))
+    others = _met(plain, varied.drop("rep"), distance, ~(F.col("near_a") & F.col("near_b")))
+    return links.unionByName(others).distinct()
+
 
 def near_copies(
     docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text"
@@ -135,7 +173,7 @@ def near_copies(
     """
     prints = stored(fingerprints(docs, shingle, id_col, text_col))
     values = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(near_pairs(values, distance))
+    roots = connected_components(near_links(values, distance))
     grouped = values.join(roots, values["bits"] == roots["node"], "left").select(
         "bits", "first_id", F.coalesce("root", "bits").alias("root")
     )

@@ -94,3 +94,30 @@ def test_components(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want.items())
     empty = spark.createDataFrame([], "a long, b long")
     assert connected_components(empty).count() == 0
+
+
+def test_links_connect_what_pairs_connect(spark):
+    rng = random.Random(12)
+    values = set()
+    for _ in range(25):  # chains of values, each near the one before
+        v = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            values.add(v)
+            for b in rng.sample(range(64), rng.randint(1, 4)):
+                v ^= 1 << b
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "bits long")
+    links = simhash.near_links(df, 4)
+    assert all((((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4) for a, b in links.collect())
+    roots = lambda x: sorted(map(tuple, connected_components(x).collect()))
+    assert roots(links) == roots(simhash.near_pairs(df, 4))
+
+
+def test_a_dense_group_gives_few_links(spark):
+    rng = random.Random(13)
+    base = rng.getrandbits(62)
+    values = {base} | {base ^ 1 << i ^ 1 << j for i in range(62) for j in range(i)}
+    df = spark.createDataFrame([(v,) for v in values], "bits long")
+    links = simhash.near_links(df, 4)
+    assert links.count() < 1.2 * len(values)  # all pairs: over a million
+    assert {r["root"] for r in connected_components(links).collect()} == {min(values)}
