@@ -1,7 +1,10 @@
 """Document fingerprints: a Merkle tree over leaves, paragraphs and sections.
 
-A text is cut into leaves: sentences, or runs of 96 characters where there is no
-sentence end.  A leaf with a line end closes a paragraph; a paragraph whose last
+A text is cut into leaves where its content says so: at sentence ends, and in longer
+stretches, from 40 characters on, after a word that ends with one of some letters or
+at one of some rarer characters (after 160 characters in any case).  So an insertion
+moves the cuts near it only, also in code, lists and text without punctuation.  A leaf
+with a line end closes a paragraph; a paragraph whose last
 leaf's hash begins with 0 to 3 closes a section, so that sections follow the content
 and an insertion moves no later border.  Each node is the MD5 of its children; equal
 roots mean equal texts.  The fingerprint is the root followed by eight digits of
@@ -17,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressgrain.llm.common import keyed_texts
 
-LEAF = r"[^.!?\n]{1,96}[.!?\n]*|[.!?\n]+"
+# Up to 40 characters, then to the next place to cut or sentence end; sentence ends alone.
+LEAF = r"[^.!?\n]{1,40}(?:[^.!?\n]{0,118}?(?:[aehlosAEHLOS,;:][ \t]|[qxzQXZ79])|[^.!?\n]{0,120})[.!?\n]*|[.!?\n]+"
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -68,21 +72,20 @@ def changed_sections(a: Column, b: Column) -> Column:
     return F.when(root(a) == root(b), F.array().cast("array<int>")).otherwise(F.array_remove(places, -1))
 
 
+def _numbers(values: list[int]) -> Column:
+    """Numbers held by the driver as one array: one literal, however many they are."""
+    empty = F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else empty
+
+
 def _bucket(key: Column, bounds: list[int]) -> Column:
     """How many of the sorted bounds are below the key, by blocks of about the root of their number."""
     step = max(1, int(len(bounds) ** 0.5))
-    blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)] or [[]]
-
-    def below(values: list[int]) -> Column:
-        whole = F.array(*(F.lit(v).cast("long") for v in values)) if values else F.array().cast("array<bigint>")
-        return F.size(F.filter(whole, lambda v: v < key))
-
-    block = below([b[0] for b in blocks if b])
+    below = lambda values: F.size(F.filter(values, lambda v: v < key))
     # the block that the key falls in is the last whose first bound lies below it
-    inner = F.lit(0)
-    for i, b in reversed([*enumerate(blocks)]):
-        inner = F.when(block == i + 1, F.lit(i * step) + below(b)).otherwise(inner)
-    return inner
+    block = below(_numbers(bounds[::step]))
+    inner = below(F.slice(_numbers(bounds), (F.greatest(block, F.lit(1)) - 1) * step + 1, F.lit(step)))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + inner)
 
 
 def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: int | None = None) -> DataFrame:
@@ -93,7 +96,8 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     dealt to the range above, whose last row it follows.  So rows are shuffled once
     and no task orders more than a range.  Equal keys follow each other by the hash of
     their columns, a null key counts as the smallest.  Only the ranges' bounds and
-    largest keys come to the driver.  Runs two jobs over the key column.
+    largest keys come to the driver; the plan has them as arrays and does not grow with
+    their number.  Runs two jobs over the key column.
     """
     spark = docs.sparkSession
     if parts is None:
@@ -103,20 +107,22 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     at = [i / parts for i in range(1, parts)]
     bounds = docs.agg(F.percentile_approx(k, at, 10 * parts)).first()[0] if at else []
     bounds = sorted(set(bounds or []))
-    heads = {
-        r["b"]: r["m"]
-        for r in docs.select(_bucket(k, bounds).alias("b"), k.alias("k")).groupBy("b").agg(F.max("k").alias("m")).collect()
-    }
+    own = _bucket(k, bounds)
+    heads = {r["b"]: r["m"] for r in docs.select(own.alias("b"), k.alias("k")).groupBy("b").agg(F.max("k").alias("m")).collect()}
     order = sorted(heads)
     above = dict(zip(order, order[1:] + order[:1]))
-    pairs = [x for b in order for x in (F.lit(heads[b]).cast("long"), F.lit(above[b]))]
-    receiver = F.create_map(*pairs)[F.col("_k")] if pairs else F.lit(None).cast("int")
+    every = range(len(bounds) + 1)
+    head = F.get(_numbers([heads.get(b, low) for b in every]), F.col("_own"))
+    receiver = F.get(_numbers([above.get(b, 0) for b in every]), F.col("_own")).cast("int")
+    place = lambda b, extra: F.struct(b.alias("b"), F.lit(extra).alias("extra"))
     dealt = (
         docs.withColumn("_k", k)
-        .withColumn("_own", _bucket(k, bounds))
-        .withColumn("_receiver", receiver)
-        .withColumn("_at", F.explode(F.when(F.col("_receiver").isNull(), F.array(F.struct(F.col("_own").alias("b"), F.lit(0).alias("extra")))).otherwise(
-            F.array(F.struct(F.col("_own").alias("b"), F.lit(0).alias("extra")), F.struct(F.col("_receiver").alias("b"), F.lit(1).alias("extra"))))))
+        .withColumn("_own", own)
+        .withColumn("_receiver", F.when(F.col("_k") == head, receiver))
+        .withColumn("_at", F.explode(
+            F.when(F.col("_receiver").isNull(), F.array(place(F.col("_own"), 0)))
+            .otherwise(F.array(place(F.col("_own"), 0), place(F.col("_receiver"), 1)))
+        ))
         .select("*", F.col("_at.b").alias("_b"), F.col("_at.extra").alias("_extra"), F.xxhash64(*columns).alias("_tie"))
     )
     window = Window.partitionBy("_b").orderBy("_extra", F.col("_k").desc(), "_tie")
