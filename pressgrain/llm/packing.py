@@ -266,8 +266,10 @@ def pack(
     ``window`` numbers, comes to the driver.
     """
     cut = stored(pieces(docs, tokenizer_path, window, end_id, id_col, text_col))
-    made = plan({r[0]: r[1] for r in cut.groupBy("length").count().collect()}, window)
+    counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
+    made = plan(counts, window)
     key = made.length * (1 << 44) + made.first_rank
+    parts = max(256, int(sum(counts.values())) >> 20)  # of each length: a million pieces at most, if they are dealt evenly
 
     def place(batch):
         columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
@@ -280,6 +282,6 @@ def pack(
         }
 
     return map_batches(
-        ranked(cut, "length", ["doc_id", "start", "ids_crc32"]), place,
+        ranked(cut, "length", ["doc_id", "start", "ids_crc32"], parts), place,
         "length long, doc_id long, start long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
