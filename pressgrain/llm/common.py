@@ -89,13 +89,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(per_batch(fn, schema), schema)
 
 
-def presence_bits(keys: DataFrame, column: str, most_log2: int = 28) -> np.ndarray:
-    """A bit map of the 64-bit keys that occur: about 16 bits for each, at most 2**most_log2.
+def presence_bits(keys: DataFrame, column: str, most_log2: int = 28, per_key: int = 16) -> np.ndarray:
+    """A bit map of the 64-bit keys that occur: about ``per_key`` bits for each, at most 2**most_log2.
 
     It only spares a shuffle the rows that cannot join (32 MB at the most, whatever the
     number of keys); what it lets through wrongly falls away in the join.  Runs jobs.
     """
-    log2 = min(most_log2, max(16, math.ceil(math.log2(16 * keys.count() + 1))))
+    log2 = min(most_log2, max(16, math.ceil(math.log2(per_key * keys.count() + 1))))
     slot = F.shiftrightunsigned(column, 64 - log2)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
     words = keys.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))

@@ -252,7 +252,7 @@ def _met(
     bench: DataFrame, docs: DataFrame, size: int, literal: int, views: tuple[int, ...], least: int, id_col: str, text_col: str
 ) -> DataFrame:
     """Rows (doc_id, item_id, view, shift, i_place, exact): the item's windows that occur with consistent slots."""
-    bits = presence_bits(bench, "hash", 23)
+    bits = presence_bits(bench, "hash", 23, per_key=1024)
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # at most `size` of them
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
     hits = stored(document_windows(texts, bits, sizes, size, literal, views, least))
