@@ -318,7 +318,7 @@ def prj15_label_codes(spark, sf):
 
 
 def _topics(spark, sf):
-    articles = _articles(spark, sf)
+    articles = stored(_articles(spark, sf))  # cleaned once
     return articles, TO.fit_topics(articles, "content", stop_words=STOP)
 
 
@@ -409,9 +409,9 @@ ITERATION_SQL = f"""
 
 
 def _after_one_iteration(spark, sf):
-    articles = _articles(spark, sf)
+    articles = stored(_articles(spark, sf))
     blocks = TO.text_blocks(articles, "content", STOP)
-    weights = TO.improved(blocks, TO.first_weights(blocks.words, TOPICS), TOPICS, 1 / TOPICS, STEPS)
+    weights = TO.improved(blocks, TO.first_weights(blocks, TOPICS), TOPICS, 1 / TOPICS, STEPS)
     model = TO.TopicModel(stored(weights), TOPICS, 1 / TOPICS, STEPS)
     return articles, TO.Topics(model, model.top_words(10), blocks, "content")
 
