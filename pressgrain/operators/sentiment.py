@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pressgrain.functions.lexicon import Rules, literal_valence, polarity, sentiment_words
 from pressgrain.functions.text import sentiment_category
 from pressgrain.operators.tfidf import term_counts
+from pressgrain.sources.stored import stored
+
 
 def token_valences(df: DataFrame, key: str, text: Column, lexicon: DataFrame) -> DataFrame:
     """(key, token, n, valence) of the listed words of each text.
@@ -28,16 +30,19 @@ def _listed_words(df: DataFrame, text: Column, lexicon: DataFrame) -> DataFrame:
     """Adds ``_listed``: the text's words that the lexicon has, with their valence, as a map.
 
     Only (digest, distinct word) rows meet the lexicon and only the words found are
-    shuffled to their digest; a text moves once at most, to its map, and not at all
-    where the maps are small enough to be broadcast.
+    shuffled to their digest.  The maps are written first, so their size is known when
+    they are joined to the texts: while they can be broadcast no text moves, beyond
+    that each moves once.  Runs a job.
     """
     keyed = df.withColumn("_text", F.md5(text))
     low = F.array_distinct(F.transform(sentiment_words(text), F.lower))
     words = keyed.select("_text", F.explode(low).alias("token"))
     found = words.join(lexicon.groupBy("token").agg(F.max("valence").alias("valence")), "token")
     # rows with equal texts name the same words: a set holds each once
-    listed = found.groupBy(F.col("_text").alias("_of")).agg(
-        F.map_from_entries(F.collect_set(F.struct("token", "valence"))).alias("_listed")
+    listed = stored(
+        found.groupBy(F.col("_text").alias("_of")).agg(
+            F.map_from_entries(F.collect_set(F.struct("token", "valence"))).alias("_listed")
+        )
     )
     return keyed.join(listed, F.col("_text") == F.col("_of"), "left").drop("_text", "_of")
 
@@ -55,7 +60,8 @@ def score_lexicon(
     ``lexicon`` has a valence for each lower-case token.  A mapping is part of the
     plan and the scoring is a projection.  A table is joined with the distinct words
     of each text, whatever its size; rows with equal texts share their words, so no
-    key is needed.  Of a token listed more than once the greatest valence counts.
+    key is needed, and a job runs for them.  Of a token listed more than once the
+    greatest valence counts.
     """
     text = F.col(text_column)
     if isinstance(lexicon, Mapping):

@@ -164,3 +164,15 @@ def test_model_runs_once_per_row_under_a_filter(spark):
 def test_mean_pool(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])], "k int, v array<double>")
     assert rows(I.mean_pool(df, "k", "v")) == [(1, [2.0, 3.0]), (2, [5.0, 6.0])]
+
+
+def test_no_text_is_shuffled_to_a_table_lexicon(spark):
+    texts = [(i, f"a good and {w} text number {i}") for i, w in enumerate(["great", "bad", "plain", "horrible"] * 50)]
+    df = spark.createDataFrame(texts, "i int, t string").repartition(3)
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
+    scored = S.score_lexicon(df, "t", lexicon)
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not exchanges, exchanges  # the maps are broadcast
+    assert rows(scored) == rows(S.score_lexicon(df, "t", LEXICON))
