@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pressgrain.functions.text import keyword_tokens
 from pressgrain.functions.wordlists import FILLERS, REPORTING_VERBS, english_stop_words
+from pressgrain.sources.stored import stored
 
 
 def _stop_words(stop_words):
@@ -36,7 +37,10 @@ def word_counts(
     df: DataFrame, text_column: str, key: str, *, groups: Sequence[str] = (), stop_words=None
 ) -> DataFrame:
     """(groups, token, n, first_seen) over the keyword tokens of the texts."""
-    tokens = _occurrences(df, text_column, key, stop_words, *groups)
+    return _counted(_occurrences(df, text_column, key, stop_words, *groups), key, groups)
+
+
+def _counted(tokens: DataFrame, key: str, groups: Sequence[str]) -> DataFrame:
     return tokens.groupBy(*groups, "token").agg(
         F.count(F.lit(1)).alias("n"), _first_seen(tokens, key, "pos").alias("first_seen")
     )
@@ -48,6 +52,67 @@ def top_words(df: DataFrame, text_column: str, key: str, n: int = 5, stop_words=
     return counts.orderBy(F.desc("n"), F.asc("first_seen")).limit(n).select("token", "n")
 
 
+# An item that a sketch of so many tracked items leaves out occurs at most this often:
+# its lower bound is within the largest error, 3.5 / tracked of all occurrences, and its
+# count within another one.
+SKETCH_ERROR = 7.0
+
+
+def frequent_words(
+    df: DataFrame, text_column: str, key: str, n: int = 5, *, groups: Sequence[str] = (), stop_words=None,
+    tracked: int = 1 << 14,
+) -> DataFrame:
+    """(groups, token, n, first_seen): each group's ``n`` most frequent words, exactly.
+
+    For vocabularies too large to shuffle.  A sketch of ``tracked`` items per group and
+    map task names candidates and bounds the count of every other word; the candidates
+    are then counted exactly.  A group whose last place is not above the bound is counted
+    in full, as :func:`word_counts` does, so the result never depends on the sketch.
+    Ties stand in the order the words first occur.  Runs jobs; texts are read twice.
+    """
+    groups = list(groups)
+    tokens = _occurrences(df, text_column, key, stop_words, *groups)
+    sketch = tokens.groupBy(*groups).agg(
+        F.call_function("approx_top_k", F.col("token"), F.lit(tracked), F.lit(tracked)).alias("items"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    found = stored(sketch.select(*groups, (F.col("total") * (SKETCH_ERROR / tracked)).alias("bound"), "items"))
+    named = [F.col(c).alias(f"_{c}") for c in groups]
+    candidates = found.select(*named, F.explode("items").alias("item")).select(
+        *[f"_{c}" for c in groups], F.col("item.item").alias("_token")
+    )
+    match = F.col("token") == F.col("_token")
+    for c in groups:
+        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    hits = tokens.join(candidates, match).select(*tokens.columns)
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(F.desc("n"), F.asc("first_seen")))
+
+    def first(counted: DataFrame) -> DataFrame:
+        return counted.withColumn("rank", rank).where(F.col("rank") <= n)
+
+    top = stored(first(_counted(hits, key, groups)))
+    last = top.where(F.col("rank") == n).select(*named, F.col("n").alias("least"))
+    bounds = found.select(*groups, "bound")
+    beside = F.lit(True)
+    for c in groups:
+        beside = beside & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    checked = stored(bounds.join(last, beside, "left").select(
+        *groups, F.coalesce(F.col("least") > F.col("bound"), F.lit(False)).alias("sure")
+    ))
+    names = [*groups, "token", "n", "first_seen"]
+
+    def of(rows: DataFrame, sure: bool) -> DataFrame:
+        chosen = checked.where(F.col("sure") == sure).select(*named)
+        return rows.join(chosen, beside, "left_semi")
+
+    if checked.where(~F.col("sure")).isEmpty():
+        return top.select(*names)
+    if not groups:
+        return first(_counted(tokens, key, groups)).select(*names)
+    rest = first(_counted(of(tokens, False), key, groups))
+    return of(top, True).select(*names).unionByName(rest.select(*names))
+
+
 def split_keywords(df: DataFrame, column: str = "keywords", key: str | None = None) -> DataFrame:
     """One row per keyword of a comma-joined list, with its position."""
     carried = [key] if key else []

@@ -578,6 +578,16 @@ def tk03_most_common(spark, sf):
     return counts.withColumn("r", rank).where("r <= 7").select("lang", "token", "n")
 
 
+@query(f"""
+    WITH {WORDS_SQL}, cnt AS (SELECT lang, token, count(*) AS n, min(doc_id * 10000000000 + pos) AS f FROM occ GROUP BY 1, 2)
+    SELECT lang, token, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, f) AS r FROM cnt) WHERE r <= 7
+""")
+def tk03_frequent_words(spark, sf):
+    """The most frequent words of each language, candidates from a sketch, counted exactly."""
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text").withColumn("content", T.clean_words(F.col("text")))
+    return TH.frequent_words(docs, "content", "doc_id", 7, groups=["lang"], stop_words=STOP).select("lang", "token", "n")
+
+
 @query(f"""
     WITH lists AS (SELECT d.doc_id, e.label, list_filter({tokens_sql()}, lambda w: w NOT IN {sql_in(STOP)}) AS ts
                    FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id),

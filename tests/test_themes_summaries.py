@@ -1,6 +1,7 @@
 import random
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import Window, functions as F
 
 from pressgrain.operators import summaries as SU, themes as TH
 from tests.conftest import final_plan, rows
@@ -95,3 +96,24 @@ def test_generated_summary(spark):
     df = spark.createDataFrame([("a", "long text")], "g string, content string")
     make = lambda: lambda text: text.upper()
     assert rows(SU.generated_summary(df, "g", make)) == [("a", "SUMMARIZE: LONG TEXT")]
+
+
+@pytest.mark.parametrize("tracked", [8, 64, 1 << 12])
+def test_frequent_words_are_exact_whatever_the_sketch_holds(spark, tracked):
+    rng = random.Random(tracked)
+    common = [f"{a}{b}" for a in ("alpha", "beta", "gamma") for b in "xyz"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows_ = []
+    for i in range(150):
+        rare = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(12)]
+        words = [rng.choice(common) for _ in range(rng.randrange(8))] + rare
+        rng.shuffle(words)
+        rows_.append((i, rng.choice(["a", "b", None]), " ".join(words)))
+    rows_ += [(200, "even", " ".join(f"{a}{b}q" for a in "mnop" for b in "uvw")), (201, "none", "")]  # ties only; no words
+    df = spark.createDataFrame(rows_, "id int, g string, t string").repartition(4)
+    counts = TH.word_counts(df, "t", "id", groups=["g"], stop_words=[])
+    rank = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("n"), "first_seen"))
+    want = rows(counts.withColumn("r", rank).where("r <= 5").select("g", "token", "n", "first_seen"))
+    assert rows(TH.frequent_words(df, "t", "id", 5, groups=["g"], stop_words=[], tracked=tracked)) == want
+    one = TH.frequent_words(df, "t", "id", 3, stop_words=[], tracked=tracked).select("token", "n")
+    assert rows(one) == rows(TH.top_words(df, "t", "id", 3, stop_words=[]))
