@@ -59,3 +59,22 @@ def test_tables_and_pairs_learn_an_interaction():
     assert (0, 1) in model.pairs
     by_row = [model.scores(fresh[i : i + 1])[0] for i in range(50)]
     assert np.allclose(by_row, model.scores(fresh)[:50])
+
+
+def test_ties_and_repeated_rows(spark):
+    """Equal texts score alike whatever their labels; the order and number of rows change nothing."""
+    texts = ["the same words again and again", "9 9 9 $$ ## !!", "the same words again and again"]
+    rows = [(i, texts[i % 3], "z") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(i, (i // 3) % 2) for i in range(60)], "doc_id long, quality int")
+    one = {(r["doc_id"], r["score"], r["predicted"]) for r in Q.score_documents(docs, labels).collect()}
+    again = {(r["doc_id"], r["score"], r["predicted"]) for r in Q.score_documents(docs.union(docs).repartition(7), labels.union(labels)).collect()}
+    assert one == again
+    by_text = {}
+    for d, score, predicted in one:
+        by_text.setdefault(texts[d % 3], set()).add((score, predicted))
+    assert all(len(found) == 1 for found in by_text.values())
+    score = next(iter(by_text[texts[0]]))[0]
+    assert {r["predicted"] for r in Q.score_documents(docs.where("doc_id % 3 = 0"), labels, threshold=score).collect()} <= {0, 1}
+    kept = Q.keep_good(docs, labels, threshold=score).where("doc_id % 3 = 0").count()
+    assert kept == 20  # a score equal to the threshold is good
