@@ -265,6 +265,8 @@ def token_groups(
 
     def of(batch: pa.RecordBatch) -> dict:
         w = worker(a_path, b_path)
+        if len(w.units) > MAX_UNITS:
+            w.forget()
         out = {k: [] for k in ("doc_id", "place", "start", "end", "a_ids", "b_ids")}
         for doc_id, made in zip(batch.column(0).to_pylist(), w.documents(batch.column(1).to_pylist())):
             end = 0
