@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pressgrain.session import shared_dir
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, slot: str | None = None) -> DataFrame:
     """Write the table below the shared folder and read it from there.  Runs a job.
 
     All tables of an application lie in its folder ``stored-<application>``, which can
-    be removed once the application has ended.
+    be removed once the application has ended.  A table with a ``slot`` replaces the one
+    written there before, which must not be read any more: an iteration that alternates
+    between two slots keeps two tables however long it runs.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stored-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_dir(spark)}/stored-{spark.sparkContext.applicationId}/{slot or uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
