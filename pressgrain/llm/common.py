@@ -9,9 +9,8 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import pressgrain
 from pressgrain.session import shared_dir, tune
@@ -111,16 +110,6 @@ def present(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def may_be_in(key: Column, bits: np.ndarray, spark: SparkSession) -> Column:
-    """Whether a 64-bit key may be in the bit map; only the key goes to Python."""
-    shared = spark.sparkContext.broadcast(bits)
-
-    def of(keys: pd.Series) -> pd.Series:
-        return pd.Series(present(keys.to_numpy(dtype=np.int64).view(np.uint64), shared.value))
-
-    return F.pandas_udf(of, "boolean")(key)
-
-
 __all__ = [
-    "BATCH_ROWS", "fresh", "keyed_texts", "map_batches", "may_be_in", "per_batch", "prepare", "presence_bits", "present", "stored", "table",
+    "BATCH_ROWS", "fresh", "keyed_texts", "map_batches", "per_batch", "prepare", "presence_bits", "present", "stored", "table",
 ]

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pressgrain.llm.common import keyed_texts, map_batches, may_be_in, presence_bits, stored
+from pressgrain.llm.common import keyed_texts, map_batches, presence_bits, present, stored
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xD6E8FEB86659FD93)
@@ -150,8 +150,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield make([held[0]], [held[1]], [held[2]], [bool(held[3])], [True])
 
 
-def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
-    """Rows (doc_id, place) of the suffixes whose first words a neighbour in the sorted order shares.
+def repeated_heads(suffixes: DataFrame) -> DataFrame:
+    """Rows (key), distinct: the first words of suffixes that share them with a neighbour in the sorted order.
 
     The order is dealt out in ranges of (key, doc_id, place), so that a key of very
     many suffixes lies in several ranges.  Neighbours in different ranges meet by the
@@ -161,41 +161,41 @@ def repeated_suffixes(suffixes: DataFrame) -> DataFrame:
     order = ["key", "doc_id", "place"]
     compared = stored(
         suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, _SORTED)
+        .groupBy("key").agg(F.max("same").alias("same"), F.sum(F.col("edge").cast("int")).alias("edges"))
     )
-    edges = compared.where("edge")
-    shared = edges.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    across = edges.where("not same").join(shared, "key", "left_semi")
-    return compared.where("same").select("doc_id", "place").unionByName(across.select("doc_id", "place"))
-
-
-def candidate_windows(docs: DataFrame, suffixes: DataFrame, min_words: int, head: int) -> DataFrame:
-    """Rows (hash, doc_id, place) of the windows that the repeated suffixes extend to on both sides."""
-    places = suffixes.groupBy("doc_id").agg(F.collect_set("place").alias("places"))  # of one document
-    # texts without a repeated suffix are not shuffled
-    bits = presence_bits(suffixes.select(F.xxhash64("doc_id").alias("key")).distinct(), "key")
-    some = docs.where(may_be_in(F.xxhash64("doc_id"), bits, docs.sparkSession))
-    joined = some.join(places, "doc_id").select("doc_id", "text", "places")
+    return compared.where("same or edges > 1").select("key")
+
+
+def candidate_windows(docs: DataFrame, heads: DataFrame, min_words: int, head: int) -> DataFrame:
+    """Rows (hash, doc_id, place) of the windows that repeated suffixes extend to on both sides.
+
+    A bit map tells each task which suffixes are repeated, so no text is shuffled; what it
+    lets through wrongly is repeated nowhere and falls away.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(presence_bits(heads, "key"))
     width = min_words - head + 1
 
     def of(batch):
         hashes, ids, starts = [], [], []
-        for doc_id, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             heads = run_hashes(word_hashes(text), head)
-            lowest = sliding(heads, width)
+            kept = minimisers(heads, width)
+            kept = kept[present(heads[kept], shared.value)]
+            if not len(kept):
+                continue
             repeated = np.full(len(heads), _TOP, dtype=np.uint64)
-            at = np.array(found, dtype=np.int64)
-            at = at[at < len(heads)]
-            repeated[at] = heads[at]
-            at = np.flatnonzero(sliding(repeated, width) == lowest)
+            repeated[kept] = heads[kept]
+            at = np.flatnonzero(sliding(repeated, width) == sliding(heads, width))
             hashes.append(window_hashes(heads, head, min_words)[at])
             starts.append(at)
             ids.append(np.full(len(at), doc_id, dtype=np.int64))
+        none = np.empty(0, dtype=np.int64)
         return {
-            "hash": np.concatenate(hashes).view(np.int64), "doc_id": np.concatenate(ids),
-            "place": np.concatenate(starts).astype(np.int32),
+            "hash": np.concatenate([none.view(np.uint64), *hashes]).view(np.int64), "doc_id": np.concatenate([none, *ids]),
+            "place": np.concatenate([none, *starts]).astype(np.int32),
         }
 
-    return map_batches(joined, of, "hash long, doc_id long, place int")
+    return map_batches(docs, of, "hash long, doc_id long, place int")
 
 
 def repeated_spans(
@@ -216,7 +216,7 @@ def repeated_spans(
         raise ValueError("head must be at most half of min_words")
     texts = keyed_texts(docs, id_col, text_col).where("doc_id is not null")
     suffixes = stored(sparse_suffixes(texts, min_words, head))
-    windows = candidate_windows(texts, stored(repeated_suffixes(suffixes)), min_words, head)
+    windows = stored(candidate_windows(texts, repeated_heads(suffixes), min_words, head))
     repeated = (
         windows.groupBy("hash").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
         .where(F.col("first_doc_id") < F.col("last")).drop("last")
