@@ -139,15 +139,31 @@ def _sublists(pivots: np.ndarray, pivot: int, shared: int) -> Iterator[tuple[int
             yield int(other[s]), member[s:e]
 
 
+def _elsewhere(pivots: np.ndarray, first: int, second: int, shared: int) -> np.ndarray:
+    """A label for each vector: two with the same one, other than -1, belong to another list.
+
+    They share a pivot before this list's, or one between its two.  So the members of a
+    large group of near vectors are compared pair by pair in the list of their own two
+    smallest pivots only.
+    """
+    least = np.sort(pivots, axis=1)[:, :2]
+    label = least[:, 0].astype(np.int64)
+    here = label == first
+    if shared < 2:
+        return np.where(here, -1, label)
+    return np.where(here, np.where(least[:, 1] == second, -1, -2 - least[:, 1]), label)
+
+
 def _links(units, pivots, side, members, first, second, shared, threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Verified links among the members, without those that belong to another list.
 
     ``side`` tells the two blocks of a task apart, of which only mixed pairs count.
     """
+    label = _elsewhere(pivots[members], first, second, shared)
     step = max(1, TILE // len(members))
     for at in range(0, len(members), step):
-        rows = members[at : at + step]
-        x, y = np.nonzero(units[rows] @ units[members].T >= threshold - 1e-9)
+        rows, own = members[at : at + step], label[at : at + step, None]
+        x, y = np.nonzero((units[rows] @ units[members].T >= threshold - 1e-9) & ((own != label) | (own == -1)))
         a, b = rows[x], members[y]
         keep = a < b if side is None else (a < b) & (side[a] != side[b])
         a, b = a[keep], b[keep]
