@@ -51,6 +51,19 @@ def test_recursive_scan_merges_columns_and_drops_copies(spark, tmp_path):
     assert {r["table_key"] for r in keyed.collect()} == {"combined"}
 
 
+def test_tables_stored_as_folders_are_found_by_their_name(spark, tmp_path):
+    root = tmp_path / "with [odd] name"
+    spark.createDataFrame([("same", 1), ("same", 1), ("one", 2)], "x string, y int").repartition(3).write.parquet(f"{root}/a/labels.parquet")
+    spark.createDataFrame([("same", 1)], "x string, y int").coalesce(1).write.parquet(f"{root}/b/c/labels.parquet")
+    spark.createDataFrame([(1.5,)], "z double").write.parquet(f"{root}/a/others.parquet")
+    spark.createDataFrame([("file", 3)], "x string, y int").coalesce(1).write.parquet(f"{tmp_path}/part")
+    (root / "d").mkdir()
+    next((tmp_path / "part").glob("*.parquet")).rename(root / "d" / "labels.parquet")
+    found = readers.read_recursive(spark, f"file:{tmp_path}", "labels.parquet")
+    assert rows(found) == [("file", 3), ("one", 2), ("same", 1), ("same", 1), ("same", 1)]
+    assert rows(readers.read_combined(spark, str(tmp_path), "labels.parquet")) == [("file", 3), ("one", 2), ("same", 1)]
+
+
 def test_missing_path_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_table(spark, str(tmp_path / "nothing"))
