@@ -62,6 +62,13 @@ def test_tables_stored_as_folders_are_found_by_their_name(spark, tmp_path):
     found = readers.read_recursive(spark, f"file:{tmp_path}", "labels.parquet")
     assert rows(found) == [("file", 3), ("one", 2), ("same", 1), ("same", 1), ("same", 1)]
     assert rows(readers.read_combined(spark, str(tmp_path), "labels.parquet")) == [("file", 3), ("one", 2), ("same", 1)]
+    plain = tmp_path / "plain"
+    spark.createDataFrame([("a", 1), ("b", 2)], "x string, y int").repartition(2).write.parquet(f"{plain}/labels.parquet")
+    spark.createDataFrame([(1.5,)], "z double").coalesce(1).write.parquet(f"{plain}/others.parquet")
+    keyed = readers.read_keyed_folder(spark, f"{plain}/", "l*.parquet")
+    assert rows(keyed) == [("a", 1, "labels"), ("b", 2, "labels")]
+    every = readers.read_keyed_folder(spark, f"file://{plain}")
+    assert rows(every.select("table_key", "x", "z")) == [("labels", "a", None), ("labels", "b", None), ("others", None, 1.5)]
 
 
 def test_missing_path_raises(spark, tmp_path):
