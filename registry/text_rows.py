@@ -178,6 +178,7 @@ EDITED_PAGES_SQL = r"""
                   || CASE WHEN page_id % 5 = 0 THEN '<meta name="publish-date" content="2024-01-0' || (page_id % 9 + 1) || '">' ELSE '' END) AS h
            FROM pages))
 """
+KEPT_PAGES_SQL = f"(SELECT * FROM {EDITED_PAGES_SQL} WHERE status = 200 AND page_id % 11 <> 3)"
 EDITED_AUTHOR_SQL = f"CASE WHEN page_id % 3 = 0 THEN 'Ann ' || page_id ELSE {AUTHOR_SQL} END"
 EDITED_DATE_SQL = "CASE WHEN page_id % 5 = 0 THEN '2024-01-0' || (page_id % 9 + 1) END"
 
@@ -214,10 +215,22 @@ def prj04_page_fields(spark, sf):
     return P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
 
 
-@query(f"SELECT page_id, {EDITED_DATE_SQL} AS publish_date FROM pages WHERE page_id % 5 = 0")
+def all_and_kept(spark, sf):
+    """Articles of all pages, and those that stay of the edited ones by status and title: ``pages`` tells which."""
+    def parsed(pages, name):
+        articles = P.extract_articles(pages, status="status", keep=("page_id",))
+        return articles.select(F.lit(name).alias("pages"), "page_id", "author", "publish_date", "publisher")
+
+    return parsed(tagged_pages(spark, sf), "all").unionByName(parsed(edited_pages(spark, sf), "kept"))
+
+
+@query(f"""
+    SELECT 'all' AS pages, page_id, {EDITED_DATE_SQL} AS publish_date FROM pages
+    UNION ALL SELECT 'kept', page_id, {EDITED_DATE_SQL} FROM {KEPT_PAGES_SQL}
+""")
 def prj04c_publish_date(spark, sf):
-    articles = P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
-    return articles.select("page_id", "publish_date").where("publish_date is not null")
+    """Every page's date, null without a tag; also of the pages left by status and title."""
+    return all_and_kept(spark, sf).select("pages", "page_id", "publish_date")
 
 
 # A paragraph runs to the paragraph tag that takes the nesting below its own

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from pressgrain.operators import pages as P
 from tests.conftest import final_plan, rows
 
@@ -89,3 +90,16 @@ def test_pages_are_parsed_once(spark, sf):
 def test_title_by_pattern(spark, sf):
     df = spark.read.parquet(f"{sf}/pages.parquet")
     assert df.where(P.page_title(F.col("html")).isNull()).count() == 0
+
+
+def given_pages(spark, tmp_path):
+    made = [(i, f"https://www.{'bbc' if i % 2 else 'cnn'}.com/{i}", page("<p>By Jane Doe</p>" if i == 1 else "<p>x</p>")) for i in range(16)]
+    spark.createDataFrame(made, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    return str(tmp_path)
+
+
+def test_every_page_has_a_row_of_its_date(spark, tmp_path):
+    found = entry.queries()["prj04c_publish_date"](spark, given_pages(spark, tmp_path))
+    date = lambda i: f"2024-01-0{i % 9 + 1}" if i % 5 == 0 else None
+    kept = [i for i in range(16) if i % 7 != 2 and i % 11 != 3]
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[:2]) == [("all", i, date(i)) for i in range(16)] + [("kept", i, date(i)) for i in kept]
