@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pressgrain.functions import text as T
 from pressgrain.operators import columns as C, lookups as L, pages as P, rows as R, themes as TH
 from pressgrain.sources import readers
+from pressgrain.sources.stored import stored
 from registry.base import (
     LABELLED_SQL,
     PUBLISHER_SQL,
@@ -269,11 +270,24 @@ def prj04a_page_title(spark, sf):
     )
 
 
-@query(f"SELECT page_id, {EDITED_AUTHOR_SQL} AS author FROM pages")
+@query(f"""
+    WITH art AS (
+        SELECT 'all' AS pages, page_id, {EDITED_AUTHOR_SQL} AS author, {EDITED_DATE_SQL} AS publish_date, {PUBLISHER_SQL} AS publisher
+        FROM pages
+        UNION ALL SELECT 'kept', page_id, {EDITED_AUTHOR_SQL}, {EDITED_DATE_SQL}, {PUBLISHER_SQL} FROM {KEPT_PAGES_SQL}
+    )
+    SELECT pages, page_id, author, publisher, count(*) OVER w AS n_pages, count(author) OVER w AS n_authors, count(publish_date) OVER w AS n_dates
+    FROM art WINDOW w AS (PARTITION BY pages, publisher)
+""")
 def prj04b_page_authors(spark, sf):
-    """From the first author tag, else from a by-line."""
-    articles = P.extract_articles(tagged_pages(spark, sf), status="status", keep=("page_id",))
-    return articles.select("page_id", "author")
+    """From the first author tag, else from a by-line; with the publisher's pages that have an author and a date."""
+    articles = stored(all_and_kept(spark, sf))  # parsed once
+    counts = articles.groupBy(F.struct("pages", "publisher").alias("of")).agg(
+        F.count(F.lit(1)).alias("n_pages"), F.count("author").alias("n_authors"), F.count("publish_date").alias("n_dates")
+    )
+    return articles.join(counts, F.struct("pages", "publisher").eqNullSafe(F.col("of"))).select(
+        "pages", "page_id", "author", "publisher", "n_pages", "n_authors", "n_dates"
+    )
 
 
 @query(f"""

@@ -103,3 +103,12 @@ def test_every_page_has_a_row_of_its_date(spark, tmp_path):
     date = lambda i: f"2024-01-0{i % 9 + 1}" if i % 5 == 0 else None
     kept = [i for i in range(16) if i % 7 != 2 and i % 11 != 3]
     assert sorted(map(tuple, found.collect()), key=lambda r: r[:2]) == [("all", i, date(i)) for i in range(16)] + [("kept", i, date(i)) for i in kept]
+
+
+def test_authors_come_with_the_publishers_counts(spark, tmp_path):
+    found = entry.queries()["prj04b_page_authors"](spark, given_pages(spark, tmp_path))
+    of = {(r["pages"], r["page_id"]): r for r in found.collect()}
+    assert len(of) == found.count() == 16 + 12
+    author = lambda i: f"Ann {i}" if i % 3 == 0 else "Jane Doe" if i == 1 else None
+    assert [of["all", i]["author"] for i in range(16)] == [author(i) for i in range(16)]
+    assert of["all", 1][3:] == ("Bbc", 8, 4, 2) and of["kept", 0][3:] == ("Cnn", 6, 3, 2)
