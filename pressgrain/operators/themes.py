@@ -122,12 +122,19 @@ def split_keywords(df: DataFrame, column: str = "keywords", key: str | None = No
 def top_listed_words(df: DataFrame, column: str, key: str, n: int = 5) -> DataFrame:
     """The n words listed most often over all keyword lists; ties as first listed.
 
-    Lists stand in the order of their key, whatever its type.
+    Lists stand in the order of their key, whatever its type.  Whole numbers are joined
+    with the position into one decimal, which a hash aggregate updates in place; a struct
+    makes Spark sort every occurrence.
     """
     listed = split_keywords(df, column, key)
+    first = F.min(F.struct(key, "pos"))
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        before_all = F.lit("-1e19").cast("decimal(20,0)")  # lists without a key come first
+        order = F.coalesce(F.col(key).cast("decimal(20,0)"), before_all)
+        first = F.min(order * F.lit(10**10).cast("decimal(11,0)") + F.col("pos"))
     return (
         listed.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "pos")).alias("first_seen"))
+        .agg(F.count(F.lit(1)).alias("n"), first.alias("first_seen"))
         .orderBy(F.desc("n"), F.asc("first_seen"))
         .limit(n)
         .select("token", "n")

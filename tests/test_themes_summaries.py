@@ -21,6 +21,16 @@ def test_word_counts_stay_in_the_hash_aggregate(spark, sf):
     assert "SortAggregate" not in plan and "Python" not in plan
 
 
+def test_listed_words_of_numbered_lists_are_not_sorted(spark):
+    lists = [(7, "b, a"), (None, "z, y"), (-9223372036854775808, "x"), (9223372036854775807, "w, b"), (-3, "d, c, a")]
+    df = spark.createDataFrame(lists, "k long, keywords string")
+    top = TH.top_listed_words(df, "keywords", "k", 8)
+    assert "SortAggregate" not in final_plan(top)
+    by_name = df.withColumn("k", F.struct(F.col("k")))  # a key that is no number: by its struct
+    expected = [("a", 2), ("b", 2), ("z", 1), ("y", 1), ("x", 1), ("d", 1), ("c", 1), ("w", 1)]
+    assert [tuple(r) for r in top.collect()] == expected == [tuple(r) for r in TH.top_listed_words(by_name, "keywords", "k", 8).collect()]
+
+
 def test_top_listed_words(spark):
     df = spark.createDataFrame(
         [("Cluster 1", "tax, vote"), ("Cluster 2", "vote, law, tax"), ("Cluster 3", "court")], "cluster string, keywords string"
