@@ -235,6 +235,20 @@ def test_all_stages(spark):
     assert {r["summary"] for r in generated.collect()} == {"summarize: I"}
 
 
+def test_models_are_fitted_on_one_written_table(spark, monkeypatch):
+    data = [(i, f"{'bright happy' if i % 3 else 'dark gloomy'} street water {'abcdefg'[i % 7] * 4}", "positive" if i % 3 else "negative", None) for i in range(60)]
+    labelled = spark.createDataFrame(data, "unique_id int, content string, overall_emotion_vader string, author string")
+    seen = []
+    for name in ("train", "tree_features", "fit_topics"):
+        fit = getattr(modelling, name)
+        monkeypatch.setattr(modelling, name, lambda df, *a, fit=fit, **k: seen.append(df) or fit(df, *a, **k))
+    made = modelling.model_articles(labelled.withColumn("content", F.upper("content")), grid_search=False, depths=(2,), stop_words=["the"])
+    assert len(seen) == 3 and all(sorted(df.columns) == ["content", "overall_emotion_vader", "unique_id"] for df in seen)
+    assert not any("upper(" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+    assert made.articles.columns == ENRICHED_ORDER and made.articles.count() == 60
+    assert made.articles.where("predicted_sentiment_multinomialnb <> overall_emotion_vader").count() == 0
+
+
 def test_stream_equals_batch(spark, tmp_path):
     pages = fetched(spark)
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
